@@ -73,9 +73,16 @@ def read_trials(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 
 def write_panel(df: DataFrame, path: str, *, period: str | None = "foto_mes", mode: str = "overwrite") -> None:
-    """Gzip parquet with one folder per period, so a list of periods reads only their folders."""
-    writer = df.write.mode(mode).option("compression", "gzip")
-    (writer.partitionBy(period) if period else writer).parquet(path)
+    """Gzip parquet with one folder per period, so a list of periods reads only their folders.
+
+    Rows are first gathered by period with a rebalance hint: adaptive execution cuts a large period into several files
+    and puts small ones together, so the number of files does not grow with tasks times periods.
+    """
+    if period is None:
+        df.write.mode(mode).option("compression", "gzip").parquet(path)
+    else:
+        spread = df.hint("rebalance", period)
+        spread.write.mode(mode).option("compression", "gzip").partitionBy(period).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, *, sep: str = ",", header: bool = True, mode: str = "overwrite") -> None:
