@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.labels import GONE_AFTER_NEXT
 from tidemark.operators.ordering import ranked
@@ -33,7 +34,7 @@ def signed_rank_distribution(spark: SparkSession, below: int = EXACT_BELOW) -> D
     return spark.createDataFrame(pd.DataFrame(rows, columns=["n", "v", "cdf"]), "n long, v long, cdf double")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided_normal(z: pd.Series) -> pd.Series:
     return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2.0)), na_action="ignore")
 
