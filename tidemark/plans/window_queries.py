@@ -206,15 +206,15 @@ def bank_panel(spark, folder):
 
 def _cards_sql():
     sums = ", ".join(
-        f"round(coalesce(Master_{a}, 0) + coalesce(Visa_{a}, 0), 4) AS tc_{a}" for a in features.CARD_ATTRIBUTES
+        f"coalesce(Master_{a}, 0) + coalesce(Visa_{a}, 0) AS tc_{a}" for a in features.CARD_ATTRIBUTES
     )
     return BANK + f""", added AS (SELECT *, {sums} FROM bank)
     SELECT numero_de_cliente, foto_mes, {', '.join(f'tc_{a}' for a in features.CARD_ATTRIBUTES)},
-        CAST(foto_mes % 100 AS INTEGER) AS kmes, round(mpayroll / nullif(cliente_edad, 0), 9) AS mpayroll_sobre_edad,
-        round(tc_mpagado / nullif(tc_msaldopesos, 0), 9) AS tc_porc_pagos_saldo,
-        round(tc_msaldototal / nullif(tc_mlimitecompra, 0), 9) AS tc_porc_utilizacion,
-        round(tc_mpagado / nullif(tc_mpagominimo, 0), 9) AS tc_porc_pago_pagominimo,
-        round(tc_mpagominimo / nullif(tc_mlimitecompra, 0), 9) AS tc_porc_pagominimo_saldo,
+        CAST(foto_mes % 100 AS INTEGER) AS kmes, mpayroll / nullif(cliente_edad, 0) AS mpayroll_sobre_edad,
+        tc_mpagado / nullif(tc_msaldopesos, 0) AS tc_porc_pagos_saldo,
+        tc_msaldototal / nullif(tc_mlimitecompra, 0) AS tc_porc_utilizacion,
+        tc_mpagado / nullif(tc_mpagominimo, 0) AS tc_porc_pago_pagominimo,
+        tc_mpagominimo / nullif(tc_mlimitecompra, 0) AS tc_porc_pagominimo_saldo,
         CASE WHEN tc_mpagado < tc_mpagominimo THEN 1 ELSE 0 END AS tc_flag_pago_pagominimo FROM added"""
 
 
@@ -223,14 +223,13 @@ def intra_month_card_features(spark, folder):
     made = features.intra_month_features(bank_panel(spark, folder))
     sums = [f"tc_{a}" for a in features.CARD_ATTRIBUTES]
     ratios = ["mpayroll_sobre_edad", "tc_porc_pagos_saldo", "tc_porc_utilizacion", "tc_porc_pago_pagominimo"]
-    picked = made.select(*BANK_KEYS, "kmes", *sums, *ratios, "tc_porc_pagominimo_saldo", "tc_flag_pago_pagominimo")
-    return rounded(rounded(picked, sums, 4), [*ratios, "tc_porc_pagominimo_saldo"], 9)
+    return made.select(*BANK_KEYS, "kmes", *sums, *ratios, "tc_porc_pagominimo_saldo", "tc_flag_pago_pagominimo")
 
 
 @query(
-    BANK + """SELECT numero_de_cliente, foto_mes, round(Visa_msaldototal / nullif(Visa_mlimitecompra, 0), 9) AS Visa_putilizacion,
-        round(Visa_mpagado / nullif(Visa_msaldototal, 0), 9) AS Visa_ppagos,
-        round(Visa_mpagado / nullif(Visa_mpagominimo, 0), 9) AS Visa_ppagomin, cinversion1 + cinversion2 AS cinversion,
+    BANK + """SELECT numero_de_cliente, foto_mes, Visa_msaldototal / nullif(Visa_mlimitecompra, 0) AS Visa_putilizacion,
+        Visa_mpagado / nullif(Visa_msaldototal, 0) AS Visa_ppagos,
+        Visa_mpagado / nullif(Visa_mpagominimo, 0) AS Visa_ppagomin, cinversion1 + cinversion2 AS cinversion,
         round(minversion1_pesos + minversion2, 4) AS minversion_pesos,
         CASE cpayroll_trx WHEN 1 THEN cliente_edad * 5.0::DOUBLE WHEN 2 THEN cliente_edad * 2.0::DOUBLE
             WHEN 3 THEN round(cliente_edad * 1.2::DOUBLE, 6) ELSE cliente_edad END AS normalised FROM bank"""
@@ -241,7 +240,7 @@ def card_portfolio_ratios(spark, folder):
     )
     ratios = ["Visa_putilizacion", "Visa_ppagos", "Visa_ppagomin"]
     picked = made.select(*BANK_KEYS, *ratios, "cinversion", "minversion_pesos", "normalised")
-    return rounded(rounded(picked, ratios, 9), ["minversion_pesos"], 4)
+    return rounded(picked, ["minversion_pesos"], 4)
 
 
 INFLATION_SQL = ", ".join(f"({m}, {rate}::DOUBLE)" for m, rate in sorted(features.MONTHLY_INFLATION.items()))
