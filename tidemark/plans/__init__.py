@@ -6,7 +6,15 @@ import importlib
 
 from tidemark.plans.registry import ORACLES, QUERIES
 
-MODULES = ("label_queries", "profit_queries", "table_queries", "window_queries")
+MODULES = (
+    "label_queries",
+    "model_queries",
+    "profit_queries",
+    "quality_queries",
+    "sampling_queries",
+    "table_queries",
+    "window_queries",
+)
 
 
 def _load() -> None:
