@@ -37,7 +37,7 @@ from tidemark.operators.profit import (
     label_by_threshold,
     normalised_gain,
 )
-from tidemark.operators.sampling import contrast_set, stratified_fold
+from tidemark.operators.sampling import contrast_set, stratified_share
 from tidemark.operators.sizes import small_side
 from tidemark.operators.trials import not_done
 from tidemark.session import cut_lineage, shared_folder
@@ -279,17 +279,18 @@ def monte_carlo(
     by: Sequence[str] = ("label",),
     keys: Sequence[str] = ("cust", "period"),
     label: str = "label",
-    train_parts: int = 7,
-    test_parts: int = 3,
+    test_share: float = 0.3,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """Normalised test gain of one model on a stratified split per seed: (seed, gain)."""
-    share = test_parts / (train_parts + test_parts)
+    """Normalised test gain of one model on a stratified split per seed: (seed, gain).
+
+    A split is a flag from the rows' own draws, so no split is stored or shuffled.
+    """
     rows = []
     for seed in seeds:
-        split = cut_lineage(stratified_fold(df, (train_parts, test_parts), by, keys, seed))
-        scored = score(fit(split.where("fold = 1")), split.where("fold = 2"), columns, [label])
-        found = normalised_gain(scored, F.col("prob") > threshold, share, gain(label)).first()
+        split = stratified_share(df, test_share, by, keys, seed, "_test")
+        scored = score(fit(split.where("not _test")), split.where("_test"), columns, [label])
+        found = normalised_gain(scored, F.col("prob") > threshold, test_share, gain(label)).first()
         rows.append((int(seed), float(found["gain"])))
     return df.sparkSession.createDataFrame(rows, "seed long, gain double")
 

@@ -112,6 +112,7 @@ def ranked(
     group_rows: str | None = None,
     ties: tuple[str, str] | None = None,
     sizes: GroupSizes | None = None,
+    uniform: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add the 1-based position of each row inside its group.
@@ -119,13 +120,14 @@ def ranked(
     ``order`` should end in columns that make it total, so the result does not depend on the row order of the input.
     ``running`` maps a new column to the expression summed from the group's start to the row. ``group_rows`` names a
     column for the size of the group. ``ties`` names two columns for the first and last position of the rows that are
-    equal in the first order column.
+    equal in the first order column. ``uniform`` says that the first order column is a uniform draw in [0, 1): its
+    buckets are then known without a sample.
     """
     by, running = list(by), dict(running or {})
     sizes = sizes or group_sizes(df, by)
     if sizes.largest <= rows_per_task:
         return _ranked_plain(df, by, order, position, running, group_rows, ties)
-    return _ranked_split(df, by, order, position, running, group_rows, ties, sizes, rows_per_task)
+    return _ranked_split(df, by, order, position, running, group_rows, ties, sizes, uniform, rows_per_task)
 
 
 def _ranked_plain(df, by, order, position, running, group_rows, ties):
@@ -143,14 +145,18 @@ def _ranked_plain(df, by, order, position, running, group_rows, ties):
     return df.select("*", *new)
 
 
-def _ranked_split(df, by, order, position, running, group_rows, ties, sizes, rows_per_task):
+def _ranked_split(df, by, order, position, running, group_rows, ties, sizes, uniform, rows_per_task):
     full_order = [*by, *order]
     value = _name(order[0])
     n_splits = min(MAX_SPLITS, math.ceil(2 * sizes.total / rows_per_task))
-    splits, n_splits = _split_points(df, full_order, sizes.total, n_splits)
+    if uniform and not ties:
+        bucket, n_buckets = F.floor(F.col(value) * n_splits).cast("int"), n_splits * sizes.groups
+    else:
+        splits, n_splits = _split_points(df, full_order, sizes.total, n_splits)
+        bucket, n_buckets = _bucket(splits, n_splits, full_order), n_splits + sizes.groups
     keyed = df.select(
         "*",
-        _bucket(splits, n_splits, full_order).alias("_b"),
+        bucket.alias("_b"),
         *[F.coalesce(expr, F.lit(0)).alias(f"_x_{name}") for name, expr in running.items()],
     )
     if ties:
@@ -175,7 +181,7 @@ def _ranked_split(df, by, order, position, running, group_rows, ties, sizes, row
     if ties:
         offsets = _with_runs(offsets, splits, by, value)
     offsets = offsets.drop("_n").withColumnsRenamed({**{c: f"_g_{c}" for c in by}, "_b": "_g__b"})
-    side = small_side(offsets) if sizes.groups + n_splits <= SMALL_ROWS else offsets
+    side = small_side(offsets) if n_buckets <= SMALL_ROWS else offsets
     joined = keyed.join(side, _same([*by, "_b"], "_g_"))
 
     local = Window.partitionBy(*by, "_b").orderBy(*sort_columns(order))

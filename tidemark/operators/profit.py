@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.labels import GONE_AFTER_NEXT
 from tidemark.operators.ordering import ranked
+from tidemark.operators.sampling import repeated_splits
 from tidemark.operators.sizes import ROWS_PER_TASK
 
 # What a reached customer of the class is worth, what a contact costs, and the threshold they imply.
@@ -172,6 +173,15 @@ def label_by_threshold(score: Column | str = "prob", threshold: float = THRESHOL
     return F.when(score > threshold if strict else score >= threshold, 1).otherwise(0)
 
 
+def gains_at(curve: DataFrame, cutoffs: Sequence[int], by: Sequence[str] = (), group_rows: str = "group_rows") -> DataFrame:
+    """Read the cumulative gain off a curve at every cutoff. A cutoff past the end takes all rows."""
+    reached = F.filter(
+        F.array(*[F.lit(k).cast("long") for k in cutoffs]),
+        lambda k: F.least(k, F.col(group_rows)) == F.col("position"),
+    )
+    return curve.select(*by, F.explode(reached).alias("cutoff"), F.col("gan_acum").alias("gain"))
+
+
 def sweep_top_k(
     df: DataFrame,
     cutoffs: Sequence[int],
@@ -182,14 +192,9 @@ def sweep_top_k(
     key: Sequence[str] = ("cust",),
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Gain of the k best rows for every cutoff k, from one ranking. A cutoff past the end takes all rows."""
-    curve = cumulative_gain(
-        df, score, value, by=by, key=key, group_rows="_rows", rows_per_task=rows_per_task
-    )
-    reached = F.filter(
-        F.array(*[F.lit(k) for k in cutoffs]), lambda k: F.least(k.cast("long"), F.col("_rows")) == F.col("position")
-    )
-    return curve.select(*by, F.explode(reached).alias("cutoff"), F.col("gan_acum").alias("gain"))
+    """Gain of the k best rows for every cutoff k, from one ranking."""
+    options = {"by": by, "key": key, "group_rows": "group_rows", "rows_per_task": rows_per_task}
+    return gains_at(cumulative_gain(df, score, value, **options), cutoffs, by)
 
 
 def nearest_row(df: DataFrame, value: str, target: Column, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -239,20 +244,33 @@ def leaderboard(
 
 
 def repeated_leaderboard(
-    repeats: DataFrame, scores: DataFrame, keys: Sequence[str], selected: Column, *, value: Column | None = None,
-    public: str = "is_public", share: float = 0.3,
+    scores: DataFrame,
+    keys: Sequence[str],
+    selected: Column,
+    *,
+    by: Sequence[str] = ("label",),
+    repeats: int = 50,
+    share: float = 0.3,
+    value: Column | None = None,
+    model: str = "model",
+    seed: int = 0,
+    **options,
 ) -> DataFrame:
-    """Public and private gain per (repeat, model) from a table of repeated splits.
+    """Public and private gain of every model over many stratified splits: (repeat, model, public, private).
 
-    Gains are first summed per model, so what is shuffled after the join is one row per (repeat, model, side).
+    The models of a row are put in one array first, so each row is drawn once per repeat, whatever the number of
+    models, and the long table of repeats is summed where it is made, without a join.
     """
     value = gain() if value is None else value
-    gained = scores.where(selected).select(*keys, "model", value.alias("_g"))
-    sides = repeats.join(gained, list(keys)).groupBy("repeat", "model").agg(
-        F.sum(F.when(F.col(public), F.col("_g"))).alias("_pub"),
-        F.sum(F.when(~F.col(public), F.col("_g"))).alias("_pri"),
+    rows = scores.groupBy(*keys, *by).agg(
+        F.collect_list(F.struct(F.col(model).alias("model"), F.when(selected, value).alias("gain"))).alias("_models")
+    )
+    sides = repeated_splits(rows, repeats, share, by, keys, seed, keep=["_models"], **options)
+    sums = sides.select("repeat", "is_public", F.inline("_models")).groupBy("repeat", "model").agg(
+        F.sum(F.when(F.col("is_public"), F.col("gain"))).alias("_pub"),
+        F.sum(F.when(~F.col("is_public"), F.col("gain"))).alias("_pri"),
     )
-    return sides.select(
+    return sums.select(
         "repeat",
         "model",
         (F.coalesce("_pub", F.lit(0)) / F.lit(share)).alias("public"),
@@ -287,11 +305,12 @@ def apo_experiment(
     Returns (mean gain per cutoff, best cutoff, nearest row): the nearest row names the meta model and the number of
     contacts whose cumulative gain is closest to the average of the best cutoff.
     """
-    swept = sweep_top_k(df, cutoffs, score, value, by=[model], key=key, rows_per_task=rows_per_task)
-    means = swept.groupBy("cutoff").agg(F.avg("gain").alias("mean_gain"))
+    curve = cumulative_gain(
+        df, score, value, by=[model], key=key, group_rows="group_rows", rows_per_task=rows_per_task
+    )
+    means = gains_at(curve, cutoffs, [model]).groupBy("cutoff").agg(F.avg("gain").alias("mean_gain"))
     best = means.agg(F.min(F.struct((-F.col("mean_gain")).alias("loss"), F.col("cutoff").alias("cutoff"))).alias("b"))
     best = best.select(F.col("b.cutoff").alias("cutoff"), (-F.col("b.loss")).alias("mean_gain"))
-    curve = cumulative_gain(df, score, value, by=[model], key=key, rows_per_task=rows_per_task)
     target = best.select("mean_gain").scalar()
     return means, best, nearest_row(curve, "gan_acum", target, [model, "position"])
 

@@ -112,12 +112,27 @@ def stratified_fold(
     """Folds 1, 2, … with the proportions of ``division`` inside every group, e.g. (7, 3) or (1, 1, 1, 1, 1)."""
     pattern = [i + 1 for i, size in enumerate(division) for _ in range(size)]
     placed = ranked(
-        df.withColumn("_draw", draw(keys, seed)), by, ["_draw", *keys], position="_p", rows_per_task=rows_per_task
+        df.withColumn("_draw", draw(keys, seed)), by, ["_draw", *keys], position="_p", uniform=True, rows_per_task=rows_per_task
     )
     fold = F.get(F.array(*[F.lit(f) for f in pattern]), ((F.col("_p") - 1) % len(pattern)).cast("int"))
     return placed.withColumn(name, fold).drop("_draw", "_p")
 
 
+def stratified_share(
+    df: DataFrame,
+    share: float,
+    by: Sequence[str],
+    keys: Sequence[str],
+    seed: int = 0,
+    name: str = "in_share",
+    draw: Draw = hash_draw,
+) -> DataFrame:
+    """Flag exactly ``floor(share * n)`` random rows of every group. Only the rows of one bin are shuffled."""
+    take = F.floor(F.col("_rows") * F.lit(float(share)))
+    drawn = df.withColumn("_draw", draw(keys, seed))
+    return _mark_smallest(drawn, by, "_draw", keys, take, name).drop("_draw")
+
+
 def repeated_splits(
     df: DataFrame,
     repeats: int,
@@ -127,12 +142,14 @@ def repeated_splits(
     seed: int = 0,
     name: str = "is_public",
     draw: Draw = hash_draw,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``repeats`` independent stratified splits as one long table: (keys, by, repeat, flag).
+    """``repeats`` independent stratified splits as one long table: (keys, by, keep, repeat, flag).
 
-    The flag holds for exactly ``floor(share * n)`` rows of every (repeat, group).
+    The flag holds for exactly ``floor(share * n)`` rows of every (repeat, group). Columns to ``keep`` travel along, so
+    nothing has to be joined to the long table.
     """
-    long = df.select(*dict.fromkeys([*keys, *by]), F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat"))
+    long = df.select(*dict.fromkeys([*keys, *by, *keep]), F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat"))
     drawn = long.withColumn("_draw", draw([*keys, "repeat"], seed))
     take = F.floor(F.col("_rows") * F.lit(float(share)))
     return _mark_smallest(drawn, ["repeat", *by], "_draw", keys, take, name).drop("_draw")
@@ -165,6 +182,7 @@ def shuffle_together(
         [],
         ["_draw", *keys],
         position="_p",
+        uniform=True,
         rows_per_task=rows_per_task,
     ).select("_p", *[F.col(c).alias(f"{prefix}{c}") for c in columns])
     return rows.join(mixed, "_p").drop("_p")
@@ -186,7 +204,7 @@ def shuffle_apart(
         *[F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)]
     )
     long = df.select(*keys, F.inline(values)).withColumn("_draw", draw([*keys, "column"], seed))
-    mixed = ranked(long, ["column"], ["_draw", *keys], position="_p", rows_per_task=rows_per_task)
+    mixed = ranked(long, ["column"], ["_draw", *keys], position="_p", uniform=True, rows_per_task=rows_per_task)
     side_by_side = mixed.groupBy("_p").agg(
         *[F.max(F.when(F.col("column") == i, F.col("value"))).alias(c) for i, c in enumerate(columns)]
     )

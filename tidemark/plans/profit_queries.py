@@ -197,8 +197,7 @@ CUTOFFS = [100, 500, 1000, 2000, 3000, 4_000_000_000]
     ON position = least(cutoff, group_rows)"""
 )
 def gain_at_cutoffs(spark, folder):
-    swept = profit.sweep_top_k(p.scores(spark, folder), CUTOFFS, by=["model"], key=KEYS)
-    return swept.withColumn("cutoff", F.col("cutoff").cast("long"))
+    return profit.sweep_top_k(p.scores(spark, folder), CUTOFFS, by=["model"], key=KEYS)
 
 
 @query(
@@ -286,17 +285,18 @@ SPLITS = p.SCORES + f""", splits AS (
         )
     )
 ), board AS (
-    SELECT repeat, model, coalesce(sum({GAIN.replace('label', 's.label')}) FILTER (WHERE is_public), 0) / 0.3::DOUBLE AS public,
-           coalesce(sum({GAIN.replace('label', 's.label')}) FILTER (WHERE NOT is_public), 0) / 0.7::DOUBLE AS private
-    FROM splits s JOIN scores USING (cust, period) WHERE prob >= 0.6 GROUP BY ALL
+    SELECT repeat, model, coalesce(sum({GAIN.replace('label', 's.label')}) FILTER (WHERE is_public AND chosen), 0) / 0.3::DOUBLE AS public,
+           coalesce(sum({GAIN.replace('label', 's.label')}) FILTER (WHERE NOT is_public AND chosen), 0) / 0.7::DOUBLE AS private
+    FROM splits s JOIN (SELECT *, prob >= 0.6 AS chosen FROM scores) USING (cust, period) GROUP BY ALL
 )
 """
 
 
 def repeated_board(spark, folder):
-    known = p.labelled(spark, folder).where(F.col("label").isNotNull())
-    repeats = sampling.repeated_splits(known, REPEATS, 0.3, ["label"], KEYS, seed=5, draw=md5_draw).drop("label")
-    return profit.repeated_leaderboard(repeats, p.scores(spark, folder), KEYS, F.col("prob") >= 0.6)
+    scored = p.scores(spark, folder)
+    return profit.repeated_leaderboard(
+        scored, KEYS, F.col("prob") >= 0.6, repeats=REPEATS, share=0.3, seed=5, draw=md5_draw
+    )
 
 
 @query(SPLITS + "SELECT repeat, model, round(public, 2) AS public, round(private, 2) AS private FROM board")

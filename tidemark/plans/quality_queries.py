@@ -8,6 +8,7 @@ from tidemark.operators import quality, stats, trials
 from tidemark.plans import panels as p
 from tidemark.plans.profit_queries import KEYS, SPLITS, repeated_board
 from tidemark.plans.registry import query, r, rounded
+from tidemark.session import cut_lineage
 
 COLUMNS = ["m_total", "m_max", "m_net", *p.COUNTS]
 TRAIN, SCORE = "period < 10", "period >= 20"
@@ -295,7 +296,8 @@ def paired_gains(spark, folder):
     entries = F.array(
         *[F.struct(F.lit(x + y).alias("pair"), F.col(x).alias("gain1"), F.col(y).alias("gain2")) for x, y in pairs]
     )
-    return wide.select(F.col("repeat").alias("ordinal"), F.inline(entries))
+    # A stored table of experiments: a row per repeat and pair.
+    return cut_lineage(wide.select(F.col("repeat").alias("ordinal"), F.inline(entries)))
 
 
 @query(PAIRS + "SELECT pair, prefix, v, round(p_value, 9) AS p_value FROM tests")
