@@ -53,10 +53,15 @@ ARREARS_SENTINEL = {"Master_Finiciomora": -999, "Visa_Finiciomora": -999}
 
 
 def fill_values(df: DataFrame, columns: Sequence[str], strategy: str = "median") -> dict[str, float]:
-    """What replaces a missing value of each column: mean, median or mode of the known ones."""
+    """What replaces a missing value of each column: mean, median or mode of the known ones, 0 when none is known."""
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    fitted = Imputer(strategy=strategy, inputCols=list(columns), outputCols=[f"_{c}" for c in columns]).fit(doubles)
-    return fitted.surrogateDF.select(*columns).first().asDict()
+    counts = doubles.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    known = [c for c in columns if counts[c]]
+    values = dict.fromkeys(columns, 0.0)
+    if known:
+        fitted = Imputer(strategy=strategy, inputCols=known, outputCols=[f"_{c}" for c in known]).fit(doubles)
+        values.update(fitted.surrogateDF.select(*known).first().asDict())
+    return values
 
 
 def impute(

@@ -7,6 +7,7 @@ import importlib
 from tidemark.plans.registry import ORACLES, QUERIES
 
 MODULES = (
+    "campaign_queries",
     "label_queries",
     "model_queries",
     "profit_queries",
