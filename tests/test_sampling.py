@@ -86,3 +86,16 @@ def test_canaries_come_first(panel):
     made = sampling.add_canaries(panel, 3, KEYS)
     assert made.columns[:4] == ["canarito_1", "canarito_2", "canarito_3", "cust"]
     assert made.where("canarito_1 = canarito_2").count() == 0
+
+
+@pytest.mark.parametrize("bins, edge_rows", [(4096, 500_000), (4, 3), (2, 1)])
+def test_smallest_draws_with_finer_bins(panel, bins, edge_rows):
+    drawn = panel.withColumn("d", draw(KEYS, 3))
+    marked = sampling._mark_smallest(drawn, ["label"], "d", KEYS, F.floor(F.col("_rows") * 0.4), "in", bins, edge_rows)
+    groups = {}
+    for r in marked.collect():
+        groups.setdefault(r["label"], []).append((r["d"], r["in"]))
+    assert sum(map(len, groups.values())) == panel.count()
+    for members in groups.values():
+        flags = [flag for _, flag in sorted(members)]
+        assert flags == [i < int(0.4 * len(flags)) for i in range(len(flags))]

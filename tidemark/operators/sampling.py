@@ -20,49 +20,70 @@ from tidemark.operators.ordering import ranked
 from tidemark.operators.sizes import ROWS_PER_TASK, small_side
 
 Draw = Callable[[Sequence[str], int | Column], Column]
-BINS = 65_536
+BINS = 4_096
+EDGE_ROWS = 500_000
 
 
 def _mark_smallest(
-    df: DataFrame, by: Sequence[str], draw: str, keys: Sequence[str], take: Column, flag: str, bins: int = BINS
+    df: DataFrame,
+    by: Sequence[str],
+    draw: str,
+    keys: Sequence[str],
+    take: Column,
+    flag: str,
+    bins: int = BINS,
+    edge_rows: int = EDGE_ROWS,
 ) -> DataFrame:
-    """Flag the ``take`` rows with the smallest draws of each group; ``take`` may use the group's size ``_rows``."""
+    """Flag the ``take`` rows with the smallest draws of each group; ``take`` may use the group's size ``_rows``.
+
+    The bin that holds the last flagged row is cut into finer bins until it has at most ``edge_rows`` rows.
+    """
     by = list(by)
-    binned = df.withColumn("_bin", F.floor(F.col(draw) * bins).cast("int"))
-    counts = binned.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    edges, fine = _edges(df, by, draw, take, bins, None), bins
+    while (edges.agg(F.max("_edge_n")).first()[0] or 0) > edge_rows and fine * bins < 2**52:
+        rest = _with_edge(df, by, draw, edges, fine).where("_bin = _edge_bin")
+        fine *= bins
+        edges = _edges(rest, by, draw, take, fine, "_left")
+
+    joined = _with_edge(df, by, draw, edges, fine)
+    clear = joined.where(F.col("_bin") != F.col("_edge_bin")).withColumn(flag, F.col("_bin") < F.col("_edge_bin"))
+    in_edge = joined.where(F.col("_bin") == F.col("_edge_bin"))
+    order = Window.partitionBy(*by).orderBy(draw, *keys)
+    ranked_edge = in_edge.withColumn(flag, F.row_number().over(order) <= F.col("_left"))
+    return clear.unionByName(ranked_edge).select(*df.columns, flag)
+
+
+def _edges(df: DataFrame, by: Sequence[str], draw: str, take: Column, bins: int, left: str | None) -> DataFrame:
+    """Per group the bin of the last flagged row, how many rows it has and how many of them to take."""
+    measures = [F.count(F.lit(1)).alias("_n"), *([F.max(left).alias(left)] if left else [])]
+    counts = df.groupBy(*by, F.floor(F.col(draw) * bins).alias("_bin")).agg(*measures)
     # At most one row per bin and group.
     before = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    edges = (
-        counts.select(
-            *by,
-            "_bin",
-            "_n",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-            F.sum("_n").over(Window.partitionBy(*by)).alias("_rows"),
-        )
-        .withColumn("_take", take)
-        .where((F.col("_before") < F.col("_take")) | (F.col("_before") == 0))
-        .groupBy(*by)
-        .agg(F.max(F.struct("_bin", "_before", "_take")).alias("_edge"))
-        .select(
+    placed = counts.select(
+        "*",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy(*by)).alias("_rows"),
+    ).withColumn("_take", F.col(left) if left else take)
+    reached = placed.where((F.col("_before") < F.col("_take")) | (F.col("_before") == 0))
+    edge = reached.groupBy(*by).agg(F.max(F.struct("_bin", "_before", "_take", "_n")).alias("_edge"))
+    return small_side(
+        edge.select(
             *[F.col(c).alias(f"_g_{c}") for c in by],
             F.col("_edge._bin").alias("_edge_bin"),
+            F.col("_edge._n").alias("_edge_n"),
             (F.col("_edge._take") - F.col("_edge._before")).alias("_left"),
         )
     )
+
+
+def _with_edge(df: DataFrame, by: Sequence[str], draw: str, edges: DataFrame, bins: int) -> DataFrame:
+    binned = df.withColumn("_bin", F.floor(F.col(draw) * bins))
     if by:
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by])
-        joined = binned.join(small_side(edges), same)
-    else:
-        edge = edges.first()
-        joined = binned.withColumns(
-            {"_edge_bin": F.lit(edge["_edge_bin"] if edge else 0), "_left": F.lit(edge["_left"] if edge else 0)}
-        )
-    clear = joined.where(F.col("_bin") != F.col("_edge_bin")).withColumn(flag, F.col("_bin") < F.col("_edge_bin"))
-    in_edge = joined.where(F.col("_bin") == F.col("_edge_bin"))
-    order = Window.partitionBy(*by).orderBy(draw, *keys)
-    ranked_edge = in_edge.withColumn(flag, F.row_number().over(order) <= F.col("_left"))
-    return clear.unionByName(ranked_edge).select(*df.columns, flag)
+        return binned.join(edges.drop("_edge_n"), same)
+    edge = edges.first()
+    known = {"_edge_bin": edge["_edge_bin"], "_left": edge["_left"]} if edge else {"_edge_bin": 0, "_left": 0}
+    return binned.withColumns({name: F.lit(value) for name, value in known.items()})
 
 
 def undersample(
