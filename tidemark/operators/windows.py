@@ -11,19 +11,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import safe_ratio
 from tidemark.operators.columns import present
 
 KEY, PERIOD = "cust", "period"
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def customer_rows(key: str = KEY, period: str = PERIOD) -> WindowSpec:
     return Window.partitionBy(key).orderBy(period)
 
 
+def _over(key: str, period: str, rows_back: int | None = None) -> str:
+    """The same window as SQL text. Wide panels need hundreds of expressions, and one text each is quick to build."""
+    frame = "" if rows_back is None else f" ROWS BETWEEN {rows_back} PRECEDING AND CURRENT ROW"
+    return f"OVER (PARTITION BY {quoted(key)} ORDER BY {quoted(period)}{frame})"
+
+
 def check_panel_key(df: DataFrame, key: str = KEY, period: str = PERIOD) -> DataFrame:
     """One row: rows, distinct keys that occur more than once, periods, and rows of the largest customer."""
     per_key = df.groupBy(key, period).agg(F.count(F.lit(1)).alias("n"))
@@ -35,16 +44,16 @@ def check_panel_key(df: DataFrame, key: str = KEY, period: str = PERIOD) -> Data
 
 
 def add_lags(df: DataFrame, columns: Sequence[str], lags: Sequence[int] = (1, 2), *, key=KEY, period=PERIOD) -> DataFrame:
-    rows = customer_rows(key, period)
-    return df.select(
-        "*", *[F.lag(c, k).over(rows).alias(f"{c}_lag{k}") for c in present(df, columns) for k in lags]
+    over = _over(key, period)
+    return df.selectExpr(
+        "*", *[f"lag({quoted(c)}, {k}) {over} AS {quoted(f'{c}_lag{k}')}" for c in present(df, columns) for k in lags]
     )
 
 
 def add_leads(df: DataFrame, columns: Sequence[str], leads: Sequence[int] = (1, 2), *, key=KEY, period=PERIOD) -> DataFrame:
-    rows = customer_rows(key, period)
-    return df.select(
-        "*", *[F.lead(c, k).over(rows).alias(f"{c}_lead{k}") for c in present(df, columns) for k in leads]
+    over = _over(key, period)
+    return df.selectExpr(
+        "*", *[f"lead({quoted(c)}, {k}) {over} AS {quoted(f'{c}_lead{k}')}" for c in present(df, columns) for k in leads]
     )
 
 
@@ -52,7 +61,9 @@ def add_deltas(df: DataFrame, columns: Sequence[str], lags: Sequence[int] = (1,
     """Value minus its lag, for the lags that are already in the frame."""
     have = set(df.columns)
     pairs = [(c, k) for c in present(df, columns) for k in lags if f"{c}_lag{k}" in have]
-    return df.select("*", *[(F.col(c) - F.col(f"{c}_lag{k}")).alias(f"{c}_delta{k}") for c, k in pairs])
+    return df.selectExpr(
+        "*", *[f"{quoted(c)} - {quoted(f'{c}_lag{k}')} AS {quoted(f'{c}_delta{k}')}" for c, k in pairs]
+    )
 
 
 def add_rolling(
@@ -65,36 +76,39 @@ def add_rolling(
     period=PERIOD,
 ) -> DataFrame:
     """Minimum, maximum and average over the last ``window`` rows, this row included."""
-    frame = customer_rows(key, period).rowsBetween(1 - window, Window.currentRow)
-    known = {"min": F.min, "max": F.max, "avg": F.avg}
-    return df.select(
+    unknown = set(functions) - {"min", "max", "avg"}
+    if unknown:
+        raise ValueError(f"unknown functions: {sorted(unknown)}")
+    over = _over(key, period, window - 1)
+    return df.selectExpr(
         "*",
-        *[known[f](c).over(frame).alias(f"{c}_{f}{window}") for c in present(df, columns) for f in functions],
+        *[f"{f}({quoted(c)}) {over} AS {quoted(f'{c}_{f}{window}')}" for c in present(df, columns) for f in functions],
     )
 
 
 def add_ratio_avg(df: DataFrame, columns: Sequence[str], window: int = 6) -> DataFrame:
     """Value over its rolling average; NULL where that average is zero."""
-    return df.select(
+    return df.selectExpr(
         "*",
-        *[safe_ratio(F.col(c), F.col(f"{c}_avg{window}")).alias(f"{c}_ratioavg{window}") for c in present(df, columns)],
+        *[
+            f"{quoted(c)} / nullif({quoted(f'{c}_avg{window}')}, 0) AS {quoted(f'{c}_ratioavg{window}')}"
+            for c in present(df, columns)
+        ],
     )
 
 
-def slope(y: Column, x: Column, frame: WindowSpec) -> Column:
-    """Least-squares slope over a frame, NULL with fewer than two known points or equal x."""
-    return F.regr_slope(y, x).over(frame)
-
-
 def add_trend(
     df: DataFrame, columns: Sequence[str], steps_back: int = 3, tenure: str = "tenure", *, key=KEY, period=PERIOD
 ) -> DataFrame:
-    """Slope against tenure over ``steps_back`` rows and this one, so ``steps_back + 1`` rows."""
-    frame = customer_rows(key, period).rowsBetween(-steps_back, Window.currentRow)
-    return df.select(
+    """Least-squares slope against tenure over ``steps_back`` rows and this one, so ``steps_back + 1`` rows.
+
+    NULL with fewer than two known points or equal tenure.
+    """
+    over = _over(key, period, steps_back)
+    return df.selectExpr(
         "*",
         *[
-            slope(F.col(c), F.col(tenure), frame).alias(f"{c}_trend_{steps_back}m")
+            f"regr_slope({quoted(c)}, {quoted(tenure)}) {over} AS {quoted(f'{c}_trend_{steps_back}m')}"
             for c in present(df, columns)
         ],
     )
@@ -114,22 +128,18 @@ def add_history(
     The trend runs over the row's place in the window; a NULL value is left out but keeps its place. With fewer than
     two known values everything is NULL.
     """
-    rows = customer_rows(key, period)
-    frame = rows.rowsBetween(1 - window, Window.currentRow)
-    placed = df.withColumn("_place", F.row_number().over(rows))
-    place = F.col("_place")
+    over = _over(key, period, window - 1)
+    placed = df.selectExpr("*", f"row_number() {_over(key, period)} AS _place")
     new = []
     for c in present(df, columns):
-        value = F.col(c)
-        enough = F.count(value).over(frame) > 1
-        low, high, mean = (F.when(enough, f(value).over(frame)) for f in (F.min, F.max, F.avg))
+        y = quoted(c)
         made = {
-            "tend": F.when(enough, slope(value, place, frame)),
-            "min": low,
-            "max": high,
-            "avg": mean,
-            "ratioavg": safe_ratio(value, mean),
-            "ratiomax": safe_ratio(value, high),
+            "tend": f"regr_slope({y}, _place) {over}",
+            "min": f"min({y}) {over}",
+            "max": f"max({y}) {over}",
+            "avg": f"avg({y}) {over}",
+            "ratioavg": f"{y} / nullif(avg({y}) {over}, 0)",
+            "ratiomax": f"{y} / nullif(max({y}) {over}, 0)",
         }
-        new += [made[o].alias(f"{c}_{o}{window}") for o in outputs]
-    return placed.select("*", *new).drop("_place")
+        new += [f"if(count({y}) {over} > 1, {made[o]}, NULL) AS {quoted(f'{c}_{o}{window}')}" for o in outputs]
+    return placed.selectExpr("*", *new).drop("_place")

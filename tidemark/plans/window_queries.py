@@ -288,3 +288,12 @@ AND b.foto_mes = CASE WHEN k.foto_mes > 202106 THEN 202106 WHEN k.foto_mes % 100
 def spread_bonus_pay(spark, folder):
     made = features.spread_bonus(bank_panel(spark, folder))
     return rounded(made.select(*BANK_KEYS, "mpayroll", "cpayroll_trx"), ["mpayroll"], 4)
+
+
+@query(
+    p.DAY + """SELECT count(*) AS n_rows, 0::BIGINT AS repeated_keys,
+        (SELECT max(n) FROM (SELECT count(*) AS n FROM panel_day GROUP BY cust)) AS largest_customer,
+        count(DISTINCT period) AS periods FROM panel_day"""
+)
+def panel_key_check(spark, folder):
+    return windows.check_panel_key(p.panel_day(spark, folder))
