@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.columns import present
@@ -23,12 +23,8 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def customer_rows(key: str = KEY, period: str = PERIOD) -> WindowSpec:
-    return Window.partitionBy(key).orderBy(period)
-
-
 def _over(key: str, period: str, rows_back: int | None = None) -> str:
-    """The same window as SQL text. Wide panels need hundreds of expressions, and one text each is quick to build."""
+    """The customer's window as SQL text. Wide panels need hundreds of expressions, and one text each is quick to build."""
     frame = "" if rows_back is None else f" ROWS BETWEEN {rows_back} PRECEDING AND CURRENT ROW"
     return f"OVER (PARTITION BY {quoted(key)} ORDER BY {quoted(period)}{frame})"
 
