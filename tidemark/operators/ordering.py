@@ -29,7 +29,6 @@ from tidemark.operators.sizes import ROWS_PER_TASK, SMALL_ROWS, GroupSizes, grou
 
 SAMPLE_PER_SPLIT = 30
 MAX_SPLITS = 20_000
-MAX_COMPILED_SPLITS = 500
 
 
 def _name(key: str) -> str:
@@ -99,21 +98,6 @@ def _bucket(splits: Column, n_splits: int, order: Sequence[str]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda state: state["lo"])
 
 
-def _with_bucket(df: DataFrame, splits: Column, n_splits: int, order: Sequence[str]) -> DataFrame:
-    """Add ``_b``, the number of split points not after the row.
-
-    Found by halving, one projection per step: Spark compiles the steps together, which is several times as fast as the
-    search inside a higher-order function that ``_bucket`` makes. The optimizer's work grows with the steps and with the
-    uses of the result, so this is for few steps and no ties.
-    """
-    df = df.withColumn("_b", F.lit(0))
-    for power in reversed(range(n_splits.bit_length())):
-        place = F.col("_b") + (2**power - 1)
-        further = (place < n_splits) & _not_after(F.get(splits, place), order)
-        df = df.withColumn("_b", F.when(further, F.col("_b") + 2**power).otherwise(F.col("_b")))
-    return df
-
-
 def _same(columns: Sequence[str], prefix: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns], F.lit(True))
 
@@ -166,16 +150,13 @@ def _ranked_split(df, by, order, position, running, group_rows, ties, sizes, uni
     value = _name(order[0])
     n_splits = min(MAX_SPLITS, math.ceil(2 * sizes.total / rows_per_task))
     if uniform and not ties:
-        keyed, n_buckets = df.withColumn("_b", F.floor(F.col(value) * n_splits).cast("int")), n_splits * sizes.groups
+        bucket, n_buckets = F.floor(F.col(value) * n_splits).cast("int"), n_splits * sizes.groups
     else:
         splits, n_splits = _split_points(df, full_order, sizes.total, n_splits)
-        n_buckets = n_splits + sizes.groups
-        if ties or n_splits > MAX_COMPILED_SPLITS:
-            keyed = df.withColumn("_b", _bucket(splits, n_splits, full_order))
-        else:
-            keyed = _with_bucket(df, splits, n_splits, full_order)
-    keyed = keyed.select(
+        bucket, n_buckets = _bucket(splits, n_splits, full_order), n_splits + sizes.groups
+    keyed = df.select(
         "*",
+        bucket.alias("_b"),
         *[F.coalesce(expr, F.lit(0)).alias(f"_x_{name}") for name, expr in running.items()],
     )
     if ties:
