@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import balanced_packing, fair_mixing, fingerprint_exchange, token_cache
+from . import balanced_packing, fair_mixing, fingerprint_exchange, host_graph, language_mixture, onebit_codes, token_cache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_mixture.identify(table(spark, folder, "documents"))
+
+
 EXACT_SQL = """
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
 groups AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY body)
@@ -35,6 +39,27 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_exchange.exact_groups(table(spark, folder, "documents"))
 
 
+NEAR_SQL = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v) AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id)::INT AS rank
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 20 = 0)
+WHERE rank <= 20
+"""
+
+
+def op4_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return onebit_codes.nearest(table(spark, folder, "embeddings"))
+
+
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return host_graph.judge(table(spark, folder, "pages"))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_cache.count_tokens(table(spark, folder, "documents"))
 
@@ -74,7 +99,10 @@ def op9_packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return balanced_packing.pack(table(spark, folder, "documents"))
 
 
+query(op1_language_id)
 query(op2_exact_dedup, EXACT_SQL)
+query(op4_nearest_vectors, NEAR_SQL)
+query(op5_url_filter)
 query(op6_token_counts)
 query(op7_source_mix, MIX_SQL)
 query(op9_packed_sequences)
