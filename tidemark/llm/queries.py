@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import balanced_packing, fair_mixing, fingerprint_exchange, host_graph, language_mixture, onebit_codes, token_cache
+from . import balanced_packing, fair_mixing, fingerprint_exchange, host_graph, language_mixture, onebit_codes, signature_tree, token_cache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,6 +95,10 @@ def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return fair_mixing.words_taken(table(spark, folder, "documents"))
 
 
+def op8_jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
+    return signature_tree.link_components(table(spark, folder, "documents"))
+
+
 def op9_packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return balanced_packing.pack(table(spark, folder, "documents"))
 
@@ -105,4 +109,5 @@ query(op4_nearest_vectors, NEAR_SQL)
 query(op5_url_filter)
 query(op6_token_counts)
 query(op7_source_mix, MIX_SQL)
+query(op8_jaccard_components)
 query(op9_packed_sequences)
