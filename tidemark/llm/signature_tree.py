@@ -9,9 +9,9 @@ bitmaps and the range of their sizes, from which the largest overlap of any leaf
 follows. Two nodes are compared from the root down and given up if that overlap is too small, or if all their leaves are in
 one component already. What remains at the leaves is computed on the n-grams themselves.
 
-A bucket yields links that connect what belongs together, not all its pairs. First each set is compared in one bucket only,
-then in another one, which settles nearly all groups; last, every bucket that still holds different components is
-compared in full, so no link between components is lost. Buckets above a bound are cut into blocks.
+A bucket yields links that connect what belongs together, not all its pairs. Buckets that overlap are put together to a
+cluster, which a task compares as one tree, so each set is sent once. Clusters that are too large for a task are compared
+bucket by bucket, large buckets block by block; no link between components is lost.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ U = np.uint64
 #: Bytes that a task hashes together; longer texts are hashed alone.
 CHUNK = 1 << 20
 #: Sets, and n-grams of all of them, in a block that is compared in one task.
-BLOCK_SETS, BLOCK_GRAMS = 2048, 4_000_000
+BLOCK_SETS, BLOCK_GRAMS = 4096, 4_000_000
 FANOUT = 8
 #: Other ways to deal the n-grams, for sets that leave several parts empty.
 DEALS = 4
@@ -283,6 +283,33 @@ def _links(percent: int):
     return task
 
 
+def _linked_by_key(members: DataFrame, compared) -> DataFrame:
+    """Links among ``members`` (key, id, blocks), bucket by bucket.
+
+    First each set is compared in one of its buckets only, then in another, which settles nearly all groups. Last, every
+    bucket that still holds different components is compared in full, each pair of its blocks by a task.
+    """
+    links, open_ = None, members.withColumn("component", F.col("id"))
+    for way, pick in (("one", F.min), ("another", F.max), ("all", None)):
+        block = F.pmod(F.xxhash64("id", F.lit(way)), F.col("blocks")).cast("int")
+        if pick is None:
+            other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+            buckets = open_.withColumn("own", block).withColumn("other", other)
+            pair = F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other"))
+            buckets = buckets.select("key", pair.alias("block"), "id", "component")
+        else:
+            picked = open_.groupBy("id").agg(pick("key").alias("key"))
+            buckets = open_.join(picked, ["id", "key"]).select("key", block.cast("string").alias("block"), "id", "component")
+        more = compared(buckets)
+        links = stored(more if links is None else links.unionByName(more), "links")
+        if pick is not None:
+            found = stored(components(links), "found")
+            named = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            mixed = named.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+            open_ = stored(named.join(mixed.where("least < most").select("key"), "key"), "open")
+    return links
+
+
 def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """A row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -303,10 +330,8 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     first = docs.where("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
 
     keys = stored(first.mapInArrow(_keys(n, percent), "key bigint, id bigint, n bigint"), "keys")
-    shared = keys.groupBy("key").agg(F.count("*").alias("sets"), F.sum("n").alias("grams"), F.min("id").alias("least"), F.max("id").alias("most"))
-    shared = shared.where("least < most").drop("least", "most")
-    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS), F.lit(1)).cast("int")
-    members = stored(keys.join(shared, "key").select("key", "id", blocks.alias("blocks")).distinct(), "members")
+    shared = keys.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    members = stored(keys.join(shared.select("key", "least"), "key").distinct(), "members")
     wanted = few(stored(members.select("id").distinct(), "wanted"))
     texts = first.join(wanted, first["doc_id"] == wanted["id"], "left_semi")
     sets = stored(texts.mapInArrow(_sets(n), "id bigint, grams binary"), "sets")
@@ -316,26 +341,27 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
         dealt = dealt.repartition("key", "block").sortWithinPartitions("key", "block")
         return dealt.mapInArrow(_links(percent), "a bigint, b bigint")
 
+    def blocks(rows: DataFrame, by: str) -> DataFrame:
+        """How many blocks each bucket needs."""
+        need = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_GRAMS), F.lit(1))
+        return rows.groupBy(by).agg(need.cast("int").alias("blocks"))
+
     alike = known.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")  # repeated doc_ids
     alike = known.join(alike.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b")).where("a < b")
-    links = stored(alike, "links")
-    open_ = members.withColumn("component", F.col("id"))
-    for way, pick in (("one", F.min), ("another", F.max), ("all", None)):
-        block = F.pmod(F.xxhash64("id", F.lit(way)), F.col("blocks")).cast("int")
-        if pick is None:  # all pairs of blocks
-            other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-            buckets = open_.withColumns({"own": block}).withColumn("other", other)
-            pair = F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other"))
-            buckets = buckets.select("key", pair.alias("block"), "id", "component")
-        else:
-            picked = open_.groupBy("id").agg(pick("key").alias("key"))
-            buckets = open_.join(picked, ["id", "key"]).select("key", block.cast("string").alias("block"), "id", "component")
-        links = stored(links.unionByName(compared(buckets)), "links")
+
+    near = components(members.select(F.col("least").alias("a"), F.col("id").alias("b")), "near")
+    near = near.withColumnRenamed("component", "cluster").join(members.groupBy("id").agg(F.max("n").alias("n")), "id")
+    near = stored(near, "clusters")
+    near = stored(near.join(blocks(near, "cluster"), "cluster"), "clusters")
+    small = near.where("blocks = 1").select(F.col("cluster").alias("key"), F.lit("0").alias("block"), "id", F.col("id").alias("component"))
+    links = stored(compared(small).unionByName(alike), "links")
+    found = stored(components(links), "found")
+    large = near.where("blocks > 1").select("id")
+    if not large.isEmpty():
+        members = members.join(large, "id")
+        members = stored(members.join(blocks(members, "key"), "key"), "large")
+        links = stored(links.unionByName(_linked_by_key(members, compared)), "links")
         found = stored(components(links), "found")
-        if pick is not None:
-            named = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            mixed = named.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-            open_ = stored(named.join(mixed.where("least < most").select("key"), "key"), "open")
     reached = known.distinct().join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
     reached = reached.groupBy("doc_id").agg(F.min("component").alias("reached"))
     out = rows.join(reached, "doc_id", "left")
