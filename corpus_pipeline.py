@@ -4,22 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import balanced_packing, fingerprint_exchange
+from tidemark.llm import balanced_packing, fair_mixing, fingerprint_exchange, language_mixture, signature_tree
 from tidemark.llm.shared import stored
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that have no letters, or mostly words that no language explains."""
+    return language_mixture.reject(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text stays."""
     return fingerprint_exchange.without_copies(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document stays of each group linked by a Jaccard similarity of 0.8 or more on five words."""
+    return signature_tree.one_of_each_component(docs, n=5, percent=80)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of heavy sources come twice, of light ones only some."""
+    return fair_mixing.mixed_documents(docs)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
     return balanced_packing.pack(docs)
 
 
 STAGES = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mixing),
     ("packing", packing),
 ]
 

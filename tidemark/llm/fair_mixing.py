@@ -21,8 +21,8 @@ from .shared import running_total, stored
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def source_targets(sizes: DataFrame, weights: Sequence[float], budget_share: float, repeats: int) -> tuple[DataFrame, float]:
-    """Of rows (source, size): a stored row for each source with weight, queue (where it begins) and target; and the cut.
+def source_targets(sizes: DataFrame, weights: Sequence[float], budget_share: float, repeats: int) -> tuple[DataFrame, float, int]:
+    """Of rows (source, size): a stored row for each source with weight, queue (where it begins) and target; the cut; all sizes.
 
     Sources in order of code points, null last, take the weights in turn. The cut is the virtual time at which all have
     sent the budget; each round finds the time for those whose queue has not ended, until no more of them end.
@@ -33,21 +33,22 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], budget_share: flo
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
     sources = running_total(sources.withColumn("weight", weight).drop("_rank"), order, "source_size", "queue")
     sources = stored(sources.withColumn("most", F.col("source_size") * repeats), "sources")
-    budget = budget_share * (sources.agg(F.sum("source_size")).first()[0] or 0)
-    cut, ended = 0.0, -1
+    total = sources.agg(F.sum("source_size")).first()[0] or 0
+    budget, cut, ended = budget_share * total, 0.0, -1
     while True:
         done = F.col("most") <= F.lit(cut) * F.col("weight") if ended >= 0 else F.lit(False)
         x = sources.agg(F.sum(F.when(done, F.col("most")).otherwise(0)).alias("sent"), F.sum(F.when(done, 0).otherwise(F.col("weight"))).alias("left"), F.count_if(done).alias("ended")).first()
         if x.ended == ended or not x.left:
             break
         cut, ended = (budget - x.sent) / x.left, x.ended
-    return sources.withColumn("target", F.least(F.col("most").cast("double"), F.lit(cut) * F.col("weight"))), cut
+    return sources.withColumn("target", F.least(F.col("most").cast("double"), F.lit(cut) * F.col("weight"))), cut, total
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), budget_share: float = 1.5, repeats: int = 2, seed: str = "mix") -> tuple[DataFrame, DataFrame]:
     """(documents, the mix).
 
-    documents: a row for each row of ``docs``: row (its number), doc_id, size (words), source_size, target (its source's).
+    documents: a row for each row of ``docs``: row (its number), doc_id, text_hash, size (words), source_size, target (its
+    source's).
     The mix: a row for each time that a document is taken: row, turn (0, 1, ...), size, taken (words, fewer than size where
     the cut falls into the document), finish, place (words of the mix before it).
 
@@ -55,21 +56,22 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), budget_share: flo
     by their hash. Rows that repeat a doc_id are documents of their own. Only doc_id, text and source are read.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", size.alias("size")), "sizes")
-    sources, cut = source_targets(rows, weights, budget_share, repeats)
+    text = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", text, size.alias("size")), "sizes")
+    sources, cut, total = source_targets(rows, weights, budget_share, repeats)
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     turns = rows.where("size > 0").withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     turns = turns.withColumn("drawn", F.md5(F.concat_ws(":", F.lit(seed), "turn", name)))
-    order = [F.col("source").asc_nulls_last(), F.col("turn"), F.col("drawn"), F.col("doc_id"), F.col("size"), F.col("row")]
+    order = [F.col("source").asc_nulls_last(), *map(F.col, ("turn", "drawn", "doc_id", "size", "text_hash", "row"))]
     queued = running_total(turns, order, "size", "before")
     own = sources.select(F.col("source").alias("_source"), "weight", "queue")
     queued = queued.join(own, F.col("source").eqNullSafe(F.col("_source")))
     start = F.col("before") - F.col("queue") * repeats
     taken = F.floor(F.least(F.col("size").cast("double"), F.lit(cut) * F.col("weight") - start)).cast("long")
     queued = queued.withColumns({"finish": (start + F.col("size")) / F.col("weight"), "taken": taken}).where("taken > 0")
-    queued = queued.select("row", "turn", "doc_id", "size", "taken", "finish", "source")
-    by_time = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("turn"), F.col("doc_id"), F.col("row")]
-    mixed = running_total(queued, by_time, "taken", "place").drop("doc_id", "source")
+    queued = queued.select("row", "turn", "doc_id", "source", "text_hash", "size", "taken", "finish")
+    by_time = [F.col("finish"), F.col("source").asc_nulls_last(), *map(F.col, ("turn", "doc_id", "text_hash", "row"))]
+    mixed = running_total(queued, by_time, "taken", "place").where(F.col("place") < F.lit(budget_share) * F.lit(total))
     about = sources.select(F.col("source").alias("_source"), "source_size", "target")
     documents = rows.join(about, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
     return documents, mixed
@@ -86,3 +88,26 @@ def words_taken(docs: DataFrame, **options) -> DataFrame:
         .agg(*[F.max(c).alias(c) for c in ("doc_id", "size", "source_size", "target")], F.sum("taken").alias("taken"))
         .drop("row")
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents of the mix, with the columns of ``docs``: one row for each time that a document is taken.
+
+    Where the cut falls into a document, its first words, parted by single blanks, are what is taken of it. n_chars, if
+    there is such a column, is the length of what is taken.
+    """
+    documents, mixed = mix(docs, **options)
+    same = ["doc_id", "source", "text_hash"]
+    hashed = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    if not mixed.where("turn = 0").groupBy(*same).count().where("count > 1").isEmpty():  # rows that repeat each other
+        hashed = hashed.dropDuplicates(same)
+    taken = mixed.select(*[F.col(c).alias(f"_{c}") for c in [*same, "size", "taken"]])
+    condition = F.lit(True)
+    for c in same:
+        condition = condition & hashed[c].eqNullSafe(taken[f"_{c}"])
+    out = hashed.join(taken, condition)
+    first = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_taken").cast("int")))
+    out = out.withColumn("text", F.when(F.col("_taken") < F.col("_size"), first).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_taken") < F.col("_size"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import balanced_packing, fair_mixing, fingerprint_exchange, host_graph, language_mixture, onebit_codes, signature_tree, token_cache
+from . import (
+    balanced_packing,
+    classifier_chain,
+    cotraining,
+    fair_mixing,
+    fingerprint_exchange,
+    host_graph,
+    language_mixture,
+    onebit_codes,
+    signature_tree,
+    token_cache,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +50,10 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_exchange.exact_groups(table(spark, folder, "documents"))
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return cotraining.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 NEAR_SQL = """
 WITH usable AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
@@ -103,11 +118,17 @@ def op9_packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return balanced_packing.pack(table(spark, folder, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier_chain.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 query(op1_language_id)
 query(op2_exact_dedup, EXACT_SQL)
+query(op3_quality)
 query(op4_nearest_vectors, NEAR_SQL)
 query(op5_url_filter)
 query(op6_token_counts)
 query(op7_source_mix, MIX_SQL)
 query(op8_jaccard_components)
 query(op9_packed_sequences)
+query(op10_toxicity)

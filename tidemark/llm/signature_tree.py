@@ -68,13 +68,17 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return _mixed((total[end - 1] - total[begin - 1]) * inverse[begin]), begin - 1
 
 
-def gram_sets(texts: list[str | None], n: int = 3) -> Iterator[np.ndarray]:
-    """Of each text: the sorted distinct hashes of its n-grams of words, A-Z lower-cased; of fewer words, of all as one."""
+def gram_sets(texts: list[str | None], n: int = 3, bytes_as: bytes | None = None) -> Iterator[np.ndarray]:
+    """Of each text: the sorted distinct hashes of its n-grams of words, A-Z lower-cased; of fewer words, of all as one.
+
+    ``bytes_as``: a table that bytes are translated by first.
+    """
 
     def chunks() -> Iterator[list[bytes]]:
         held, size = [], 0
         for text in texts:
             data = (text or "").encode("utf-8", "surrogatepass").lower()
+            data = data.translate(bytes_as) if bytes_as else data
             if held and size + len(data) > CHUNK:
                 yield held
                 held, size = [], 0
