@@ -97,7 +97,7 @@ def _send(owners: int, bits: int):
     return task
 
 
-def _answer(codes: pd.DataFrame) -> pd.DataFrame:
+def answer(codes: pd.DataFrame) -> pd.DataFrame:
     """Of one owner's codes: to each sender the bitmap of the fingerprints that another sender has too."""
     lists = [golomb_decode(c) for c in codes["code"]]
     seen, times = np.unique(np.concatenate(lists), return_counts=True)
@@ -133,7 +133,7 @@ def exact_groups(docs: DataFrame, owners: int | None = None, bits: int = 64) ->
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     packets = stored(docs.mapInArrow(_send(owners, bits), PACKETS), "packets")
     codes = packets.select("packet", "owner", "code")
-    bitmaps = codes.groupBy("owner").applyInPandas(_answer, "packet string, owner int, bitmap binary")
+    bitmaps = codes.groupBy("owner").applyInPandas(answer, "packet string, owner int, bitmap binary")
     rows = packets.select("packet", "owner", "doc_ids", "slots", "digests").join(bitmaps, ["packet", "owner"])
     rows = stored(rows.mapInArrow(_mark, "row string, doc_id bigint, digest binary, suspect boolean"), "marked")
 

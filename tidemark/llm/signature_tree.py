@@ -1,8 +1,12 @@
 """Join of documents whose sets of word n-grams have a high Jaccard similarity, by signature trees.
 
-Copies (equal sets) are one class from the start. Two different sets that link differ in few n-grams, so if the n-grams
-are dealt by hash into somewhat more parts than that, some part is the same in both. The sets that have a part in common
-form a bucket; all other pairs are never looked at. Which n-grams are frequent does not matter, as a whole part must agree.
+Copies (equal sets) are one class from the start. A set can only link with another if all but few of its n-grams are in
+other documents too. That is tested first, on all n-grams whose hash is below a bound: tasks exchange them as Golomb-coded
+short fingerprints (which may clash: then a set is kept for nothing), and a set with too many that no other has is done.
+
+Two different sets that link differ in few n-grams, so if the n-grams are dealt by hash into somewhat more parts than that,
+some parts are the same in both. The sets that have a part in common form a bucket; all other pairs are never looked at.
+Which n-grams are frequent does not matter, as a whole part must agree.
 
 In a bucket the sets, in order of size, are the leaves of a tree. A node holds the union and the intersection of its leaves'
 bitmaps and the range of their sizes, from which the largest overlap of any leaf of one node with any leaf of another
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .fingerprint_exchange import answer, golomb_encode
 from .shared import components, few, same, stored
 
 SPACE = np.zeros(256, bool)
@@ -35,8 +41,12 @@ CHUNK = 1 << 20
 #: Sets, and n-grams of all of them, in a block that is compared in one task.
 BLOCK_SETS, BLOCK_GRAMS = 4096, 4_000_000
 FANOUT = 8
-#: Other ways to deal the n-grams, for sets that leave several parts empty.
-DEALS = 4
+#: Ways to deal the n-grams, for sets that leave many parts empty.
+DEALS = 12
+#: A fingerprint has so many bits more than it takes to number all n-grams: one in 16 clashes with another.
+SPARE_BITS = 4
+#: A task sends what it has after so many n-grams or documents; an owner has so many to compare.
+PACKET_GRAMS, PACKET_DOCS, OWNER_GRAMS = 2_000_000, 60_000, 4_000_000
 #: A size class ends at so many times its beginning.
 CLASS = 1.3
 
@@ -122,32 +132,48 @@ class Similarity:
             begins.append(max(begins[-1] + 1, int(begins[-1] * CLASS)))
         return begins
 
+    def missing(self, size: int) -> int:
+        """N-grams of a set of that size that a linked set may lack, at most."""
+        return size - -(-self.percent * size // 100)
+
+    @property
+    def tested(self) -> int:
+        """N-grams with a smaller hash are tested: twice as many as may be missing."""
+        return min((1 << 64) - 1, (1 << 64) // 100 * 2 * (100 - self.percent))
+
+    @functools.cache
+    def parts(self, own: int) -> tuple[int, int]:
+        """Of size class ``own``: into how many parts n-grams are dealt, and how many more that is than can differ."""
+        begin, end = self.classes[own], self.classes[own + 1] - 1
+        differing, smallest, spare = self.differing(end), -(-self.percent * begin // 100), 1
+        for _ in range(20):  # about as many as are empty by chance, and some more
+            parts = differing + 1 + spare
+            empty = parts * (1 - 1 / parts) ** smallest
+            spare = min(max(1, int(np.ceil(empty + np.sqrt(empty)))), max(1, differing))
+        return differing and differing + 1 + spare, spare
+
     def keys(self, grams: np.ndarray) -> np.ndarray:
         """Keys of which linked different sets share one: for every size class of the larger set that the smaller may be in.
 
-        With at most d differing n-grams and d + 2 parts, two parts agree. Only parts that hold something make a key. A set
-        with two or more empty parts, where the agreeing parts may all be empty, is dealt again in another way by a
-        linked set's like; after DEALS ways, empty parts make keys too.
+        With at most d differing n-grams and d + 1 + spare parts, more than ``spare`` parts agree. Only parts that hold
+        something make a key. If the agreeing parts are all empty, then both sets have more than ``spare`` empty parts;
+        such sets are dealt again in another way, and after DEALS ways empty parts make keys too.
         """
         n, begins, out = len(grams), self.classes, []
         own = int(np.searchsorted(begins, n, side="right")) - 1
         while 100 * n >= self.percent * begins[own]:
-            differing = self.differing(begins[own + 1] - 1)
-            if differing:
-                parts = differing + 2
-                for deal in range(DEALS):
-                    dealt = _mixed(grams + U((own * DEALS + deal + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-                    part = (dealt >> U(32)) % U(parts)
-                    sums = np.zeros(parts, U)
-                    np.add.at(sums, part.astype(np.int64), _mixed(dealt))
-                    counts = np.bincount(part.astype(np.int64), minlength=parts)
-                    held = counts > 0
-                    last = deal == DEALS - 1
-                    name = U((own * DEALS + deal) << 32) + np.arange(parts, dtype=U)
-                    key = _mixed(sums + _mixed(name + U(1)) + counts.astype(U))
-                    out.append(key if last else key[held])
-                    if parts - held.sum() < 2:
-                        break
+            parts, spare = self.parts(own)
+            for deal in range(DEALS if parts else 0):
+                dealt = _mixed(grams + U((own * DEALS + deal + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
+                part = ((dealt >> U(32)) % U(parts)).astype(np.int64)
+                sums = np.zeros(parts, U)
+                np.add.at(sums, part, _mixed(dealt))
+                counts = np.bincount(part, minlength=parts)
+                name = U((own * DEALS + deal) << 32) + np.arange(parts, dtype=U)
+                key = _mixed(sums + _mixed(name + U(1)) + counts.astype(U))
+                out.append(key if deal == DEALS - 1 else key[counts > 0])
+                if (counts == 0).sum() <= spare:
+                    break
             own += 1
         return np.concatenate(out) if out else np.empty(0, U)
 
@@ -224,40 +250,105 @@ def tree_links(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], simi
     return links
 
 
+def _parts(batch: pa.RecordBatch, rows: int = 500) -> Iterator[tuple[list, list]]:
+    """A batch's two columns, some rows at a time."""
+    for i in range(0, len(batch), rows):
+        part = batch.slice(i, rows)
+        yield part.column(0).to_pylist(), part.column(1).to_pylist()
+
+
 def _digests(n: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests = [], []
-            for grams in gram_sets(batch.column(1).to_pylist(), n):
-                sizes.append(len(grams))
-                digests.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "n", "digest"])
+            for ids, texts in _parts(batch):
+                sets = list(gram_sets(texts, n))
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "n", "digest"])
 
     return task
 
 
-def _keys(n: int, percent: int):
+PACKETS = "packet string, owner int, code binary, ids array<bigint>, missing array<int>, of binary, starts binary, sent array<int>"
+
+
+def _send(n: int, percent: int, bits: int, owners: int):
+    """Rows for the owners (code: sorted distinct fingerprints), and for each packet one with owner -1 that stays.
+
+    That one has its documents, how many n-grams each may miss, the document of each n-gram in order of fingerprints, which
+    of these begin a new fingerprint, and how many fingerprints each owner was sent.
+    """
+    similarity = Similarity(percent)
+    width = (similarity.tested >> (64 - bits)) // owners + 1
+
+    def packet(ids: list[int], missing: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        prints = np.concatenate(sets) >> U(64 - bits)
+        order = np.argsort(prints, kind="stable")
+        of = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])[order]
+        prints = prints[order]
+        starts = np.diff(prints, prepend=prints[:1] + U(1)) != 0
+        distinct = prints[starts]
+        cuts = np.searchsorted(distinct, np.arange(owners + 1, dtype=U) * U(width))
+        name, sent = uuid.uuid4().hex, np.diff(cuts).tolist()
+        rows = [(name, -1, None, ids, missing, of.tobytes(), np.packbits(starts).tobytes(), sent)]
+        rows += [(name, o, golomb_encode(distinct[cuts[o] : cuts[o + 1]]), *[None] * 5) for o in range(owners) if sent[o]]
+        kinds = (pa.string(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], [x.split()[0] for x in PACKETS.split(", ")])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        similarity = Similarity(percent)
+        ids, missing, sets, held = [], [], [], 0
         for batch in batches:
-            for i in range(0, len(batch), 500):
-                part = batch.slice(i, 500)
-                sets = list(gram_sets(part.column(1).to_pylist(), n))
-                keys = [similarity.keys(s) for s in sets]
-                times = [len(k) for k in keys]
-                id_ = np.repeat(np.array(part.column(0).to_pylist(), np.int64), times)
-                size = np.repeat([len(s) for s in sets], times)
-                key = np.concatenate([np.empty(0, U), *keys]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(id_), pa.array(size, pa.int64())], ["key", "id", "n"])
+            for names, texts in _parts(batch):
+                for name, grams in zip(names, gram_sets(texts, n)):
+                    if not len(grams):
+                        continue
+                    ids.append(name)
+                    missing.append(similarity.missing(len(grams)))
+                    sets.append(grams[: np.searchsorted(grams, U(similarity.tested))])
+                    held += len(sets[-1])
+                    if held >= PACKET_GRAMS or len(ids) >= PACKET_DOCS:
+                        yield packet(ids, missing, sets)
+                        ids, missing, sets, held = [], [], [], 0
+        if ids:
+            yield packet(ids, missing, sets)
 
     return task
 
 
+def _accompanied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of each packet of which others have enough."""
+    for batch in batches:
+        for i in range(len(batch)):
+            row = {c: batch.column(c)[i].as_py() for c in ("ids", "missing", "of", "starts", "sent", "bitmaps")}
+            maps = {x["owner"]: x["bitmap"] for x in row["bitmaps"] or []}
+            common = [np.unpackbits(np.frombuffer(maps[o], np.uint8), count=k) for o, k in enumerate(row["sent"]) if k]
+            of = np.frombuffer(row["of"], np.uint16)
+            starts = np.unpackbits(np.frombuffer(row["starts"], np.uint8), count=len(of))
+            slot = np.cumsum(starts, dtype=np.int64) - 1
+            alone = (np.concatenate([np.empty(0, np.uint8), *common])[slot] == 0) & (np.bincount(slot)[slot] == 1) if len(of) else np.empty(0, bool)
+            lacking = np.bincount(of[alone], minlength=len(row["ids"]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(row["ids"], np.int64)[lacking <= np.array(row["missing"])])], ["id"])
+
+
 def _sets(n: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = [s.tobytes() for s in gram_sets(batch.column(1).to_pylist(), n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary())], ["id", "grams"])
+            for ids, texts in _parts(batch):
+                sets = list(gram_sets(texts, n))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "n", "grams"])
+
+    return task
+
+
+def _keys(percent: int):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        similarity = Similarity(percent)
+        for batch in batches:
+            for ids, sets in _parts(batch):
+                keys = [similarity.keys(np.frombuffer(s, U)) for s in sets]
+                times = [len(k) for k in keys]
+                size = np.repeat([len(s) // 8 for s in sets], times)
+                key = np.concatenate([np.empty(0, U), *keys]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(np.array(ids, np.int64), times)), pa.array(size, pa.int64())], ["key", "id", "n"])
 
     return task
 
@@ -325,6 +416,7 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     Rows that repeat a doc_id are one document: their components are joined, unless the set is empty. Rows without a
     doc_id have component null and link with nothing. An empty table gives an empty result. Other columns aren't read.
     """
+    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     rows = stored(docs.mapInArrow(_digests(n), "doc_id bigint, n bigint, digest binary"), "digests")
     some = rows.where("doc_id IS NOT NULL AND n > 0")
@@ -333,15 +425,24 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     copies = few(stored(known.groupBy("doc_id").agg(F.min("id").alias("id")).where("doc_id <> id").select("doc_id"), "copies"))
     first = docs.where("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
 
-    keys = stored(first.mapInArrow(_keys(n, percent), "key bigint, id bigint, n bigint"), "keys")
+    grams = rows.agg(F.sum("n")).first()[0] or 0
+    bits = min(63, max(16, int(grams).bit_length() + SPARE_BITS))
+    owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(grams) // OWNER_GRAMS)
+    packets = stored(first.mapInArrow(_send(n, percent, bits, owners), PACKETS), "packets")
+    codes = packets.where("owner >= 0").select("packet", "owner", "code")
+    bitmaps = codes.groupBy("owner").applyInPandas(answer, "packet string, owner int, bitmap binary")
+    bitmaps = bitmaps.groupBy("packet").agg(F.collect_list(F.struct("owner", "bitmap")).alias("bitmaps"))  # one for each owner
+    staying = packets.where("owner = -1").drop("owner", "code").join(bitmaps, "packet", "left")
+    wanted = few(stored(staying.mapInArrow(_accompanied, "id bigint").distinct(), "accompanied"))
+    texts = first.join(wanted, first["doc_id"] == wanted["id"], "left_semi")
+    sets = stored(texts.mapInArrow(_sets(n), "id bigint, n bigint, grams binary"), "sets")
+
+    keys = stored(sets.select("id", "grams").mapInArrow(_keys(percent), "key bigint, id bigint, n bigint"), "keys")
     shared = keys.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     members = stored(keys.join(shared.select("key", "least"), "key").distinct(), "members")
-    wanted = few(stored(members.select("id").distinct(), "wanted"))
-    texts = first.join(wanted, first["doc_id"] == wanted["id"], "left_semi")
-    sets = stored(texts.mapInArrow(_sets(n), "id bigint, grams binary"), "sets")
 
     def compared(buckets: DataFrame) -> DataFrame:
-        dealt = buckets.join(sets, "id").select("key", "block", "id", "component", "grams")
+        dealt = buckets.join(sets.drop("n"), "id").select("key", "block", "id", "component", "grams")
         dealt = dealt.repartition("key", "block").sortWithinPartitions("key", "block")
         return dealt.mapInArrow(_links(percent), "a bigint, b bigint")
 
