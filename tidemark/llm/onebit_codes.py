@@ -111,6 +111,9 @@ def search(query_ids, queries, ids, vectors, codes, factors, k: int, epsilon: fl
             slack = 1e-5 * float(np.abs(turned).max()) * float(length.max())  # the estimates are in single precision
             chosen = np.flatnonzero(estimate + spread * math.sqrt(float(query @ query)) + slack >= worst)
             chosen = np.union1d(chosen[ids[chosen] != query_id], first)
+            quick = vectors[chosen] @ query  # may differ from the exact order of sums in the last digits
+            if len(quick) > k:
+                chosen = chosen[quick >= np.partition(quick, -k)[-k] - 1e-9 * max(1.0, float(np.abs(quick).max()))]
             scores = exact(vectors[chosen], query)
             best = np.lexsort((ids[chosen], -scores))[:k]
             yield query_id, ids[chosen][best], scores[best]
