@@ -195,36 +195,63 @@ def _children(x: np.ndarray, y: np.ndarray, count: int) -> tuple[np.ndarray, np.
     return a[keep], b[keep]
 
 
+def _bitmap(grams: np.ndarray, bits: int) -> np.ndarray:
+    """2**bits bits, of which one is set for each n-gram, by the first bits of its hash."""
+    marks = np.zeros(1 << bits, bool)
+    marks[(grams >> U(64 - bits)).astype(np.int64)] = True
+    return np.packbits(marks).view(U)
+
+
+def _halved(bitmap: np.ndarray) -> np.ndarray:
+    """The bitmap of the same n-grams with half as many bits."""
+    return np.packbits(np.unpackbits(bitmap.view(np.uint8)).reshape(-1, 2).any(axis=1)).view(U)
+
+
+class Tree:
+    """A signature tree over sets that are given by size and bitmap, in order of size; labels: their components."""
+
+    def __init__(self, sizes: np.ndarray, bitmaps: np.ndarray, labels: np.ndarray, similarity: Similarity):
+        self.levels, self.labels, self.similarity = _levels(bitmaps, sizes), labels, similarity
+
+    def hopeful(self, level: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Of pairs of nodes: whether leaves of both may link, and not all are in one component."""
+        union, common, low, high = self.levels[level]
+        percent, labels, begin = self.similarity.percent, self.labels, np.arange(0, len(self.labels), FANOUT**level)
+        sized = (100 * high[x] >= percent * low[y]) & (100 * high[y] >= percent * low[x])
+        apart = [np.bitwise_count(common[p] & ~union[q]).sum(axis=1).astype(np.int64) for p, q in ((x, y), (y, x))]
+        overlap = np.minimum(high[x] - apart[0], high[y] - apart[1])
+        first, last = np.minimum.reduceat(labels, begin), np.maximum.reduceat(labels, begin)
+        settled = (first[x] == last[x]) & (first[y] == last[y]) & (first[x] == first[y])
+        return sized & self.similarity.linked(overlap, low[x] + low[y]) & ~settled
+
+    def pairs(self, level: int | None = None, x=None, y=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of leaves that may link, from the root down, near ones first. Labels may change meanwhile."""
+        if level is None:
+            level, x, y = len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64)
+        for i in range(0, len(x), 256):
+            a, b = x[i : i + 256], y[i : i + 256]
+            if level:
+                keep = self.hopeful(level, a, b)
+                a, b = _children(a[keep], b[keep], len(self.levels[level - 1][2]))
+                nearest = np.argsort(b - a, kind="stable")
+                yield from self.pairs(level - 1, a[nearest], b[nearest])
+            else:
+                a, b = a[a < b], b[a < b]
+                keep = self.hopeful(0, a, b)
+                yield a[keep], b[keep]
+
+
 def tree_links(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], similarity: Similarity) -> list[tuple[int, int]]:
     """Links between leaves of different components (``labels``) that connect all linked leaves, by dual traversal."""
     sizes = np.array([len(s) for s in sets])
     order = np.lexsort((ids, sizes))
     ids, sizes, sets = ids[order], sizes[order], [sets[i] for i in order]
     labels = np.unique(labels[order], return_inverse=True)[1]
+    links: list[tuple[int, int]] = []
     if labels.max(initial=0) == 0:
-        return []
+        return links
     bits = min(12, max(6, int(2 * sizes.max()).bit_length()))
-    bitmaps = np.zeros((len(sets), 1 << bits - 6), U)
-    for i, s in enumerate(sets):
-        bit = s >> U(64 - bits)
-        np.bitwise_or.at(bitmaps[i], (bit >> U(6)).astype(np.int64), U(1) << (bit & U(63)))
-    levels = _levels(bitmaps, sizes)
-    links: list[tuple[int, int]] = []
-
-    def hopeful(level: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        union, common, low, high = levels[level]
-        sized = (100 * high[x] >= similarity.percent * low[y]) & (100 * high[y] >= similarity.percent * low[x])
-        apart = [np.bitwise_count(common[p] & ~union[q]).sum(axis=1).astype(np.int64) for p, q in ((x, y), (y, x))]
-        overlap = np.minimum(high[x] - apart[0], high[y] - apart[1])
-        width = FANOUT**level
-        first = np.minimum.reduceat(labels, np.arange(0, len(labels), width))
-        last = np.maximum.reduceat(labels, np.arange(0, len(labels), width))
-        settled = (first[x] == last[x]) & (first[y] == last[y]) & (first[x] == first[y])
-        return sized & similarity.linked(overlap, low[x] + low[y]) & ~settled
-
-    def compare(x: np.ndarray, y: np.ndarray) -> None:
-        nearest = np.argsort(y - x, kind="stable")
-        x, y = x[nearest], y[nearest]
+    for x, y in Tree(sizes, np.stack([_bitmap(s, bits) for s in sets]), labels, similarity).pairs():
         while len(x):
             for a, b in zip(x[:256].tolist(), y[:256].tolist()):
                 if labels[a] != labels[b] and ids[a] != ids[b]:
@@ -234,20 +261,27 @@ def tree_links(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], simi
                         labels[labels == labels[b]] = labels[a]
             left = labels[x[256:]] != labels[y[256:]]
             x, y = x[256:][left], y[256:][left]
+    return links
 
-    def descend(level: int, x: np.ndarray, y: np.ndarray) -> None:
-        for i in range(0, len(x), 1024):
-            a, b = x[i : i + 1024], y[i : i + 1024]
-            if level:
-                a, b = _children(a[(keep := hopeful(level, a, b))], b[keep], len(levels[level - 1][2]))
-                nearest = np.argsort(b - a, kind="stable")
-                descend(level - 1, a[nearest], b[nearest])
-            else:
-                a, b = a[a < b], b[a < b]
-                compare(a[(keep := hopeful(0, a, b))], b[keep])
 
-    descend(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))
-    return links
+def tree_hopes(labels: np.ndarray, sizes: np.ndarray, bitmaps: list[np.ndarray], similarity: Similarity) -> np.ndarray:
+    """Which leaves may link with one of another component, as far as the bitmaps tell."""
+    hope = np.zeros(len(sizes), bool)
+    order = np.argsort(sizes, kind="stable")
+    labels = np.unique(labels[order], return_inverse=True)[1]
+    if labels.max(initial=0) == 0:
+        return hope
+    least = min(len(m) for m in bitmaps)
+    maps = []
+    for i in order:
+        m = bitmaps[i]
+        while len(m) > least:
+            m = _halved(m)
+        maps.append(m)
+    for x, y in Tree(sizes[order], np.stack(maps), labels, similarity).pairs():
+        apart = labels[x] != labels[y]
+        hope[order[x[apart]]] = hope[order[y[apart]]] = True
+    return hope
 
 
 def _parts(batch: pa.RecordBatch, rows: int = 500) -> Iterator[tuple[list, list]]:
@@ -353,36 +387,64 @@ def _keys(percent: int):
     return task
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps of some eight bits for each n-gram."""
+    for batch in batches:
+        for ids, sets in _parts(batch):
+            grams = [np.frombuffer(s, U) for s in sets]
+            maps = [_bitmap(g, min(18, max(6, (8 * len(g)).bit_length()))).tobytes() for g in grams]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(g) for g in grams], pa.int64()), pa.array(maps, pa.binary())], ["id", "n", "bitmap"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """Runs of two or more rows with the same key and block."""
+    held, at = [], None
+    for batch in batches:
+        groups = zip(batch.column("key").to_pylist(), batch.column("block").to_pylist())
+        for i, group in enumerate(groups):
+            if group != at:
+                if len(held) > 1:
+                    yield held
+                held, at = [], group
+            held.append({c: batch.column(c)[i].as_py() for c in batch.schema.names})
+    if len(held) > 1:
+        yield held
+
+
 def _links(percent: int):
     """Of rows (key, block, id, component, grams) sorted by key and block."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        similarity, held, at = Similarity(percent), [], None
+        similarity = Similarity(percent)
+        for rows in _groups(batches):
+            ids, labels = (np.array([r[c] for r in rows], np.int64) for c in ("id", "component"))
+            found = tree_links(ids, labels, [np.frombuffer(r["grams"], U) for r in rows], similarity)
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-        def links() -> pa.RecordBatch:
-            ids, labels = (np.array([r[i] for r in held], np.int64) for i in (0, 1))
-            found = tree_links(ids, labels, [np.frombuffer(r[2], U) for r in held], similarity) if len(held) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+    return task
 
-        for batch in batches:
-            groups = zip(batch.column("key").to_pylist(), batch.column("block").to_pylist())
-            for i, group in enumerate(groups):
-                if group != at:
-                    if len(held) > 1:
-                        yield links()
-                    held, at = [], group
-                held.append(tuple(batch.column(c)[i].as_py() for c in ("id", "component", "grams")))
-        if len(held) > 1:
-            yield links()
+
+def _hopes(percent: int):
+    """Of rows (key, block, id, component, n, bitmap) sorted by key and block: those that may link in their bucket."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        similarity = Similarity(percent)
+        for rows in _groups(batches):
+            labels, sizes = (np.array([r[c] for r in rows], np.int64) for c in ("component", "n"))
+            hope = tree_hopes(labels, sizes, [np.frombuffer(r["bitmap"], U) for r in rows], similarity)
+            left = [r for r, h in zip(rows, hope) if h]
+            kinds = (("key", pa.int64()), ("block", pa.string()), ("id", pa.int64()), ("component", pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in left], t) for c, t in kinds], [c for c, _ in kinds])
 
     return task
 
 
-def _linked_by_key(members: DataFrame, compared) -> DataFrame:
+def _linked_by_key(members: DataFrame, compared, hopeful) -> DataFrame:
     """Links among ``members`` (key, id, blocks), bucket by bucket.
 
     First each set is compared in one of its buckets only, then in another, which settles nearly all groups. Last, every
-    bucket that still holds different components is compared in full, each pair of its blocks by a task.
+    bucket that still holds different components is compared in full, each pair of its blocks by a task: first by bitmaps
+    alone, which are far smaller than sets; the sets that may link go on to be compared exactly.
     """
     links, open_ = None, members.withColumn("component", F.col("id"))
     for way, pick in (("one", F.min), ("another", F.max), ("all", None)):
@@ -391,7 +453,7 @@ def _linked_by_key(members: DataFrame, compared) -> DataFrame:
             other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
             buckets = open_.withColumn("own", block).withColumn("other", other)
             pair = F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other"))
-            buckets = buckets.select("key", pair.alias("block"), "id", "component")
+            buckets = stored(hopeful(buckets.select("key", pair.alias("block"), "id", "component")), "hopes")
         else:
             picked = open_.groupBy("id").agg(pick("key").alias("key"))
             buckets = open_.join(picked, ["id", "key"]).select("key", block.cast("string").alias("block"), "id", "component")
@@ -446,6 +508,12 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
         dealt = dealt.repartition("key", "block").sortWithinPartitions("key", "block")
         return dealt.mapInArrow(_links(percent), "a bigint, b bigint")
 
+    def hopeful(buckets: DataFrame) -> DataFrame:
+        marks = sets.select("id", "grams").mapInArrow(_marks, "id bigint, n bigint, bitmap binary")
+        dealt = buckets.join(marks, "id").select("key", "block", "id", "component", "n", "bitmap")
+        dealt = dealt.repartition("key", "block").sortWithinPartitions("key", "block")
+        return dealt.mapInArrow(_hopes(percent), "key bigint, block string, id bigint, component bigint")
+
     def blocks(rows: DataFrame, by: str) -> DataFrame:
         """How many blocks each bucket needs."""
         need = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_GRAMS), F.lit(1))
@@ -465,7 +533,7 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     if not large.isEmpty():
         members = members.join(large, "id")
         members = stored(members.join(blocks(members, "key"), "key"), "large")
-        links = stored(links.unionByName(_linked_by_key(members, compared)), "links")
+        links = stored(links.unionByName(_linked_by_key(members, compared, hopeful)), "links")
         found = stored(components(links), "found")
     reached = known.distinct().join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
     reached = reached.groupBy("doc_id").agg(F.min("component").alias("reached"))
