@@ -22,7 +22,7 @@ BUCKETS = 1 << BITS
 #: The model has BUCKETS numbers for each language and is sent to every task: 128 KB a language, 16 MB at most.
 MOST_LANGUAGES = 128
 #: Characters that a task looks at together; longer texts are taken in slices of this length.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Components of a document's mixture, at most; rounds of EM on all components, and on each set.
 MOST_COMPONENTS, ROUNDS, ROUNDS_OF_SET = 4, 12, 6
 UNDETERMINED = "und"

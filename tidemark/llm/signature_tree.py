@@ -14,8 +14,9 @@ follows. Two nodes are compared from the root down and given up if that overlap
 one component already. What remains at the leaves is computed on the n-grams themselves.
 
 A bucket yields links that connect what belongs together, not all its pairs. Buckets that overlap are put together to a
-cluster, which a task compares as one tree, so each set is sent once. Clusters that are too large for a task are compared
-bucket by bucket, large buckets block by block; no link between components is lost.
+cluster, which a task compares as one tree, so each set is sent once. Clusters that are too large for a task are cut into
+blocks, each pair of which meets in a task; still larger ones are compared bucket by bucket. No link between components is
+lost.
 """
 
 from __future__ import annotations
@@ -37,16 +38,18 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 U = np.uint64
 #: Bytes that a task hashes together; longer texts are hashed alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Sets, and n-grams of all of them, in a block that is compared in one task.
 BLOCK_SETS, BLOCK_GRAMS = 4096, 4_000_000
+#: A cluster of up to so many blocks is compared pair of blocks by pair of blocks, a larger one bucket by bucket.
+CLUSTER_BLOCKS = 32
 FANOUT = 8
 #: Ways to deal the n-grams, for sets that leave many parts empty.
 DEALS = 12
 #: A fingerprint has so many bits more than it takes to number all n-grams: one in 16 clashes with another.
 SPARE_BITS = 4
 #: A task sends what it has after so many n-grams or documents; an owner has so many to compare.
-PACKET_GRAMS, PACKET_DOCS, OWNER_GRAMS = 2_000_000, 60_000, 4_000_000
+PACKET_GRAMS, PACKET_DOCS, OWNER_GRAMS = 1_000_000, 60_000, 4_000_000
 #: A size class ends at so many times its beginning.
 CLASS = 1.3
 
@@ -73,7 +76,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     x = np.frombuffer(b" " + data + b" ", np.uint8)
     space = SPACE[x]
     begin, end = np.flatnonzero(space[:-1] & ~space[1:]) + 1, np.flatnonzero(~space[:-1] & space[1:]) + 1
-    powers, inverse = _powers(1 << max(20, int(len(x) - 1).bit_length()))
+    powers, inverse = _powers(1 << max(18, int(len(x) - 1).bit_length()))
     total = np.cumsum(BYTES[x] * powers[: len(x)], dtype=U)
     return _mixed((total[end - 1] - total[begin - 1]) * inverse[begin]), begin - 1
 
@@ -228,8 +231,8 @@ class Tree:
         """Pairs of leaves that may link, from the root down, near ones first. Labels may change meanwhile."""
         if level is None:
             level, x, y = len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64)
-        for i in range(0, len(x), 256):
-            a, b = x[i : i + 256], y[i : i + 256]
+        for i in range(0, len(x), 128):
+            a, b = x[i : i + 128], y[i : i + 128]
             if level:
                 keep = self.hopeful(level, a, b)
                 a, b = _children(a[keep], b[keep], len(self.levels[level - 1][2]))
@@ -526,10 +529,21 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     near = near.withColumnRenamed("component", "cluster").join(members.groupBy("id").agg(F.max("n").alias("n")), "id")
     near = stored(near, "clusters")
     near = stored(near.join(blocks(near, "cluster"), "cluster"), "clusters")
-    small = near.where("blocks = 1").select(F.col("cluster").alias("key"), F.lit("0").alias("block"), "id", F.col("id").alias("component"))
-    links = stored(compared(small).unionByName(alike), "links")
+    cut = near.where(F.col("blocks") <= CLUSTER_BLOCKS).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cut = cut.withColumnRenamed("cluster", "key").select("key", "blocks", "own", "id")
+    inside = cut.select("key", F.col("own").cast("string").alias("block"), "id", F.col("id").alias("component"))
+    links = stored(compared(inside).unionByName(alike), "links")
     found = stored(components(links), "found")
-    large = near.where("blocks > 1").select("id")
+    several = cut.where("blocks > 1")
+    if not several.isEmpty():  # then all pairs of blocks of a cluster
+        named = several.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        mixed = named.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+        pairs = named.join(mixed.select("key"), "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        pair = F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other"))
+        pairs = pairs.where("own <> other").select("key", pair.alias("block"), "id", "component")
+        links = stored(links.unionByName(compared(pairs)), "links")
+        found = stored(components(links), "found")
+    large = near.where(F.col("blocks") > CLUSTER_BLOCKS).select("id")
     if not large.isEmpty():
         members = members.join(large, "id")
         members = stored(members.join(blocks(members, "key"), "key"), "large")

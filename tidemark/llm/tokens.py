@@ -37,15 +37,8 @@ class Encoder:
     """
 
     def __init__(self, path: str | None = None):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        path = tokenizer_path(path)
-        self.full = Tokenizer.from_file(path)
-        self.full.no_truncation()
-        self.full.no_padding()
-        self.plain = None
-        ranks = os.path.splitext(path)[0] + ".tiktoken"
+        self.path, self.plain = tokenizer_path(path), None
+        ranks = os.path.splitext(self.path)[0] + ".tiktoken"
         if os.path.exists(ranks):
             import public_tokenizers
             import tiktoken
@@ -54,6 +47,16 @@ class Encoder:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
+    @functools.cached_property
+    def full(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def encode(self, text: str) -> list[int]:
         if self.plain is not None and PLAIN.fullmatch(text) and SPECIAL not in text:
             if len(text) < LONG_WORD or max(map(len, text.split()), default=0) < LONG_WORD:
