@@ -23,7 +23,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps don't compute it again, lost executors don't matter."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.path = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing will read any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def running_total(df: DataFrame, order: Sequence[Column], measure: str, name: str) -> DataFrame:
@@ -70,6 +80,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         small = large.join(down, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         after = stored(small.select("e.*").where("a <> b").distinct(), name)
         if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
+            forget(edges)
             stars = after.select(F.col("a").alias("id"), F.col("b").alias("component"))
             return stars.unionByName(after.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+        forget(edges)
         edges = after

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fingerprint_exchange import answer, golomb_encode
-from .shared import components, few, same, stored
+from .shared import components, few, forget, same, stored
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -498,13 +498,16 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     bitmaps = codes.groupBy("owner").applyInPandas(answer, "packet string, owner int, bitmap binary")
     bitmaps = bitmaps.groupBy("packet").agg(F.collect_list(F.struct("owner", "bitmap")).alias("bitmaps"))  # one for each owner
     staying = packets.where("owner = -1").drop("owner", "code").join(bitmaps, "packet", "left")
-    wanted = few(stored(staying.mapInArrow(_accompanied, "id bigint").distinct(), "accompanied"))
+    accompanied = stored(staying.mapInArrow(_accompanied, "id bigint").distinct(), "accompanied")
+    forget(packets)
+    wanted = few(accompanied)
     texts = first.join(wanted, first["doc_id"] == wanted["id"], "left_semi")
     sets = stored(texts.mapInArrow(_sets(n), "id bigint, n bigint, grams binary"), "sets")
 
     keys = stored(sets.select("id", "grams").mapInArrow(_keys(percent), "key bigint, id bigint, n bigint"), "keys")
     shared = keys.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     members = stored(keys.join(shared.select("key", "least"), "key").distinct(), "members")
+    forget(keys)
 
     def compared(buckets: DataFrame) -> DataFrame:
         dealt = buckets.join(sets.drop("n"), "id").select("key", "block", "id", "component", "grams")
@@ -549,6 +552,7 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
         members = stored(members.join(blocks(members, "key"), "key"), "large")
         links = stored(links.unionByName(_linked_by_key(members, compared, hopeful)), "links")
         found = stored(components(links), "found")
+    forget(sets)
     reached = known.distinct().join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
     reached = reached.groupBy("doc_id").agg(F.min("component").alias("reached"))
     out = rows.join(reached, "doc_id", "left")

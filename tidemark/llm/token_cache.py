@@ -67,7 +67,8 @@ def count_tokens(docs: DataFrame, cache: str | None = None, tokenizer: str | Non
     skipped = keyed.join(first.where("times > 1 or known"), "digest").where("known or not (doc_id <=> first)")
     skipped = few(stored(skipped.select("doc_id", "digest").distinct(), "skipped"))
     missing = docs.join(skipped, same(docs, skipped, "doc_id", "digest"), "left_anti")
-    missing.select("digest", "text").mapInArrow(_counts(version, tokenizer), CACHE).write.mode("append").parquet(cache)
+    counted = missing.select("digest", "text").mapInArrow(_counts(version, tokenizer), CACHE)
+    counted.distinct().write.mode("append").parquet(cache)  # rows repeated with doc_id and text may be in several tasks
     counts = read_cache(spark, cache).where(F.col("version") == version)
     counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
