@@ -104,3 +104,14 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "g string, k int, v double")
     assert ranked(df, ["g"], ["v", "k"]).count() == 0
     assert ranked(df, [], ["v", "k"], rows_per_task=0).count() == 0
+
+
+def test_null_sums_and_types_are_alike_at_every_size(spark):
+    rows = [(g, k, None if k < 3 or k % 4 == 0 else k) for g in ("a", None) for k in range(40)]
+    df = spark.createDataFrame(rows, "g string, k int, x int")
+
+    def made(rows_per_task):
+        out = ranked(df, ["g"], ["k"], position="n", running={"s": F.col("x")}, rows_per_task=rows_per_task)
+        return out.dtypes, sorted(map(str, out.collect()))
+
+    assert made(5) == made(10**9)

@@ -133,13 +133,13 @@ def ranked(
 def _ranked_plain(df, by, order, position, running, group_rows, ties):
     ordered = Window.partitionBy(*by).orderBy(*sort_columns(order))
     up_to_row = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    new = [F.row_number().over(ordered).alias(position)]
-    new += [F.sum(expr).over(up_to_row).alias(name) for name, expr in running.items()]
+    new = [F.row_number().over(ordered).cast("long").alias(position)]
+    new += [F.sum(F.coalesce(expr, F.lit(0))).over(up_to_row).alias(name) for name, expr in running.items()]
     if group_rows:
         new.append(F.count(F.lit(1)).over(Window.partitionBy(*by)).alias(group_rows))
     if ties:
         value = order[0]
-        first = F.rank().over(Window.partitionBy(*by).orderBy(*sort_columns([value])))
+        first = F.rank().over(Window.partitionBy(*by).orderBy(*sort_columns([value]))).cast("long")
         equal = F.count(F.lit(1)).over(Window.partitionBy(*by, _name(value)))
         new += [first.alias(ties[0]), (first + equal - 1).alias(ties[1])]
     return df.select("*", *new)
@@ -186,7 +186,7 @@ def _ranked_split(df, by, order, position, running, group_rows, ties, sizes, uni
 
     local = Window.partitionBy(*by, "_b").orderBy(*sort_columns(order))
     up_to_row = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    new = [(F.col("_offset") + F.row_number().over(local)).cast("int" if sizes.total < 2**31 else "long").alias(position)]
+    new = [(F.col("_offset") + F.row_number().over(local)).cast("long").alias(position)]
     for name in running:
         new.append((F.col(f"_o_{name}") + F.sum(f"_x_{name}").over(up_to_row)).alias(name))
     if group_rows:

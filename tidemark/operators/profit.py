@@ -230,10 +230,11 @@ def leaderboard(
 ) -> DataFrame:
     """Public, private and total gain of predictions against a truth that is split in folds.
 
-    Predictions update the truth by key; a customer without prediction is not contacted.
+    Predictions update the truth by key; a customer without prediction is not contacted. With ``by`` such a customer
+    belongs to no group, so it is left out: it would add nothing but a group of its own.
     """
     shares = shares or {1: ("public", 0.3), 2: ("private", 0.7)}
-    updated = truth.join(predictions.select(*keys, *by, predicted), list(keys), "left")
+    updated = truth.join(predictions.select(*keys, *by, predicted), list(keys), "inner" if by else "left")
     counts = updated.groupBy(*by, fold, predicted, label).agg(F.count(F.lit(1)).alias("qty"))
     contacted = F.when(F.col(predicted) == 1, F.col("qty") * gain(label))
     measures = [

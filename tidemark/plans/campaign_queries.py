@@ -35,5 +35,5 @@ def campaign_contacts(spark, folder):
         return models.train_forest(rows, inputs, numTrees=10, maxDepth=4, seed=seed)
 
     months = [201800 + m for m in range(1, 13)]
-    chosen = choose_contacts(table, months, [201901, 201902], 100, fit, [102191, 200177])
+    chosen = choose_contacts(table, months, [201901, 201902], 100, fit, [31, 47])
     return rounded(chosen.select(*BANK_KEYS, "prob", "Predicted"), ["prob"])

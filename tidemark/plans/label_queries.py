@@ -28,21 +28,15 @@ def churn_label_gap(spark, folder):
     return p.labelled(spark, folder).select("cust", "period", "label")
 
 
-MONTH_ENDS = p.MONTH + """, dated AS (
-    SELECT *, last_day(make_date(foto_mes // 100, foto_mes % 100, 1)) AS ends,
-           CAST(row_number() OVER (PARTITION BY cust ORDER BY foto_mes) AS INTEGER) AS tenure FROM panel_month
-)
+HELD_MONTHS = p.MONTH + """, numbered AS (SELECT *, foto_mes // 100 * 12 + foto_mes % 100 AS m FROM panel_month),
+held AS (SELECT cust, list(m) AS months FROM numbered GROUP BY cust), edge AS (SELECT max(m) AS final FROM numbered)
 """
 
 
 @query(
-    MONTH_ENDS + """, limits AS (SELECT max(ends) AS last, last_day(max(ends) - INTERVAL 1 MONTH) AS before FROM dated)
-    SELECT t0.cust, t0.foto_mes,
-        CASE WHEN t0.ends = last THEN NULL WHEN t2.ends IS NULL AND t0.ends = before THEN NULL
-             WHEN t1.ends IS NULL THEN 'BAJA+1' WHEN t2.ends IS NULL THEN 'BAJA+2' ELSE 'CONTINUA' END AS label
-    FROM dated t0 CROSS JOIN limits
-    LEFT JOIN dated t1 ON t0.cust = t1.cust AND last_day(t0.ends + INTERVAL 1 MONTH) = t1.ends
-    LEFT JOIN dated t2 ON t0.cust = t2.cust AND last_day(t0.ends + INTERVAL 2 MONTH) = t2.ends"""
+    HELD_MONTHS + """SELECT cust, foto_mes, if(m >= final - 1 AND NOT list_contains(months, m + 2) OR m = final, NULL,
+        if(list_contains(months, m + 1), if(list_contains(months, m + 2), 'CONTINUA', 'BAJA+2'), 'BAJA+1')) AS label
+    FROM numbered JOIN held USING (cust), edge"""
 )
 def churn_label_calendar(spark, folder):
     panel = p.panel_month(spark, folder)
@@ -51,17 +45,15 @@ def churn_label_calendar(spark, folder):
 
 
 @query(
-    MONTH_ENDS + """, found AS (
-        SELECT t0.cust, t0.foto_mes, t0.ends, max(t1.ends) AS final, min(t1.tenure) AS min_later_tenure,
-               max(t2.ends) AS near
-        FROM dated t0 LEFT JOIN dated t1 ON t0.cust = t1.cust AND t0.ends < t1.ends
-        LEFT JOIN dated t2 ON t0.cust = t2.cust AND t2.ends > t0.ends AND t2.ends <= last_day(t0.ends + INTERVAL 2 MONTH)
-        GROUP BY ALL
+    HELD_MONTHS + """, seen AS (
+        SELECT cust, foto_mes, m, list_filter(months, lambda x: x > m) AS later, len(months) AS held_months
+        FROM numbered JOIN held USING (cust), edge WHERE m + 2 <= final
     )
-    SELECT cust, foto_mes, min_later_tenure, CAST(year(near) * 12 + month(near) AS INTEGER) AS last_within_two,
-        CASE WHEN final IS NULL THEN 'BAJA+1' WHEN final = last_day(ends + INTERVAL 1 MONTH) THEN 'BAJA+2'
-             ELSE 'CONTINUA' END AS label
-    FROM found WHERE ends < (SELECT max(ends) - INTERVAL 1 MONTH FROM found)"""
+    SELECT cust, foto_mes,
+        CAST(if(len(later) = 0, NULL, held_months - len(later) + 1) AS INTEGER) AS min_later_tenure,
+        CAST(list_max(list_filter(later, lambda x: x <= m + 2)) AS INTEGER) AS last_within_two,
+        ['BAJA+1', 'BAJA+2', 'CONTINUA'][1 + (len(later) > 0)::INT + coalesce(list_max(later) > m + 1, false)::INT] AS label
+    FROM seen"""
 )
 def churn_label_never_back(spark, folder):
     from pyspark.sql import Window
@@ -73,16 +65,12 @@ def churn_label_never_back(spark, folder):
 
 
 @query(
-    p.DAY + """, every AS (
-        SELECT cust, period FROM (SELECT DISTINCT cust FROM panel_day) CROSS JOIN (SELECT DISTINCT period FROM panel_day)
-    ), flagged AS (
-        SELECT e.cust, e.period, CASE WHEN d.cust IS NULL THEN 0 ELSE 1 END AS present_0
-        FROM every e LEFT JOIN panel_day d ON e.cust = d.cust AND e.period = d.period
-    ), ahead AS (
-        SELECT *, lead(present_0, 1) OVER (PARTITION BY cust ORDER BY period) AS present_1,
-               lead(present_0, 2) OVER (PARTITION BY cust ORDER BY period) AS present_2 FROM flagged
-    )
-    SELECT * FROM ahead WHERE present_0 = 1"""
+    p.DAY + """, span AS (SELECT list_sort(list(DISTINCT period)) AS every FROM panel_day),
+    own AS (SELECT cust, list(period) AS mine FROM panel_day GROUP BY cust),
+    placed AS (SELECT cust, period, mine, every, list_position(every, period) AS k FROM panel_day JOIN own USING (cust), span)
+    SELECT DISTINCT cust, period, 1 AS present_0,
+        if(k + 1 > len(every), NULL, list_contains(mine, every[k + 1])::INT) AS present_1,
+        if(k + 2 > len(every), NULL, list_contains(mine, every[k + 2])::INT) AS present_2 FROM placed"""
 )
 def churn_flags_on_lattice(spark, folder):
     ahead = labels.presence_ahead(p.panel_day(spark, folder))
@@ -106,6 +94,12 @@ def next_rows(spark, folder):
     return led.select("cust", "period", "period_lead1", "period_lead2")
 
 
+MONTH_ENDS = p.MONTH + """, dated AS (
+    SELECT *, last_day(make_date(foto_mes // 100, foto_mes % 100, 1)) AS ends FROM panel_month
+)
+"""
+
+
 @query(
     MONTH_ENDS + """SELECT foto_mes, CAST((foto_mes // 100) * 12 + foto_mes % 100 AS INTEGER) AS month_no, ends,
         make_date(foto_mes // 100, foto_mes % 100, 1) AS starts, CAST(foto_mes % 100 AS INTEGER) AS kmes,

@@ -283,12 +283,11 @@ def mean_joined_to_rows(spark, folder):
     )
 
 
-LATTICE_SQL = p.DAY + """, every AS (
-    SELECT cust, period FROM (SELECT DISTINCT cust FROM panel_day) CROSS JOIN (SELECT DISTINCT period FROM panel_day)
-), flagged AS (
-    SELECT e.cust, e.period, CASE WHEN d.cust IS NULL THEN 0 ELSE 1 END AS present
-    FROM every e LEFT JOIN panel_day d ON e.cust = d.cust AND e.period = d.period
-)"""
+LATTICE_SQL = p.DAY + """, span AS (SELECT list(DISTINCT period) AS every FROM panel_day),
+own AS (SELECT cust, list(period) AS mine FROM panel_day GROUP BY cust),
+pairs AS (SELECT cust, mine, unnest(every) AS period FROM own, span),
+flagged AS (SELECT cust, period, list_contains(mine, period)::INT AS present FROM pairs)
+"""
 
 
 @query(LATTICE_SQL + "SELECT * FROM flagged")

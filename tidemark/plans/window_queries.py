@@ -261,27 +261,20 @@ def deflated_money(spark, folder):
     return rounded(made.select(*BANK_KEYS, *money), money, 4)
 
 
-BONUS_SQL = BANK + """, bonus AS (
-    SELECT numero_de_cliente, foto_mes, pay_rise, trx_rise, trx_before,
-           CASE WHEN mpayroll / before1 >= 1.3 AND mpayroll / before2 >= 1.3 THEN 1 ELSE 0 END AS is_bonus
-    FROM (
-        SELECT *, mpayroll - before1 AS pay_rise, cpayroll_trx - trx_before AS trx_rise FROM (
-            SELECT *, lag(mpayroll, 1) OVER w AS before1, lag(mpayroll, 2) OVER w AS before2,
-                   lag(cpayroll_trx, 1) OVER w AS trx_before
-            FROM bank WINDOW w AS (PARTITION BY numero_de_cliente ORDER BY foto_mes)
-        )
-    ) WHERE foto_mes IN (201906, 201912, 202006, 202012, 202106)
+BONUS_SQL = BANK + """, placed AS (
+    SELECT *, row_number() OVER (PARTITION BY numero_de_cliente ORDER BY foto_mes) AS place,
+        list_contains([201906, 201912, 202006, 202012, 202106], foto_mes) AS listed,
+        least(foto_mes, 202106) // 100 * 2 + (least(foto_mes, 202106) % 100 > 6)::INT AS half FROM bank
+), rises AS (
+    SELECT now.numero_de_cliente, now.half, now.mpayroll - one.mpayroll AS rise,
+        if(now.cpayroll_trx > one.cpayroll_trx, one.cpayroll_trx, NULL) AS earlier_count
+    FROM placed now JOIN placed one ON one.numero_de_cliente = now.numero_de_cliente AND one.place = now.place - 1
+    JOIN placed two ON two.numero_de_cliente = now.numero_de_cliente AND two.place = now.place - 2
+    WHERE now.listed AND now.mpayroll / one.mpayroll >= 1.3 AND now.mpayroll / two.mpayroll >= 1.3
 )
-SELECT k.numero_de_cliente, k.foto_mes,
-    round(CASE WHEN b.pay_rise IS NULL OR b.is_bonus = 0 THEN k.mpayroll
-         WHEN k.foto_mes IN (201906, 201912, 202006, 202012, 202106) THEN k.mpayroll - b.pay_rise + b.pay_rise / 6
-         ELSE k.mpayroll + b.pay_rise / 6 END, 4) AS mpayroll,
-    CASE WHEN b.pay_rise IS NULL OR b.is_bonus = 0 THEN k.cpayroll_trx
-         WHEN k.foto_mes IN (201906, 201912, 202006, 202012, 202106) THEN CASE WHEN b.trx_rise > 0 THEN b.trx_before END
-         ELSE k.cpayroll_trx END AS cpayroll_trx
-FROM bank k LEFT JOIN bonus b ON k.numero_de_cliente = b.numero_de_cliente
-AND b.foto_mes = CASE WHEN k.foto_mes > 202106 THEN 202106 WHEN k.foto_mes % 100 <= 6 THEN (k.foto_mes // 100) * 100 + 6
-                      ELSE (k.foto_mes // 100) * 100 + 12 END"""
+SELECT numero_de_cliente, foto_mes, round(mpayroll - if(listed, coalesce(rise, 0), 0) + coalesce(rise, 0) / 6, 4) AS mpayroll,
+    if(listed AND rise IS NOT NULL, earlier_count, cpayroll_trx) AS cpayroll_trx
+FROM placed LEFT JOIN rises USING (numero_de_cliente, half)"""
 
 
 @query(BONUS_SQL)
