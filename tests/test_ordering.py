@@ -115,3 +115,22 @@ def test_null_sums_and_types_are_alike_at_every_size(spark):
         return out.dtypes, sorted(map(str, out.collect()))
 
     assert made(5) == made(10**9)
+
+
+@pytest.mark.parametrize("by", [["g"], []])
+def test_a_hot_value_stays_off_the_driver(spark, monkeypatch, by):
+    rows = [("a" if k % 3 else None, 0.0 if k % 10 else float(k)) for k in range(6000)]
+    df, probabilities = spark.createDataFrame(rows, "g string, v double"), [0, 0.05, 0.9, 0.95, 1]
+    taken, collect = [], type(df).collect
+
+    def counted(self):
+        taken.append(collect(self))
+        return taken[-1]
+
+    monkeypatch.setattr(type(df), "collect", counted)
+    found = exact_quantiles(df, by, "v", probabilities, rows_per_task=100)
+    ranked(df, [], ["v"], rows_per_task=100)
+    assert taken and max(map(len, taken)) <= 601  # distinct values, not 6000 rows
+    for row in collect(found):
+        values = [v for g, v in rows if not by or g == row["g"]]
+        assert np.allclose(row["quantiles"], np.quantile(values, probabilities))

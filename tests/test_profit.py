@@ -90,8 +90,9 @@ def test_stability_of_an_empty_bin(spark):
     sides = (F.col("side") == "e", F.col("side") == "a")
     plain = quality.psi(df, "x", *sides, buckets=2).first()["psi"]
     shares = quality.psi(df, "x", *sides, buckets=2, epsilon=0.001).first()["psi"]
-    assert plain == pytest.approx(0.5 * np.log(2))
+    assert plain == np.inf
     assert shares == pytest.approx(0.5 * np.log(2) + (0.001 - 0.5) * np.log(0.001 / 0.5))
+    assert quality.psi(df, "x", F.col("side") == "e", F.lit(False), buckets=2).first()["psi"] is None
 
 
 def test_signed_rank_by_hand(spark):

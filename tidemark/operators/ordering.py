@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.sizes import ROWS_PER_TASK, SMALL_ROWS, GroupSizes, group_sizes, small_side
+from tidemark.session import cut_lineage
 
 SAMPLE_PER_SPLIT = 30
+#: Split points from a sample, at most. Beyond that many, buckets grow with the input and their sorts spill.
 MAX_SPLITS = 20_000
 
 
@@ -71,6 +73,7 @@ def _split_points(df: DataFrame, order: Sequence[str], total: int, n_splits: int
     every = max(1, total // (SAMPLE_PER_SPLIT * n_splits))
     sample = (
         keys.where(F.pmod(F.xxhash64(*names), F.lit(every)) == 0)
+        .distinct()  # rows with equal keys share a hash, and a cut can't part them anyway
         .orderBy(*sort_columns(order))
         .collect()
     )
@@ -148,11 +151,11 @@ def _ranked_plain(df, by, order, position, running, group_rows, ties):
 def _ranked_split(df, by, order, position, running, group_rows, ties, sizes, uniform, rows_per_task):
     full_order = [*by, *order]
     value = _name(order[0])
-    n_splits = min(MAX_SPLITS, math.ceil(2 * sizes.total / rows_per_task))
+    n_splits = math.ceil(2 * sizes.total / rows_per_task)
     if uniform and not ties:
         bucket, n_buckets = F.floor(F.col(value) * n_splits).cast("int"), n_splits * sizes.groups
     else:
-        splits, n_splits = _split_points(df, full_order, sizes.total, n_splits)
+        splits, n_splits = _split_points(df, full_order, sizes.total, min(MAX_SPLITS, n_splits))
         bucket, n_buckets = _bucket(splits, n_splits, full_order), n_splits + sizes.groups
     keyed = df.select(
         "*",
@@ -255,7 +258,8 @@ def exact_quantiles(
     """Quantiles with linear interpolation per group, as one array column. NULL values are left out.
 
     The built-in ``percentile`` keeps all distinct values of a group in one task, so it serves only groups that were
-    counted to fit. Larger groups are ranked and the two rows next to each quantile are read off.
+    counted to fit. In larger groups equal values are counted first, so a hot value becomes one row; the counts are
+    added up in order, and the values at the two places next to each quantile are read off.
     """
     by, probabilities = list(by), [float(p) for p in probabilities]
     known = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
@@ -263,18 +267,27 @@ def exact_quantiles(
     if sizes.largest <= rows_per_task:
         return known.groupBy(*by).agg(F.percentile("_v", probabilities).alias(name))
 
-    placed = ranked(known, by, ["_v"], position="_p", group_rows="_rows", sizes=sizes, rows_per_task=rows_per_task)
+    counted = cut_lineage(known.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")))
+    placed = ranked(counted, by, ["_v"], position="_p", running={"_end": F.col("_n")}, rows_per_task=rows_per_task)
+    if by:
+        totals = counted.groupBy(*by).agg(F.sum("_n").alias("_rows"))
+        totals = totals.withColumnsRenamed({c: f"_g_{c}" for c in by})
+        placed = placed.join(totals, _same(by, "_g_"))
+    else:
+        placed = placed.withColumn("_rows", F.lit(sizes.total))
 
     def spot(p: float) -> Column:
         return (F.col("_rows") - 1) * F.lit(p)
 
+    def holds(place: Column) -> Column:
+        return (F.col("_end") - F.col("_n") <= place) & (place < F.col("_end"))
+
     wanted = reduce(
-        lambda a, b: a | b,
-        [(F.col("_p") == F.floor(spot(p)) + 1) | (F.col("_p") == F.ceil(spot(p)) + 1) for p in probabilities],
+        lambda a, b: a | b, [holds(F.floor(spot(p))) | holds(F.ceil(spot(p))) for p in probabilities]
     )
 
-    def at(edge: Column) -> Column:
-        return F.max(F.when(F.col("_p") == edge + 1, F.col("_v")))
+    def at(place: Column) -> Column:
+        return F.max(F.when(holds(place), F.col("_v")))
 
     values = [
         at(F.floor(spot(p))) + (at(F.ceil(spot(p))) - at(F.floor(spot(p)))) * F.max(spot(p) - F.floor(spot(p)))

@@ -120,7 +120,8 @@ def psi_table(
 
     Bins are the quantile bins of the expected rows. Shares are over all known values of a side, so values outside the
     edges lower the shares. The share of NULL adds a term when both sides have NULL. A bin that is empty on one side
-    has no finite term: it is left out, or its empty share is taken as ``epsilon``.
+    makes the index infinite, unless its empty share is taken as ``epsilon``. Without a known value on the actual side
+    the index is NULL.
 
     All columns run together in long form. Before the shuffle the values are counted per (column, bin), so the shuffle
     carries a few rows per task.
@@ -156,14 +157,15 @@ def psi_table(
         if epsilon is not None:
             part_e = F.when(part_e == 0, F.lit(epsilon)).otherwise(part_e)
             part_a = F.when(part_a == 0, F.lit(epsilon)).otherwise(part_a)
-        return F.when((part_e > 0) & (part_a > 0), (part_a - part_e) * F.log(part_a / part_e)).otherwise(0.0)
+        one_empty = (part_e == 0) | (part_a == 0)
+        return F.when(one_empty, float("inf")).otherwise((part_a - part_e) * F.log(part_a / part_e))
 
     def cell_term(cell: Column) -> Column:
         both_null = cell["_null"] & (cell["e"] > 0) & (cell["a"] > 0)
         in_bin = cell["bin"].isNotNull()
         return (
             F.when(both_null, term(cell["e"] / F.col("_te"), cell["a"] / F.col("_ta")))
-            .when(in_bin, term(cell["e"] / F.col("_ke"), cell["a"] / F.col("_ka")))
+            .when(in_bin, term(F.try_divide(cell["e"], F.col("_ke")), F.try_divide(cell["a"], F.col("_ka"))))
             .otherwise(0.0)
         )
 

@@ -90,11 +90,11 @@ def zero_rate_drift(spark, folder):
     return _drift(spark, folder, quality.zero_rate_drift, "zero")
 
 
-def _psi_sql(buckets):
+def _psi_sql(buckets, score=SCORE):
     probabilities = ", ".join(f"{i / buckets!r}::DOUBLE" for i in range(buckets + 1))
-    long = _union(f"SELECT '{c}' AS feature, period, CAST({c} AS DOUBLE) AS value FROM panel_day" for c in COLUMNS)
+    long = _union(f"SELECT '{c}' AS feature, period, n_events, CAST({c} AS DOUBLE) AS value FROM panel_day" for c in COLUMNS)
     return p.DAY + f""", long AS (
-        SELECT feature, value, {TRAIN} AS e, {SCORE} AS a FROM ({long}) WHERE {TRAIN} OR {SCORE}
+        SELECT feature, value, {TRAIN} AS e, {score} AS a FROM ({long}) WHERE {TRAIN} OR {score}
     ), edges AS (
         SELECT feature, list_sort(list_distinct(quantile_cont(value, [{probabilities}]))) AS edges FROM long
         WHERE e AND value IS NOT NULL GROUP BY feature
@@ -110,11 +110,13 @@ def _psi_sql(buckets):
         SELECT feature, bin, value IS NULL AS missing, count(*) FILTER (WHERE e) AS ne, count(*) FILTER (WHERE a) AS na
         FROM binned GROUP BY ALL
     ), shares AS (
-        SELECT feature, CASE WHEN missing THEN ne / te ELSE ne / ke END AS pe,
+        SELECT feature, ne, na, CASE WHEN missing THEN ne / te ELSE ne / ke END AS pe,
                CASE WHEN missing THEN na / ta ELSE na / ka END AS pa
-        FROM cells JOIN totals USING (feature) WHERE (missing OR bin IS NOT NULL) AND ne > 0 AND na > 0
+        FROM cells JOIN totals USING (feature) WHERE bin IS NOT NULL OR missing AND ne > 0 AND na > 0
     )
-    SELECT feature, round(sum((pa - pe) * ln(pa / pe)), 9) AS psi FROM shares GROUP BY feature"""
+    SELECT feature, CASE WHEN min(least(ne, na)) = 0 THEN 'infinity'::DOUBLE
+        ELSE round(sum(CASE WHEN ne > 0 AND na > 0 THEN (pa - pe) * ln(pa / pe) END), 9) END AS psi
+    FROM shares GROUP BY feature"""
 
 
 @query(_psi_sql(10))
@@ -123,6 +125,16 @@ def stability_index(spark, folder):
     return rounded(table, ["psi"], 9)
 
 
+ONE_EVENT = f"{SCORE} AND n_events = 1"
+
+
+@query(_psi_sql(10, ONE_EVENT))
+def stability_index_of_empty_bins(spark, folder):
+    """Against days with one event: bins of large values are empty then, and the index infinite."""
+    table = quality.psi_table(p.panel_day(spark, folder), COLUMNS, F.expr(TRAIN), F.expr(ONE_EVENT))
+    return rounded(table, ["psi"], 9)
+
+
 @query(_psi_sql(10))
 def stability_index_in_buckets(spark, folder):
     """The same index with quantiles from ranked rows, as for columns too long for one task."""
