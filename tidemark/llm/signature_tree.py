@@ -340,7 +340,7 @@ def _send(n: int, percent: int, bits: int, owners: int):
                         continue
                     ids.append(name)
                     missing.append(similarity.missing(len(grams)))
-                    sets.append(grams[: np.searchsorted(grams, U(similarity.tested))])
+                    sets.append(grams[: np.searchsorted(grams, U(similarity.tested))].copy())  # the rest is let go
                     held += len(sets[-1])
                     if held >= PACKET_GRAMS or len(ids) >= PACKET_DOCS:
                         yield packet(ids, missing, sets)
