@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .shared import small_batches
 from .tokens import encoder
 
 #: Cost of a pair of tokens beside that of a token: with 1024 tokens the quadratic part is half as large as the linear.
@@ -138,4 +139,5 @@ def pack(
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(_pack(capacity, group, end_id, tokenizer), PIECES)

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_batches
+
 BITS = 15
 BUCKETS = 1 << BITS
 #: The model has BUCKETS numbers for each language and is sent to every task: 128 KB a language, 16 MB at most.
@@ -82,6 +84,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, and the log probability of each bucket under each, of all documents with text and lang that aren't held out."""
+    small_batches(docs.sparkSession)
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     counted = rows.select("text", "lang").mapInArrow(_count, "lang string, bucket int, n bigint")
     counted = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -13,6 +14,19 @@ from tidemark.session import shared_folder
 
 #: Up to so many keys (a long and a digest each, some 20 MB) are broadcast; more are joined by a shuffle.
 BROADCAST_KEYS = 200_000
+#: Bytes of a batch that Spark hands to Python. A batch is held some times over: by the JVM, on its way, and in Python.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark) -> None:
+    """From now on the session hands Python batches of at most BATCH_BYTES, or fewer if it was set to fewer.
+
+    Spark reads the setting when a plan is run, so it stays: results may be computed after the operator has returned.
+    """
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", spark.conf.get(BATCH_SETTING).strip().lower()).groups()
+    if not 0 < int(number) << 10 * " kmgtp".index(unit or " ") <= BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
 
 
 def new_path(spark, name: str) -> str:
@@ -21,6 +35,7 @@ def new_path(spark, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps don't compute it again, lost executors don't matter."""
+    small_batches(df.sparkSession)
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
