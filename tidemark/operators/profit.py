@@ -341,8 +341,8 @@ def auc(
 
 def fold_curves(
     df: DataFrame, score: str, *, fold: str = "fold", folds: int = 2, label: str = "label", key: Sequence[str] = ("cust",),
-    rows_per_task: int = ROWS_PER_TASK,
+    by: Sequence[str] = (), rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Cumulative gain and position per fold, scaled up by the number of equal folds."""
-    return cumulative_gain(df, score, gain(label) * folds, by=[fold], key=key, rows_per_task=rows_per_task)
+    """Cumulative gain and position per fold (of each group ``by``), scaled up by the number of equal folds."""
+    return cumulative_gain(df, score, gain(label) * folds, by=[*by, fold], key=key, rows_per_task=rows_per_task)
 

@@ -34,6 +34,7 @@ def campaign_contacts(spark, folder):
     def fit(rows, inputs, seed):
         return models.train_forest(rows, inputs, numTrees=10, maxDepth=4, seed=seed)
 
-    months = [201800 + m for m in range(1, 13)]
-    chosen = choose_contacts(table, months, [201901, 201902], 100, fit, [31, 47])
+    months = sorted(row[0] for row in table.select("foto_mes").distinct().collect())  # a few dozen
+    train, future = ([m for m in months if (m < 201901) == early] for early in (True, False))
+    chosen = choose_contacts(table, train, future, 100, fit, [31, 47])
     return rounded(chosen.select(*BANK_KEYS, "prob", "Predicted"), ["prob"])

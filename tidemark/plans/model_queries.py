@@ -26,7 +26,8 @@ def training_table(spark, folder):
 
 
 def _sides(table):
-    return table.where(TRAIN_DAYS), table.where(TEST_DAYS)
+    """All days before the tested ones are trained on; only boosting keeps some of them for validation."""
+    return table.where(f"not ({TEST_DAYS})"), table.where(TEST_DAYS)
 
 
 @query(p.LABELS + "SELECT period, count(*) AS n, count(*) FILTER (WHERE c_click IS NULL) AS filled, "

@@ -162,12 +162,12 @@ def best_plateau(spark, folder):
 @query(
     p.SCORES + f"""SELECT model, cust, period, fold, CAST(row_number() OVER w AS INTEGER) AS position,
         CAST(sum(2 * {GAIN}) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS gan_acum
-    FROM (SELECT *, 1 + period % 2 AS fold FROM scores WHERE model = 'a')
-    WINDOW w AS (PARTITION BY fold ORDER BY prob DESC, cust, period)"""
+    FROM (SELECT *, 1 + period % 2 AS fold FROM scores)
+    WINDOW w AS (PARTITION BY model, fold ORDER BY prob DESC, cust, period)"""
 )
 def cumulative_gain_per_fold(spark, folder):
-    folds = p.scores(spark, folder).where("model = 'a'").withColumn("fold", 1 + F.col("period") % 2)
-    return profit.fold_curves(folds, "prob", key=KEYS).select("model", *KEYS, "fold", "position", "gan_acum")
+    folds = p.scores(spark, folder).withColumn("fold", 1 + F.col("period") % 2)
+    return profit.fold_curves(folds, "prob", key=KEYS, by=["model"]).select("model", *KEYS, "fold", "position", "gan_acum")
 
 
 # --- sorts, cutoffs and thresholds ---------------------------------------------------------------------------------

@@ -105,11 +105,12 @@ def real_and_shuffled_rows(spark, folder):
 @query(
     p.DAY + """SELECT CASE WHEN period < 20 THEN 'train' WHEN period < 25 THEN 'validation' ELSE 'test' END AS part,
         period, CASE period WHEN 3 THEN 0.5::DOUBLE WHEN 7 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w_train, cust
-    FROM panel_day WHERE period < 28"""
+    FROM panel_day"""
 )
 def split_by_period(spark, folder):
     weighted = sampling.period_weights(p.panel_day(spark, folder), {3: 0.5, 7: 2.0})
-    parts = {"train": range(20), "validation": range(20, 25), "test": range(25, 28)}
+    last = weighted.agg(F.max("period")).first()[0]
+    parts = {"train": range(20), "validation": range(20, 25), "test": range(25, (last or 0) + 1)}
     sides = sampling.period_split(weighted, {n: list(v) for n, v in parts.items()})
     frames = [side.select(F.lit(n).alias("part"), "period", "w_train", "cust") for n, side in sides.items()]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])

@@ -26,6 +26,13 @@ def csv_round_trip(spark, folder):
     return io.read_panel_csv(spark, path, schema=MONTH_SCHEMA)
 
 
+@query(p.MONTH + "SELECT * FROM panel_month")
+def csv_gzip_round_trip(spark, folder):
+    path = fresh_folder(spark, "csv-gz")
+    io.write_csv(p.panel_month(spark, folder), path, compression="gzip")
+    return io.read_panel_csv(spark, path, schema=MONTH_SCHEMA)
+
+
 @query(p.MONTH + "SELECT cust, foto_mes, m_price FROM panel_month")
 def csv_tab_inferred(spark, folder):
     path = fresh_folder(spark, "tsv")
@@ -36,13 +43,13 @@ def csv_tab_inferred(spark, folder):
 
 @query(
     p.SCORES + """SELECT cust FROM (
-        SELECT cust, row_number() OVER (ORDER BY prob DESC, cust) AS n FROM scores WHERE model = 'a' AND period = 10
+        SELECT cust, row_number() OVER (PARTITION BY model ORDER BY prob DESC, cust, period) AS n FROM scores
     ) WHERE n <= 40"""
 )
 def submission_round_trip(spark, folder):
-    scored = p.scores(spark, folder).where("model = 'a' and period = 10")
+    chosen = profit.label_top_k(p.scores(spark, folder), 40, by=["model"], key=["cust", "period"])
     path = fresh_folder(spark, "submission")
-    io.write_submission(profit.label_top_k(scored, 40), path, key="cust", only_selected=True)
+    io.write_submission(chosen, path, key="cust", only_selected=True)
     return spark.read.csv(path, schema="cust bigint")
 
 
@@ -114,11 +121,11 @@ def union_of_sources(spark, folder):
     return joins.union_sources(*parts)
 
 
-@query(p.MONTH + "SELECT * FROM panel_month WHERE foto_mes = 199705")
+@query(p.MONTH + "SELECT * FROM panel_month")
 def stored_features(spark, folder):
     path = fresh_folder(spark, "features")
     for _ in range(2):
-        stored = io.load_or_build(spark, path, lambda: p.panel_month(spark, folder), periods=[199705])
+        stored = io.load_or_build(spark, path, lambda: p.panel_month(spark, folder))
     return stored.select(*p.panel_month(spark, folder).columns)
 
 
@@ -129,11 +136,11 @@ def stored_features(spark, folder):
     p.DAY + """SELECT cust, period, c_click, c_view, c_click + c_view AS plain,
         coalesce(c_click, 0) + coalesce(c_view, 0) AS filled,
         greatest(c_click, c_view) AS larger, least(c_click, c_view) AS smaller
-    FROM panel_day WHERE c_click IS NULL OR period < 10"""
+    FROM panel_day"""
 )
 def null_arithmetic(spark, folder):
     click, view = F.col("c_click"), F.col("c_view")
-    return p.panel_day(spark, folder).where(click.isNull() | (F.col("period") < 10)).select(
+    return p.panel_day(spark, folder).select(
         "cust",
         "period",
         "c_click",
@@ -272,15 +279,13 @@ def sql_function_in_window(spark, folder):
 
 
 @query(
-    p.DAY + """SELECT cust, period, round(mean_total, 6) AS mean_total, m_total > mean_total AS above
-    FROM panel_day JOIN (SELECT cust, avg(m_total) AS mean_total FROM panel_day GROUP BY cust) USING (cust)
-    WHERE abs(m_total - mean_total) > 1e-6"""
+    p.DAY + """SELECT cust, period, mean_total, m_total > mean_total AS above
+    FROM panel_day JOIN (SELECT cust, round(avg(m_total), 6) AS mean_total FROM panel_day GROUP BY cust) USING (cust)"""
 )
 def mean_joined_to_rows(spark, folder):
     joined = joins.with_group_mean(p.panel_day(spark, folder), ["cust"], "m_total", "mean_total")
-    return joined.where(F.abs(F.col("m_total") - F.col("mean_total")) > 1e-6).select(
-        "cust", "period", r("mean_total").alias("mean_total"), (F.col("m_total") > F.col("mean_total")).alias("above")
-    )
+    mean = r("mean_total")  # equal to m_total where that is the mean, in spite of the order of additions
+    return joined.select("cust", "period", mean.alias("mean_total"), (F.col("m_total") > mean).alias("above"))
 
 
 LATTICE_SQL = p.DAY + """, span AS (SELECT list(DISTINCT period) AS every FROM panel_day),
@@ -337,11 +342,11 @@ def dimension_join(spark, folder):
 
 @query(
     p.LABELS + """SELECT cust, period, m_total FROM labelled
-    WHERE cust IN (SELECT cust FROM labelled WHERE label = 'BAJA+2' AND period = 12)"""
+    WHERE cust IN (SELECT cust FROM labelled WHERE label = 'BAJA+2')"""
 )
 def history_of_leavers(spark, folder):
     panel = p.labelled(spark, folder)
-    leavers = panel.where("label = 'BAJA+2' and period = 12")
+    leavers = panel.where("label = 'BAJA+2'")
     return joins.only_keys_of(panel, leavers, ["cust"]).select("cust", "period", "m_total")
 
 

@@ -85,8 +85,10 @@ def write_panel(df: DataFrame, path: str, *, period: str | None = "foto_mes", mo
         spread.write.mode(mode).option("compression", "gzip").partitionBy(period).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, *, sep: str = ",", header: bool = True, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+def write_csv(
+    df: DataFrame, path: str, *, sep: str = ",", header: bool = True, mode: str = "overwrite", compression: str = "none"
+) -> None:
+    df.write.mode(mode).option("header", header).option("sep", sep).option("compression", compression).csv(path)
 
 
 def write_submission(
