@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,8 +41,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the shared folder, so that later steps read it instead of computing it again."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    """Store ``df`` in the shared folder, so that later steps read it instead of computing it again.
+
+    The table is Parquet: what reads it takes the columns and the rows that it needs.
+    """
+    path = f"{shared_folder(df.sparkSession)}/tidemark-cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
