@@ -121,6 +121,18 @@ def test_jaccard_components(docs, monkeypatch, n, percent, blocks, clusters):
             assert (r["n_shingles"], r["component_id"]) == expected[r["doc_id"]]
 
 
+def test_repeated_ids_with_different_texts_lose_no_link(spark):
+    draw = random.Random(9)
+    a, b, c, d = ([draw.choice("abcdefgh") + str(draw.randrange(1000)) for _ in range(100)] for _ in range(4))
+    near = [" ".join(x[:99] + ["other"]) for x in (a, c)]
+    a, b, c, d = map(" ".join, (a, b, c, d))
+    rows = [(5, a), (5, b), (3, b), (9, near[0]), (12, a), (20, c), (20, d), (21, near[1]), (30, "alone and nothing like it")]
+    got = {(r["doc_id"], r["component_id"]) for r in rows_of(signature_tree.link_components(table(spark, rows)))}
+    assert got == {(5, 3), (3, 3), (9, 3), (12, 3), (20, 20), (21, 20), (30, 30)}
+    left = signature_tree.one_of_each_component(table(spark, rows))
+    assert {r.doc_id for r in left.collect()} == {3, 20, 30}
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_linked_sets_share_a_key_and_the_tree_finds_all(percent):
     draw, similarity = np.random.default_rng(1), signature_tree.Similarity(percent)

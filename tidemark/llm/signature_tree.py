@@ -487,7 +487,8 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     some = rows.where("doc_id IS NOT NULL AND n > 0")
     classes = some.groupBy("digest").agg(F.min("doc_id").alias("id"))
     known = stored(some.join(classes, "digest").select("doc_id", "id"), "classes")
-    copies = few(stored(known.groupBy("doc_id").agg(F.min("id").alias("id")).where("doc_id <> id").select("doc_id"), "copies"))
+    # Only a document that is the smallest of none of its texts is left out: the rows of the others may be all a text has.
+    copies = few(stored(known.groupBy("doc_id").agg(F.max("id").alias("id")).where("doc_id <> id").select("doc_id"), "copies"))
     first = docs.where("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
 
     grams = rows.agg(F.sum("n")).first()[0] or 0
