@@ -239,6 +239,12 @@ def test_nearest_vectors(spark):
         assert np.allclose([f[2] for f in sorted(found)], [-s for s, _ in exact], rtol=0, atol=0)
 
 
+def test_of_repeated_queries_the_usable_vector_counts(spark):
+    rows = [(20, [1.0, 2.0]), (20, [0.0, 0.0]), (20, []), (20, [None, 1.0]), (20, None), (20, [float("-inf"), 1.0]), (1, [3.0, 1.0]), (40, [0.0, 0.0])]
+    got = rows_of(onebit_codes.nearest(table(spark, rows, "vec_id long, embedding array<double>")))
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got] == [(20, 1, 1, 5.0)]
+
+
 def test_url_filter(spark):
     link = '<a href="http://%s/x">'
     rows = [(1, "http://A.example.NET/en/1?q", ""), (2, "http://a.example.net/de/1", link % "bad.com"), (3, "nothing", None), (4, None, None), (5, "http://bad.com/en/", link % "a.example.net"), (6, "http://good.org/fr/#x", link % "fine.com"), (7, "http://fine.com", ""), (8, "http://example.com/de/a", ""), (9, "http://net?x", "")]

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -146,19 +146,25 @@ def _near(k: int, epsilon: float):
     return group
 
 
+def _takes_part(embedding: str) -> Column:
+    """What ``_usable`` asks of a vector, as a condition on a column."""
+    finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return finite & F.exists(embedding, lambda x: x != 0)
+
+
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, epsilon: float = EPSILON) -> DataFrame:
     """The k rows of ``vectors`` (vec_id, embedding) nearest to each row whose vec_id is divisible by ``every``.
 
     Rows (query_id, rank, vec_id, score): score is the inner product in double precision, nearest first, ties to the
     smaller vec_id; rows with the query's own vec_id are no candidates. Vectors that are null, empty, zero or hold null or
     non-finite components take no part, nor do rows without an id; vectors of different dimension don't meet. Of queries
-    that repeat a vec_id the smallest vector counts; candidates that repeat one count as often as they occur. An empty
+    that repeat a vec_id the smallest vector that takes part counts; candidates that repeat one count as often as they occur. An empty
     table gives an empty result; other columns aren't read.
     """
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     names = [x.split()[0] for x in CODES.split(", ")]
     codes = stored(rows.mapInArrow(_blocks(BLOCK_CODES, names, lambda ids, x: (ids, x, *encode(x))), CODES), "codes")
-    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    asked = rows.where((F.col("vec_id") % every == 0) & _takes_part("embedding")).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     asked = stored(asked, "queries")
     parts = -(-asked.count() // BLOCK_QUERIES) or 1
     packed = asked.coalesce(parts).mapInArrow(_blocks(BLOCK_QUERIES, names[:3], lambda ids, x: (ids, x)), QUERIES)
