@@ -2,7 +2,8 @@
 
 The categories are predicted one after the other. Each model sees which telling words a document has and the earlier
 categories' log odds. Those come from models that were fitted without the document's fold, so that the later models learn
-how far the earlier ones can be trusted on documents they don't know.
+how far the earlier ones can be trusted on documents they don't know. The threshold is chosen on their probabilities too,
+and the mean of these models is what scores other documents.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .linear import fit, folds, logit, one_label, out_of_fold, probability, sample, telling_words, word_matrix
+from .linear import cross_fitted, folds, logit, one_label, probability, sample, telling_words, word_matrix
 
 #: Labelled documents that the chain is fitted on, at most; words for each category; folds.
 TRAIN_ROWS, WORDS, FOLDS = 20_000, 256, 4
@@ -63,17 +64,19 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], row
     names = list(categories)
     some = sample(one_label(labels, **categories), rows, "chain")
     known = docs.where("text IS NOT NULL").select("doc_id", "text").join(some, "doc_id")
-    words = telling_words(known, names, WORDS)
-    table = known.mapInArrow(_features(words, names), "x binary, doc_id bigint, " + ", ".join(f"{c} int" for c in names)).toPandas()
-    table = table.sort_values(["doc_id", "x"])
+    words = telling_words(known, names, WORDS, significant=True)
+    table = known.mapInArrow(_features(words, names), "x binary, doc_id bigint, " + ", ".join(f"{c} int" for c in names))
+    table = table.groupBy("doc_id").agg(*[F.min(c).alias(c) for c in ("x", *names)]).toPandas()  # a row for each label
+    table = table.sort_values("doc_id")
     x = np.unpackbits(np.frombuffer(b"".join(table["x"]), np.uint8).reshape(len(table), -(-len(words) // 8)), axis=1, count=len(words)).astype(np.float32)
     fold = folds(table["doc_id"].to_numpy(), FOLDS)
     weights, thresholds, before = [], [], []
     for name in names:
         y = table[name].to_numpy(float)
         seen = np.column_stack([x, *map(logit, before)])
-        before.append(out_of_fold(seen, y, fold))
-        weights.append(fit(seen, y))
+        p, w = cross_fitted(seen, y, fold)
+        before.append(p)
+        weights.append(w)
         thresholds.append(best_threshold(before[-1], y))
     return Chain(words, weights, thresholds)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -42,15 +43,19 @@ def _documents_with(columns: int):
     return task
 
 
-def telling_words(documents: DataFrame, columns: Sequence[str], each: int) -> np.ndarray:
-    """The ``each`` words that tell most about each of the 0/1 ``columns`` (by the statistic of a fourfold table), sorted."""
+def telling_words(documents: DataFrame, columns: Sequence[str], each: int, significant: bool = False) -> np.ndarray:
+    """The ``each`` words that tell most about each of the 0/1 ``columns`` (by the statistic of a fourfold table), sorted.
+
+    ``significant``: only words whose statistic is above what the best of as many words without any meaning reach.
+    """
     counts = [f"n{i}" for i in range(len(columns) + 1)]
     rows = documents.select("text", *[F.col(c).cast("int") for c in columns])
     words = rows.mapInArrow(_documents_with(len(columns)), "word bigint, " + ", ".join(f"{c} bigint" for c in counts))
     words = words.groupBy("word").agg(*[F.sum(c).alias(c) for c in counts]).where(F.col("n0") >= LEAST_DOCUMENTS)
     totals = rows.agg(F.count("*").alias("all"), *[F.sum(c).alias(c) for c in columns]).first()
     found: set[int] = set()
-    words = words.cache() if len(columns) > 1 else words
+    words = words.cache() if len(columns) > 1 or significant else words
+    least = math.sqrt(2 * math.log(max(1, words.count()))) if significant else 0.0
     for i, c in enumerate(columns):
         own, rest = totals[c] or 0, totals["all"] - (totals[c] or 0)
         if not own or not rest:
@@ -58,7 +63,7 @@ def telling_words(documents: DataFrame, columns: Sequence[str], each: int) -> np
         expected = F.col("n0") * (own / totals["all"])
         spread = expected * (rest / totals["all"]) * (1 - F.col("n0") / (totals["all"] + 1))
         tells = F.abs(F.col(f"n{i + 1}") - expected) / F.sqrt(spread + 0.5)
-        found |= {r.word for r in words.orderBy(tells.desc(), "word").limit(each).collect()}
+        found |= {r.word for r in words.where(tells >= least).orderBy(tells.desc(), "word").limit(each).collect()}
     words.unpersist()
     return np.sort(np.array(sorted(found), np.int64).view(np.uint64))
 
@@ -101,14 +106,18 @@ def folds(ids: np.ndarray, n: int) -> np.ndarray:
     return ((x >> np.uint64(33)) % np.uint64(n)).astype(int)
 
 
-def out_of_fold(x: np.ndarray, y: np.ndarray, fold: np.ndarray, penalty: float = 1.0) -> np.ndarray:
-    """The probability of each row by a model that was fitted without its fold."""
-    p = np.full(len(y), y.mean() if len(y) else 0.0)
+def cross_fitted(x: np.ndarray, y: np.ndarray, fold: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """The probability of each row by a model that was fitted without its fold, and the mean weights of these models.
+
+    So the probabilities tell what to expect of the weights, also where a threshold is best.
+    """
+    p, weights = np.full(len(y), y.mean() if len(y) else 0.0), []
     for f in np.unique(fold):
         own = fold == f
         if (~own).any():
-            p[own] = probability(x[own], fit(x[~own], y[~own], penalty))
-    return p
+            weights.append(fit(x[~own], y[~own], penalty))
+            p[own] = probability(x[own], weights[-1])
+    return p, np.mean(weights, axis=0) if weights else fit(x, y, penalty)
 
 
 def logit(p: np.ndarray) -> np.ndarray:
