@@ -305,6 +305,18 @@ def test_repeated_rows_of_a_labelled_document_are_fetched_once(spark, monkeypatc
     assert fetched and max(map(len, fetched)) <= 400
 
 
+def test_all_unlabelled_documents_are_judged(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    text, page = cotraining.text_view(["a b", None], np.array([], np.uint64)), cotraining.page_view(["s", None], ["en", None], [3, None])
+    assert all(np.allclose(a, b, atol=1e-3) for a, b in zip(cotraining.unpack(cotraining.pack(text, page), 0), (text, page)))
+    more = docs.where("doc_id between 0 and 399").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(60))))
+    more = more.select((F.col("doc_id") + 10_000 * F.col("k")).alias("doc_id"), "text", "lang", "source")
+    pool, judged = [], cotraining.cotrain
+    monkeypatch.setattr(cotraining, "cotrain", lambda x, y, p, *rest: (pool.append(p.select("doc_id", "x").collect()), judged(x, y, p, *rest))[1])
+    cotraining.learn(docs.select("doc_id", "text", "lang", "source").unionByName(more).unionByName(more.where("doc_id = 10000")), labels)
+    assert len(pool[0]) == len({r.doc_id for r in pool[0]}) >= 24_000  # above the former bound
+
+
 def test_empty_tables(spark):
     none = table(spark, [])
     assert fingerprint_exchange.exact_groups(none).count() == 0

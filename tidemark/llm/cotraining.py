@@ -1,8 +1,8 @@
 """Quality by co-training: what the text is like, and what is known about the page, teach each other.
 
 Two linear classifiers look at a document separately: one at its text (telling words, kinds of characters, repetition),
-one at its metadata (source, language, length). In each round both judge a pool of documents without labels, and those
-that one is sure about become labels for the other. At the end both are calibrated on labelled documents that neither has
+one at its metadata (source, language, length). In each round both judge all documents without labels, and those that one
+is surest about become labels for the other. At the end both are calibrated on labelled documents that neither has
 learned from, and a logistic combination of the two calibrated log odds scores every document.
 """
 
@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linear import fit, folds, logit, one_label, probability, sample, telling_words, word_matrix
+from .shared import forget, stored
 
-#: Labelled documents to learn from and documents of the pool, at most; words; rounds; how sure is sure.
-TRAIN_ROWS, POOL_ROWS, WORDS, ROUNDS, SURE = 20_000, 20_000, 256, 3, 0.97
+#: Labelled documents to learn from, at most; words; rounds; how sure is sure.
+TRAIN_ROWS, WORDS, ROUNDS, SURE = 20_000, 256, 3, 0.97
 #: Sources and languages share so many columns, by hash.
 NAMED = 128
 #: Of FOLDS parts of the labelled documents one is left for the calibration.
@@ -54,13 +55,64 @@ def page_view(sources: list[str | None], langs: list[str | None], lengths: list[
     return x
 
 
+def pack(text: np.ndarray, page: np.ndarray) -> list[bytes]:
+    """Both views of each document in some two hundred bytes: words as bits, sources and languages as bytes."""
+    parts = [np.packbits(text[:, :-12].astype(bool), axis=1), page[:, :NAMED].astype(np.uint8)]
+    parts += [np.ascontiguousarray(x, np.float16).view(np.uint8) for x in (text[:, -12:], page[:, NAMED:])]
+    return [x.tobytes() for x in np.concatenate(parts, axis=1)]
+
+
+def unpack(rows: list[bytes], words: int) -> list[np.ndarray]:
+    """(text view, page view) of packed rows."""
+    bits = -(-words // 8)
+    x = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), bits + NAMED + 28)
+    named, shape, length = np.split(x[:, bits:], [NAMED, NAMED + 24], axis=1)
+    shape, length = (np.ascontiguousarray(part).view(np.float16) for part in (shape, length))
+    views = (np.unpackbits(x[:, :bits], axis=1, count=words), shape), (named, length)
+    return [np.concatenate(view, axis=1).astype(np.float32) for view in views]
+
+
 def _views(words: np.ndarray):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = {c: batch.column(c).to_pylist() for c in ("text", "source", "lang", "length")}
-            text, page = text_view(columns["text"], words), page_view(columns["source"], columns["lang"], columns["length"])
-            rows = [pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()) for x in (text, page)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), *rows], ["doc_id", "good", "text", "page"])
+            c = {n: batch.column(n).to_pylist() for n in ("text", "source", "lang", "length")}
+            rows = pack(text_view(c["text"], words), page_view(c["source"], c["lang"], c["length"]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), pa.array(rows, pa.binary())], ["doc_id", "good", "x"])
+
+    return task
+
+
+def packed_views(docs: DataFrame, words: np.ndarray) -> DataFrame:
+    """(doc_id, good, x): both views packed, a row for each doc_id."""
+    rows = docs.mapInArrow(_views(words), "doc_id bigint, good int, x binary")
+    return rows.groupBy("doc_id").agg(F.min("good").alias("good"), F.min("x").alias("x"))
+
+
+SUREST = "view int, label int, doc_id bigint, q double, x binary"
+
+
+def _surest(weights: list[np.ndarray], words: int, given: list[np.ndarray], most: dict[int, int], sure: float):
+    """Of rows (doc_id, x): the documents of each class that each view of a task is surest about and that aren't given yet."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list] = {(v, label): [] for v in (0, 1) for label in (0, 1)}
+        for batch in batches:
+            for i in range(0, len(batch), 10_000):
+                part = batch.slice(i, 10_000)
+                ids, rows = part.column("doc_id").to_numpy(), part.column("x").to_pylist()
+                p = [probability(x, w) for x, w in zip(unpack(rows, words), weights)]
+                agree = ~(((p[0] >= sure) & (p[1] <= 1 - sure)) | ((p[1] >= sure) & (p[0] <= 1 - sure)))
+                for (v, label), best in held.items():
+                    q = p[v] if label else 1 - p[v]
+                    at = np.flatnonzero((q >= sure) & agree & ~np.isin(ids, given[1 - v]))
+                    at = at[np.lexsort((ids[at], -q[at]))][: most[label]]
+                    best += [(-q[j], int(ids[j]), rows[j]) for j in at]
+                    best.sort()
+                    del best[most[label] :]
+        for (v, label), best in held.items():
+            columns = [[v] * len(best), [label] * len(best), [b[1] for b in best], [-b[0] for b in best], [b[2] for b in best]]
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [c.split()[0] for c in SUREST.split(", ")])
 
     return task
 
@@ -78,52 +130,51 @@ class Views:
         return own, probability(np.column_stack([logit(p) for p in own]), self.combination)
 
 
-def cotrain(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int, sure: float) -> list[np.ndarray]:
-    """Weights of each view. Per round a view gives the other its surest documents of each class, at most as many of a class
-    as a tenth of that class's labels; a document that both are sure of but disagree about is given to none."""
-    given: list[dict[int, float]] = [{}, {}]
+def cotrain(labelled: list[np.ndarray], y: np.ndarray, pool: DataFrame, words: int, rounds: int, sure: float) -> list[np.ndarray]:
+    """Weights of each view. Per round both views judge all of ``pool`` (doc_id, x), and each gives the other its surest
+    documents of each class, at most as many of a class as a tenth of that class's labels; a document that both are sure of
+    but disagree about is given to none. Only the documents that are given come to the driver."""
+    given: list[dict[int, tuple[int, bytes]]] = [{}, {}]
+    most = {label: max(1, int((y == label).sum()) // 10) for label in (0, 1)}
     weights = []
     for r in range(rounds + 1):
         weights = []
         for v in (0, 1):
-            at = np.array(sorted(given[v]), int)
-            extra = np.array([given[v][i] for i in at])
-            weights.append(fit(np.concatenate([labelled[v], pool[v][at]]), np.concatenate([y, extra])))
-        if r == rounds or not len(pool[0]):
+            extra = [given[v][i] for i in sorted(given[v])]
+            more = unpack([x for _, x in extra], words)[v]
+            weights.append(fit(np.concatenate([labelled[v], more]), np.concatenate([y, [label for label, _ in extra]])))
+        if r == rounds:
             break
-        p = [probability(pool[v], weights[v]) for v in (0, 1)]
-        agree = ~(((p[0] >= sure) & (p[1] <= 1 - sure)) | ((p[1] >= sure) & (p[0] <= 1 - sure)))
+        known = [np.array(sorted(g), np.int64) for g in given]
+        surest = stored(pool.select("doc_id", "x").mapInArrow(_surest(weights, words, known, most, sure), SUREST), "surest")
         for v in (0, 1):
-            for label in (0.0, 1.0):
-                q = p[v] if label else 1 - p[v]
-                order = np.argsort(-q, kind="stable")
-                order = order[(q[order] >= sure) & agree[order]]
-                most = max(1, int((y == label).sum()) // 10)
-                fresh = [int(i) for i in order if int(i) not in given[1 - v]][:most]
-                given[1 - v].update(dict.fromkeys(fresh, label))
+            for label in (0, 1):
+                best = surest.where(f"view = {v} AND label = {label}").orderBy(F.desc("q"), "doc_id").limit(most[label])
+                for row in best.collect():
+                    given[1 - v].setdefault(row.doc_id, (label, bytes(row.x)))
+        forget(surest)
     return weights
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, pool_rows: int = POOL_ROWS, rounds: int = ROUNDS, sure: float = SURE) -> Views:
+def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, rounds: int = ROUNDS, sure: float = SURE) -> Views:
     docs = docs.select("doc_id", "text", "source", "lang", F.length(F.coalesce("text", F.lit(""))).alias("length"))
     known = one_label(labels, good=F.col("quality") == 1)
     labelled = docs.join(sample(known, rows, "views"), "doc_id")
     words = telling_words(labelled, ["good"], WORDS)
-    others = docs.where("doc_id IS NOT NULL").select("doc_id").join(known, "doc_id", "left_anti")
-    pool = docs.join(sample(others.distinct(), pool_rows, "pool"), "doc_id").withColumn("good", F.lit(None).cast("int"))
-    schema = "doc_id bigint, good int, text binary, page binary"
-    table = labelled.unionByName(pool).mapInArrow(_views(words), schema).toPandas().sort_values(["doc_id", "text"])
-    xs = [np.frombuffer(b"".join(table[c]), np.float16).reshape(len(table), n).astype(np.float32) for c, n in (("text", len(words) + 12), ("page", NAMED + 2))]
-    has = table["good"].notna().to_numpy()
-    y = table["good"].to_numpy(float)
-    apart = has & (folds(table["doc_id"].to_numpy(), FOLDS) == 0)
-    if not has.any():
+    table = packed_views(labelled, words).toPandas().sort_values("doc_id")
+    xs, y = unpack(list(table["x"]), len(words)), table["good"].to_numpy(float)
+    if not len(table):
         nothing = np.zeros(2)
         return Views(words, [np.zeros(x.shape[1] + 1) for x in xs], [nothing, nothing], np.zeros(3))
-    if not (has & ~apart).any() or not apart.any():
-        apart = has
-    train = has & ~apart if (has & ~apart).any() else has
-    weights = cotrain([x[train] for x in xs], y[train], [x[~has] for x in xs], rounds, sure)
+    apart = folds(table["doc_id"].to_numpy(), FOLDS) == 0
+    if apart.all() or not apart.any():
+        train, apart = np.ones(len(table), bool), np.ones(len(table), bool)
+    else:
+        train = ~apart
+    others = docs.where("doc_id IS NOT NULL").join(known, "doc_id", "left_anti").withColumn("good", F.lit(None).cast("int"))
+    pool = stored(packed_views(others, words), "pool")
+    weights = cotrain([x[train] for x in xs], y[train], pool, len(words), rounds, sure)
+    forget(pool)
     odds = [logit(probability(x[apart], w)) for x, w in zip(xs, weights)]
     calibrations = [fit(o[:, None], y[apart], 1e-3) for o in odds]
     own = np.column_stack([logit(probability(o[:, None], c)) for o, c in zip(odds, calibrations)])
@@ -137,8 +188,8 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options)
     """A row for each row of ``docs`` (doc_id, text, source, lang): what each view thinks, score (that it is good), keep.
 
     keep: a score of ``threshold`` or more. ``labels`` (doc_id, quality): documents without a label, or with a null one,
-    are the pool; of repeated labels the best counts. ``learn`` is given bounded samples, drawn by a hash of doc_id
-    (``rows`` labelled, ``pool_rows`` without label); all documents are scored. A null text is an empty one, null source
+    are the pool, all of them; of repeated labels the best counts. At most ``rows`` labelled documents, drawn by a hash of
+    doc_id, are learned from; of rows that repeat a doc_id, one. All documents are scored. A null text is an empty one, null source
     and lang are values of their own. Without labels every score is one half, and all is kept. Repeated rows have a row
     each; other columns aren't read; an empty table gives an empty result.
     """
