@@ -224,6 +224,21 @@ def test_mixture_finds_both_languages(spark):
     assert {x["lang"] for x in got["languages"]} == {"xx", "yy"} and 0.3 < got["score"] < 0.7
 
 
+def test_mixture_of_many_languages_in_parts(spark, monkeypatch):
+    words = {f"l{c}": [a + b for a in (c * 2, c * 3) for b in (c, c * 4)] for c in "bcdfghj"}
+    rows = [(i, " ".join(random.Random(i).choices(own, k=60)), lang) for i, (lang, own) in enumerate(list(words.items()) * 20)]
+    many = " ".join(random.Random(1).choices(sum(words.values(), []), k=700))
+    docs = table(spark, rows + [(100001, many, None), (100002, "zq xv wk yp qz vx " * 9, None)])
+    results = []
+    for size in (128, 2):  # all languages in one part, or in four
+        monkeypatch.setattr(language_mixture, "PART_LANGUAGES", size)
+        results.append({r["doc_id"]: r for r in rows_of(language_mixture.identify(docs))})
+    assert results[0] == results[1]
+    assert {x["lang"] for x in results[0][100001]["languages"]} == set(words) and results[0][100001]["noise"] < 0.1
+    left = {r.doc_id for r in language_mixture.reject(docs).collect()}
+    assert 100001 in left and 100002 not in left
+
+
 def test_nearest_vectors(spark):
     draw = np.random.default_rng(2)
     rows = [(i, [float(x) for x in draw.standard_normal(24)]) for i in range(400)]

@@ -3,8 +3,9 @@
 Each language's model is the frequency of its letter trigrams (of lower-cased words, with their ends), in BUCKETS hash
 buckets, counted over all learnable documents. A document's words are drawn from a mixture of the languages and of noise,
 under which all trigrams are equally likely. Expectation-maximisation estimates the proportions; it is run again on the
-one, two, ... strongest components alone, and the set with the highest likelihood less half a log of the number of words
-for each further component (BIC) is taken.
+one, two, ... strongest components alone, up to all of them, and the set with the highest likelihood less half a log of
+the number of words for each further component (BIC) is taken. Larger sets are left out only where a bound of the likelihood
+shows that none can be better.
 """
 
 from __future__ import annotations
@@ -17,16 +18,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import forget, small_batches, stored
 
 BITS = 15
 BUCKETS = 1 << BITS
-#: The model has BUCKETS numbers for each language and is sent to every task: 128 KB a language, 16 MB at most.
-MOST_LANGUAGES = 128
+#: The model has BUCKETS numbers for each language, 128 KB, and is sent to every task in parts of so many languages.
+PART_LANGUAGES = 128
 #: Characters that a task looks at together; longer texts are taken in slices of this length.
 SLICE = 1 << 18
-#: Components of a document's mixture, at most; rounds of EM on all components, and on each set.
-MOST_COMPONENTS, ROUNDS, ROUNDS_OF_SET = 4, 12, 6
+#: Rounds of EM on all components, and on each set.
+ROUNDS, ROUNDS_OF_SET = 12, 6
 UNDETERMINED = "und"
 
 
@@ -82,20 +83,25 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(total[at])], ["lang", "bucket", "n"])
 
 
-def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages, and the log probability of each bucket under each, of all documents with text and lang that aren't held out."""
+def learn(docs: DataFrame) -> tuple[list[str], list]:
+    """Languages, and the log probability of each bucket under each, of all documents with text and lang that aren't held out.
+
+    The second is a list of broadcast tables, a column for each language, PART_LANGUAGES in each but the last.
+    """
     small_batches(docs.sparkSession)
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     counted = rows.select("text", "lang").mapInArrow(_count, "lang string, bucket int, n bigint")
-    counted = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = counted.limit(MOST_LANGUAGES * BUCKETS + 1).toPandas()
-    langs = sorted(table["lang"].unique())
-    if len(langs) > MOST_LANGUAGES or len(table) > MOST_LANGUAGES * BUCKETS:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    counts = np.zeros((BUCKETS, len(langs)))
-    counts[table["bucket"], np.searchsorted(langs, table["lang"])] = table["n"]
-    counts += 0.1
-    return list(langs), np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    counted = stored(counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "trigrams")
+    langs = sorted(r.lang for r in counted.select("lang").distinct().collect())
+    parts = []
+    for i in range(0, len(langs), PART_LANGUAGES):
+        own = langs[i : i + PART_LANGUAGES]
+        table = counted.where(F.col("lang").isin(own)).toPandas()
+        counts = np.full((BUCKETS, len(own)), 0.1)
+        counts[table["bucket"], [own.index(x) for x in table["lang"]]] += table["n"]
+        parts.append(docs.sparkSession.sparkContext.broadcast(np.log(counts / counts.sum(axis=0)).astype(np.float32)))
+    forget(counted)
+    return langs, parts
 
 
 def mixture(words: np.ndarray, starts: np.ndarray, shares: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,21 +129,33 @@ def choose(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     lengths = np.diff(np.append(starts, len(words)))
     full, _ = mixture(words, starts, np.full((len(starts), components), 1 / components, np.float32), ROUNDS)
     order = np.argsort(-full, axis=1, kind="stable")
+    # The likelihood is concave: no shares reach more than that of ``full`` and the steepest of its slopes less their mean.
+    document = np.repeat(np.arange(len(starts)), lengths)
+    total = np.maximum((words * full[document]).sum(axis=1, keepdims=True), 1e-30)
+    slopes = np.add.reduceat((words / total).astype(np.float64), starts)
+    bound = np.add.reduceat(np.log(total[:, 0], dtype=np.float64), starts) + slopes.max(axis=1) - lengths + 1e-4 * lengths
     best, best_score = np.zeros_like(full), np.full(len(starts), -np.inf)
-    for size in range(1, min(MOST_COMPONENTS, components) + 1):
-        begin = np.zeros_like(full)
-        np.put_along_axis(begin, order[:, :size], np.float32(1 / size), axis=1)
-        shares, likelihood = mixture(words, starts, begin, ROUNDS_OF_SET if size > 1 else 0)
-        score = likelihood - (size - 1) / 2 * np.log(lengths)
-        better = score > best_score
-        best[better], best_score[better] = shares[better], score[better]
+    left = np.arange(len(starts))
+    for size in range(1, components + 1):
+        left = left[bound[left] - (size - 1) / 2 * np.log(lengths[left]) > best_score[left]]
+        if not len(left):
+            break
+        begin = np.zeros((len(left), components), np.float32)
+        np.put_along_axis(begin, order[left, :size], np.float32(1 / size), axis=1)
+        own = np.zeros(len(starts), bool)
+        own[left] = True
+        first = np.cumsum(lengths[left]) - lengths[left]
+        shares, likelihood = mixture(words[own[document]], first, begin, ROUNDS_OF_SET if size > 1 else 0)
+        score = likelihood - (size - 1) / 2 * np.log(lengths[left])
+        better = score > best_score[left]
+        best[left[better]], best_score[left[better]] = shares[better], score[better]
     return best, full
 
 
 RESULT = "doc_id bigint, held_out boolean, lang_pred string, score double, noise double, languages array<struct<lang:string,share:double>>"
 
 
-def _predict(langs: list[str], model: np.ndarray):
+def _predict(langs: list[str], model: list):
     noise = np.float32(-BITS * np.log(2))
 
     def scored(texts: list[str | None]) -> list[tuple]:
@@ -146,7 +164,7 @@ def _predict(langs: list[str], model: np.ndarray):
             buckets, begins = trigrams(text)
             if not len(begins) or not langs:
                 continue
-            words = np.add.reduceat(model[buckets], begins)
+            words = np.column_stack([np.add.reduceat(part.value[buckets], begins) for part in model])
             lengths = np.diff(np.append(begins, len(buckets))).astype(np.float32)
             words = np.column_stack([words, lengths * noise])
             at = np.flatnonzero(_letters()[np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)])
@@ -157,7 +175,7 @@ def _predict(langs: list[str], model: np.ndarray):
                     parts[number].append(words[cuts[i] : cuts[i + 1]])
         out = [(UNDETERMINED, 0.0, 0.0, [])] * len(texts)
         known = [i for i, p in enumerate(parts) if p]
-        for group in np.array_split(known, max(1, sum(len(x) for i in known for x in parts[i]) // 200_000)):
+        for group in np.array_split(known, max(1, sum(len(x) for i in known for x in parts[i]) * (len(langs) + 1) // 1_000_000)):
             if not len(group):
                 continue
             lists = [np.concatenate(parts[i]) for i in group]
@@ -170,8 +188,9 @@ def _predict(langs: list[str], model: np.ndarray):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, len(batch), 1000):
-                part = batch.slice(i, 1000)
+            rows = max(1, 5000 // (len(langs) + 5))
+            for i in range(0, len(batch), rows):
+                part = batch.slice(i, rows)
                 lang, score, other, list_ = zip(*scored(part.column(2).to_pylist()))
                 kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
                 columns = [part.column(0), part.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(other, pa.float64()), pa.array(list_, kind)]
