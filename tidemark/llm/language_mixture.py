@@ -214,18 +214,23 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def reject(docs: DataFrame, most_noise: float = 0.5) -> DataFrame:
-    """``docs`` without those that are ``und`` or more than ``most_noise`` noise; rows with a rejected id and text go."""
+    """``docs`` without those that are ``und`` or more than ``most_noise`` noise.
+
+    A row is judged by its text alone, whatever its other columns: rows with a null or empty text go, rows with a null id
+    are judged (but teach nothing), repeated rows stay or go together. An empty table gives an empty result, and so does
+    one that nothing can be learned from. Other columns travel along.
+    """
     langs, model = learn(docs)
     predict = _predict(langs, model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, len(batch), 1000):
-                part = batch.slice(i, 1000)
-                zero, text = pa.nulls(len(part), pa.int64()), part.column("text")
-                asked = pa.RecordBatch.from_arrays([zero, pa.array([False] * len(part)), text], ["doc_id", "held_out", "text"])
-                for x in predict(iter([asked])):
-                    keep = [a != UNDETERMINED and b <= most_noise for a, b in zip(x.column("lang_pred").to_pylist(), x.column("noise").to_pylist())]
-                    yield part.filter(pa.array(keep, pa.bool_()))
+            none, text = pa.nulls(len(batch), pa.int64()), batch.column("text")
+            asked = pa.RecordBatch.from_arrays([none, pa.array([False] * len(batch)), text], ["doc_id", "held_out", "text"])
+            at = 0
+            for x in predict(iter([asked])):  # the rows of the batch in order, some at a time
+                keep = [a != UNDETERMINED and b <= most_noise for a, b in zip(x.column("lang_pred").to_pylist(), x.column("noise").to_pylist())]
+                yield batch.slice(at, len(x)).filter(pa.array(keep, pa.bool_()))
+                at += len(x)
 
     return docs.mapInArrow(task, docs.schema)
