@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidemark.operators import models, sampling, trials
+from tidemark.operators import models, packed, sampling, trials
 from tidemark.sources import tables
 
 COLUMNS, KEYS = ["x", "y", "z"], ["cust", "period"]
@@ -61,7 +61,7 @@ def test_one_scan_scores_all_models(table, tmp_path):
         assert {r["cust"]: r["prob"] for r in long.where(f"model = {seed}").collect()} == pytest.approx(alone)
     mean = {r["cust"]: r["prob"] for r in models.mean_ensemble(long, KEYS).collect()}
     paths = {s: f"{tmp_path}/seed_{s}" for s in (1, 2)}
-    saved = models.score_saved(paths, models.load_forest, table, COLUMNS, KEYS)
+    saved = models.score_saved(paths, table, COLUMNS, KEYS)
     assert {r["cust"]: r["prob"] for r in saved.collect()} == pytest.approx(mean)
 
 
@@ -103,11 +103,11 @@ def test_split_table(forest, tmp_path):
 
 
 def test_evaluator_and_cross_validation(table):
-    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.regression import DecisionTreeRegressor
     from pyspark.ml.tuning import ParamGridBuilder
 
     folded = sampling.stratified_fold(table, (1, 1, 1), ["label"], KEYS, 3)
-    tree = DecisionTreeClassifier(featuresCol="features", labelCol="target")
+    tree = DecisionTreeRegressor(featuresCol="features", labelCol="target")
     grid = ParamGridBuilder().addGrid(tree.maxDepth, [0, 3]).build()
     evaluator = models.GainEvaluator("target", KEYS, threshold=0.5)
     best, gains = models.cross_validate(folded, COLUMNS, tree, grid, evaluator, fold="fold", folds=3)
@@ -115,20 +115,136 @@ def test_evaluator_and_cross_validation(table):
     assert best.depth > 0
 
 
-def test_grid_search_resumes(spark, tmp_path):
+@pytest.mark.parametrize("threads", [1, 3])
+def test_grid_search_resumes(spark, tmp_path, threads):
     path, ran = str(tmp_path / "grid"), []
     grid = spark.createDataFrame([(1, 5), (2, 5), (3, 5)], "depth int, rows int")
 
     def run(point):
         ran.append(point["depth"])
+        if point["depth"] == 2 and ran.count(2) == 1:
+            raise RuntimeError("stopped")
         return spark.createDataFrame([(1, 10.0 * point["depth"])], "seed long, gain double")
 
-    models.grid_search(grid.where("depth < 3"), ["depth", "rows"], run, path)
-    details = models.grid_search(grid, ["depth", "rows"], run, path)
-    assert ran == [1, 2, 3]
+    with pytest.raises(RuntimeError):
+        models.grid_search(grid.where("depth < 3"), ["depth", "rows"], run, path, threads)
+    details = models.grid_search(grid, ["depth", "rows"], run, path, threads)
+    assert sorted(ran) == [1, 2, 2, 3] and details.columns == ["depth", "rows", "seed", "gain"]
     assert [r["depth"] for r in trials.grid_summary(details, ["depth", "rows"], "gain").collect()] == [3, 2, 1]
 
 
+def test_a_failed_fit_lets_the_others_finish(spark):
+    from tidemark.operators.fits import concurrently
+
+    done = []
+
+    def call(i):
+        if i == 1:
+            raise ValueError("one")
+        done.append(i)
+        return i
+
+    assert concurrently([lambda i=i: i * i for i in range(20)], 4, spark) == [i * i for i in range(20)]
+    with pytest.raises(ValueError):
+        concurrently([lambda i=i: call(i) for i in range(6)], 3, spark)
+    assert sorted(done) == [0, 2, 3, 4, 5]
+
+
+def test_monte_carlo_by_hand_and_by_threads(table):
+    def fit(rows):
+        return models.train_tree(rows, COLUMNS, maxDepth=2, seed=3)
+
+    marked = models.split_bits(table, 6, seed=4)
+    gains = [models.split_gains(marked, range(1, 7), fit, COLUMNS, threshold=0.2, threads=t).collect() for t in (1, 8)]
+    assert gains[0] == gains[1] and [r["seed"] for r in gains[0]] == [1, 2, 3, 4, 5, 6]
+    assert len({r["gain"] for r in gains[0]}) > 1
+    for r in gains[0][:3]:
+        inside = sampling.in_split("_test", r["seed"])
+        scored = models.score(fit(marked.where(~inside)), marked.where(inside), COLUMNS, ["label"]).collect()
+        by_hand = sum(780_000 if x["label"] == "BAJA+2" else -20_000 for x in scored if x["prob"] > 0.2) / 0.3
+        assert r["gain"] == pytest.approx(by_hand)
+
+
+@pytest.mark.parametrize("nodes", [packed.PART_NODES, 5])
+def test_packed_trees_score_as_spark_does(spark, table, forest, nodes):
+    tree = models.train_tree(table, ["y"], maxDepth=4, seed=1)
+    arrays = packed.pack(spark, {7: forest, 3: tree}, COLUMNS, own_columns={3: ["y"]})
+    assert arrays.trees == 7 and (len(arrays.parts(nodes)) > 1) == (nodes == 5)
+    got = {(r["cust"], r["model"]): r["prob"] for r in packed.score_packed(arrays, table, ["cust"], nodes).collect()}
+    own = {r["cust"]: r["prob"] for r in models.score(forest, table, COLUMNS, ["cust"]).collect()}
+    other = {r["cust"]: r["prob"] for r in models.score(tree, table, ["y"], ["cust"]).collect()}
+    assert got == pytest.approx({**{(c, 7): v for c, v in own.items()}, **{(c, 3): v for c, v in other.items()}})
+    mean = {r["cust"]: r["prob"] for r in packed.mean_packed(arrays, table, ["cust"], nodes=nodes).collect()}
+    assert mean == pytest.approx({c: (own[c] + other[c]) / 2 for c in own})
+
+
+def test_packed_classifiers_too(spark, table):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    forest = RandomForestClassifier(featuresCol="features", labelCol="target", numTrees=4, maxDepth=3, seed=5).fit(models.assemble(table, COLUMNS))
+    got = {r["cust"]: r["prob"] for r in packed.mean_packed(packed.pack(spark, {1: forest}, COLUMNS), table, ["cust"]).collect()}
+    assert got == pytest.approx({r["cust"]: r["prob"] for r in models.score(forest, table, COLUMNS, ["cust"]).collect()})
+
+
+def test_packed_trees_take_no_missing_values(spark, forest):
+    from pyspark.errors import PythonException
+
+    holes = spark.createDataFrame([(1.0, None, 2.0)], "x double, y double, z double")
+    with pytest.raises(PythonException, match="missing"):
+        packed.mean_packed(packed.pack(spark, {1: forest}, COLUMNS), holes, []).collect()
+
+
+def test_512_trees_in_one_pass(spark, table):
+    trees = models.subspace_trees(table, COLUMNS, 512, seed=2, fraction=0.7, maxDepth=2)
+    assert len({id(m) for _, m in trees.values()}) == 3  # three pairs of columns
+    arrays = models.pack_subspace(trees, COLUMNS, spark)
+    assert arrays.trees == 512
+    got = {(r["cust"], r["model"]): r["prob"] for r in packed.score_packed(arrays, table.limit(20), ["cust"]).collect()}
+    assert len(got) == 20 * 512
+    for i in (1, 77, 512):
+        names, model = trees[i]
+        own = models.score(model, table, names, ["cust"]).collect()
+        assert all(got[(r["cust"], i)] == pytest.approx(r["prob"]) for r in own if (r["cust"], i) in got)
+
+
+@pytest.mark.parametrize("nodes", [packed.PART_NODES, 7])
+def test_stages_are_shorter_trainings(spark, table, nodes):
+    options = {"maxDepth": 2, "stepSize": 0.3, "seed": 5}
+    model = models.train_gbt(table, COLUMNS, maxIter=6, **options)
+    arrays = packed.pack(spark, {0: model}, COLUMNS)
+    staged = {r["cust"]: r["stages"] for r in packed.staged_scores(arrays, table, ["cust"], nodes=nodes).collect()}
+    for trees in (1, 3, 6):
+        shorter = models.train_gbt(table, COLUMNS, maxIter=trees, **options)
+        own = {r["cust"]: r["prob"] for r in models.score(shorter, table, COLUMNS, ["cust"]).collect()}
+        assert {c: s[trees - 1] for c, s in staged.items()} == pytest.approx(own)
+        cut = {r["cust"]: r["prob"] for r in packed.mean_packed(arrays.first(trees), table, ["cust"]).collect()}
+        assert cut == pytest.approx(own)
+
+
+def test_boosting_stops_at_the_best_gain(spark, table):
+    from tidemark.operators.profit import gain
+
+    model = models.train_gbt(table.where("period < 3"), COLUMNS, maxIter=8, maxDepth=2, stepSize=0.4, seed=5)
+    valid = table.where("period >= 3")
+    cut, gains = models.stop_by_gain(model, valid, COLUMNS, gain())
+    arrays = packed.pack(spark, {0: model}, COLUMNS)
+    brute = {}
+    for trees in range(1, 9):
+        scored = packed.mean_packed(arrays.first(trees), valid, ["label"]).collect()
+        cuts = {r["prob"] for r in scored}
+        worth = {c: sum(780_000 if r["label"] == "BAJA+2" else -20_000 for r in scored if r["prob"] >= c) for c in cuts}
+        brute[trees] = (max(worth.values()), max(c for c in cuts if worth[c] == max(worth.values())))
+    got = {r["trees"]: (r["max_gain"], r["threshold"]) for r in gains.collect()}
+    assert {t: g for t, (g, _) in got.items()} == {t: g for t, (g, _) in brute.items()}
+    assert {t: c for t, (_, c) in got.items()} == pytest.approx({t: c for t, (_, c) in brute.items()})
+    assert cut.trees == min(t for t in brute if brute[t][0] == max(g for g, _ in brute.values()))
+
+
+def test_best_stage():
+    pairs = [(1, 5), (2, 7), (3, 7), (4, 6), (5, 9)]
+    assert models.best_stage(pairs) == 5 and models.best_stage(pairs, patience=2) == 2 and models.best_stage(pairs, patience=3) == 5
+
+
 def test_bagging_counts_trees(table):
     made = models.subspace_trees(table, COLUMNS, 4, seed=2, fraction=0.7, maxDepth=2)
     assert all(len(names) == 2 for names, _ in made.values())

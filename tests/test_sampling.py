@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import draw
+from tidemark.functions.scalar import draw, md5_draw
 from tidemark.operators import sampling
 
 KEYS = ["cust", "period"]
@@ -64,6 +64,29 @@ def test_repeated_splits(panel):
     assert chosen[0] != chosen[1]
 
 
+@pytest.mark.parametrize("repeats,share", [(1, 0.3), (70, 0.5), (5, 0.0), (5, 1.0), (3, 0.999)])
+def test_bits_of_repeated_splits(panel, repeats, share):
+    """More repeats than a number has bits, empty and whole splits: bits against sorting."""
+    marked = sampling.repeated_bits(panel, repeats, share, ["label"], KEYS, seed=9, draw=md5_draw).collect()
+    assert len(marked) == panel.count()
+    for repeat in {1, repeats, min(63, repeats)}:
+        drawn = {(r["cust"], r["period"]): r["d"] for r in panel.withColumn("d", md5_draw([*KEYS], F.lit(f"{repeat}|9"))).collect()}
+        word, place = divmod(repeat - 1, sampling.WORD)
+        for label in {r["label"] for r in marked}:
+            rows = sorted((drawn[(r["cust"], r["period"])], r["cust"], r["period"], r["bits"][word] >> place & 1) for r in marked if r["label"] == label)
+            assert [x[3] for x in rows] == [int(i < int(len(rows) * share)) for i in range(len(rows))]
+
+
+def test_cuts_of_draws_that_are_not_uniform(panel):
+    def skewed(keys, seed):
+        return F.pow(draw(keys, seed), F.lit(6.0))
+
+    splits = sampling.repeated_splits(panel, 4, 0.3, ["label"], KEYS, draw=skewed)
+    sizes = {r["label"]: r["count"] for r in panel.groupBy("label").count().collect()}
+    for r in splits.groupBy("repeat", "label").agg(F.count_if("is_public").alias("p")).collect():
+        assert r["p"] == int(0.3 * sizes[r["label"]])
+
+
 def test_shuffles_keep_values(panel):
     apart = sampling.shuffle_apart(panel, ["v", "period"], KEYS, 1, rows_per_task=100)
     together = sampling.shuffle_together(panel, ["v", "label"], KEYS, 1, rows_per_task=100)

@@ -1,5 +1,9 @@
 """Models on Spark ML: imputation, trees, forests, boosting, ensembles, embeddings, segments.
 
+Trees and forests are regressions on the 0/1 target, whose leaves hold the rate of class 1. Their splits are those by Gini
+impurity, as the variance of a 0/1 value is half of it. Spark's classifiers do not serve here: they put leaves together
+that predict the same class, and where the class is rarer than a half everywhere, that is the whole tree.
+
 Spark's trees take no missing values, so columns are imputed first. They grow by level: give ``maxDepth`` where another
 library takes a number of leaves, ``minInstancesPerNode`` for the rows per leaf, ``featureSubsetStrategy`` for the
 share of columns, ``maxBins`` for the bins of a column, ``stepSize`` for the learning rate.
@@ -10,25 +14,25 @@ A fit is distributed; the loops here only start fits.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Model
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassificationModel,
-    GBTClassifier,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import row_mean
+from tidemark.operators.fits import THREADS, concurrently, study
+from tidemark.operators.ordering import ranked
+from tidemark.operators.packed import PackedTrees, mean_packed, pack, read_packed, score_packed, score_rows, staged_scores
 from tidemark.operators.profit import (
     THRESHOLD,
     cumulative_gain,
@@ -37,11 +41,10 @@ from tidemark.operators.profit import (
     label_by_threshold,
     normalised_gain,
 )
-from tidemark.operators.sampling import contrast_set, stratified_share
-from tidemark.operators.sizes import small_side
-from tidemark.operators.trials import not_done
+from tidemark.operators.sampling import contrast_set, in_split, repeated_bits
+from tidemark.operators.sizes import ROWS_PER_TASK, small_side
 from tidemark.session import cut_lineage, shared_folder
-from tidemark.sources.tables import append_table, path_exists
+from tidemark.sources.tables import path_exists
 
 FEATURES, PROBABILITY = "features", "probability"
 
@@ -94,12 +97,14 @@ def assemble(df: DataFrame, columns: Sequence[str], name: str = FEATURES) -> Dat
 
 
 def train_tree(df: DataFrame, columns: Sequence[str], label: str = "target", *, features: str = FEATURES, **params) -> Model:
-    return DecisionTreeClassifier(featuresCol=features, labelCol=label, **params).fit(assemble(df, columns, features))
+    """A tree whose prediction is the rate of class 1 in the leaf."""
+    return DecisionTreeRegressor(featuresCol=features, labelCol=label, **params).fit(assemble(df, columns, features))
 
 
 def train_forest(df: DataFrame, columns: Sequence[str], label: str = "target", **params) -> Model:
-    params = {"numTrees": 100, **params}
-    return RandomForestClassifier(featuresCol=FEATURES, labelCol=label, **params).fit(assemble(df, columns))
+    """A forest whose prediction is the mean rate of class 1 in the leaves; each node sees the root of the columns' number."""
+    params = {"numTrees": 100, "featureSubsetStrategy": "sqrt", **params}
+    return RandomForestRegressor(featuresCol=FEATURES, labelCol=label, **params).fit(assemble(df, columns))
 
 
 def train_gbt(df: DataFrame, columns: Sequence[str], label: str = "target", **params) -> Model:
@@ -113,13 +118,15 @@ def rescale_min_rows(min_rows: int, tuned_rows: int, final_rows: int) -> int:
     return max(1, round(min_rows * final_rows / tuned_rows))
 
 
-def positive_probability(column: str = PROBABILITY) -> Column:
-    return vector_to_array(F.col(column))[1]
+def positive_probability(scored: DataFrame, probability: str = PROBABILITY, prediction: str = "prediction") -> Column:
+    """The probability of class 1 in a scored table: of a classifier, or else what a regression predicts."""
+    return vector_to_array(F.col(probability))[1] if probability in scored.columns else F.col(prediction)
 
 
 def score(model: Model, df: DataFrame, columns: Sequence[str], keep: Sequence[str], name: str = "prob") -> DataFrame:
     features = model.getFeaturesCol()
-    return model.transform(assemble(df, columns, features)).select(*keep, positive_probability().alias(name))
+    scored = model.transform(assemble(df, columns, features))
+    return scored.select(*keep, positive_probability(scored).alias(name))
 
 
 # --- several models ------------------------------------------------------------------------------------------------
@@ -132,10 +139,10 @@ def score_models(
     scored = assemble(df, columns)
     for number, model in models.items():
         outputs = {"predictionCol": f"_y{number}", "probabilityCol": f"_p{number}", "rawPredictionCol": f"_r{number}"}
-        scored = model.copy({model.getParam(p): v for p, v in outputs.items()}).transform(scored)
+        scored = model.copy({model.getParam(p): v for p, v in outputs.items() if model.hasParam(p)}).transform(scored)
     entries = F.array(
         *[
-            F.struct(F.lit(n).alias("model"), positive_probability(f"_p{n}").alias("prob"))
+            F.struct(F.lit(n).alias("model"), positive_probability(scored, f"_p{n}", f"_y{n}").alias("prob"))
             for n in models
         ]
     )
@@ -152,18 +159,21 @@ def mean_of_columns(scores: DataFrame, names: Sequence[str], name: str = "ensemb
     return scores.withColumn(name, row_mean(names))
 
 
-def seed_ensemble(fit: Callable[[int], Model], seeds: Sequence[int], folder: str | None = None, load=None) -> dict[int, Model]:
-    """The same fit for every seed. With a folder each model is stored, and a stored one is loaded instead."""
-    models = {}
-    for seed in seeds:
+def seed_ensemble(
+    fit: Callable[[int], Model], seeds: Sequence[int], folder: str | None = None, load=None, threads: int = THREADS
+) -> dict[int, Model]:
+    """The same fit for every seed, some at a time. With a folder each model is stored, and a stored one is loaded instead."""
+
+    def one(seed: int) -> Model:
         path = f"{folder.rstrip('/')}/seed_{seed}" if folder else None
         if path and load is not None and _stored(path):
-            models[seed] = load(path)
-            continue
-        models[seed] = fit(seed)
+            return load(path)
+        model = fit(seed)
         if path:
-            models[seed].write().overwrite().save(path)
-    return models
+            model.write().overwrite().save(path)
+        return model
+
+    return dict(zip(seeds, concurrently([lambda s=s: one(s) for s in seeds], threads)))
 
 
 def _stored(path: str) -> bool:
@@ -173,18 +183,16 @@ def _stored(path: str) -> bool:
 
 
 def load_forest(path: str) -> Model:
-    return RandomForestClassificationModel.load(path)
+    return RandomForestRegressionModel.load(path)
 
 
 def load_gbt(path: str) -> Model:
     return GBTClassificationModel.load(path)
 
 
-def score_saved(
-    paths: Mapping[int, str], load: Callable[[str], Model], df: DataFrame, columns: Sequence[str], keys: Sequence[str]
-) -> DataFrame:
-    """Average score of the stored models of a study."""
-    return mean_ensemble(score_models({n: load(p) for n, p in paths.items()}, df, columns, keys), keys)
+def score_saved(paths: Mapping[int, str], df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """Average score of the stored trees or forests of a study, in one pass over the rows; the models are read as arrays."""
+    return mean_packed(read_packed(df.sparkSession, paths, columns), df, keep)
 
 
 def subspace_trees(
@@ -195,46 +203,67 @@ def subspace_trees(
     label: str = "target",
     fraction: float = 0.5,
     seed: int = 0,
+    threads: int = THREADS,
     **params,
 ) -> dict[int, tuple[list[str], Model]]:
-    """Trees that each see a random share of the columns."""
+    """Trees that each see a random share of the columns, fitted some at a time.
+
+    Trees that drew the same columns are the same tree and are fitted once. ``train`` should be a stored table.
+    """
     import random
 
     size = max(1, int(len(columns) * fraction))
     chosen = {i: random.Random(seed * 100_003 + i).sample(list(columns), size) for i in range(1, trees + 1)}
-    return {i: (names, train_tree(train, names, label, features=f"_f{i}", **params)) for i, names in chosen.items()}
+    distinct = {tuple(sorted(names, key=columns.index)) for names in chosen.values()}
+    order = sorted(distinct)
+    fitted = concurrently([lambda names=names: train_tree(train, names, label, **params) for names in order], threads, train.sparkSession)
+    by_names = dict(zip(order, fitted))
+    out = {}
+    for i, names in chosen.items():
+        own = sorted(names, key=columns.index)
+        out[i] = (own, by_names[tuple(own)])
+    return out
+
+
+def pack_subspace(
+    trees: Mapping[int, tuple[Sequence[str], Model]], columns: Sequence[str], spark, folder: str | None = None, threads: int = THREADS
+) -> PackedTrees:
+    """All trees as arrays over ``columns``; a tree that occurs several times is saved once."""
+    first: dict[str, int] = {}
+    for i, (_, model) in trees.items():
+        first.setdefault(model.uid, i)
+    kept = {i: trees[i] for i in first.values()}
+    packed = pack(spark, {i: m for i, (_, m) in kept.items()}, columns, own_columns={i: n for i, (n, _) in kept.items()}, folder=folder, threads=threads)
+    root = dict(zip(packed.models.tolist(), packed.roots.tolist()))
+    order = sorted(trees, key=lambda i: root[first[trees[i][1].uid]])
+    roots = np.array([root[first[trees[i][1].uid]] for i in order])
+    return replace(packed, roots=roots, weights=np.ones(len(order)), models=np.array(order))
 
 
 def subspace_scores(
     trees: Mapping[int, tuple[Sequence[str], Model]], df: DataFrame, keep: Sequence[str]
 ) -> DataFrame:
-    """(keep, model, prob) with one row per tree, from one scan."""
-    scored = df
-    for i, (names, model) in trees.items():
-        outputs = {"predictionCol": f"_y{i}", "probabilityCol": f"_p{i}", "rawPredictionCol": f"_r{i}"}
-        renamed = model.copy({model.getParam(p): v for p, v in outputs.items()})
-        scored = renamed.transform(assemble(scored, names, f"_f{i}"))
-    entries = F.array(
-        *[F.struct(F.lit(i).alias("model"), positive_probability(f"_p{i}").alias("prob")) for i in trees]
-    )
-    return scored.select(*keep, F.inline(entries))
+    """(keep, model, prob) with one row per tree, from one pass over the rows."""
+    columns = list(dict.fromkeys(c for names, _ in trees.values() for c in names))
+    return score_packed(pack_subspace(trees, columns, df.sparkSession), df, keep)
 
 
 def bagging_report(
     scores: DataFrame, keys: Sequence[str], sizes: Sequence[int], label: str = "label", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """Gain of the first 1, 2, 4, … trees: contacted when their summed probability is above trees times threshold."""
-    per_size = scores.select(
-        *keys,
-        label,
-        "prob",
-        F.explode(F.filter(F.array(*[F.lit(s) for s in sizes]), lambda s: s >= F.col("model"))).alias("trees"),
-    )
-    summed = per_size.groupBy(*keys, label, "trees").agg(F.sum("prob").alias("prob"))
-    chosen = F.col("prob") > F.col("trees") * F.lit(threshold)
-    return summed.groupBy("trees").agg(
-        F.coalesce(F.sum(F.when(chosen, gain(label))), F.lit(0)).alias("gain"), F.count_if(chosen).alias("contacts")
+    """Gain of the first 1, 2, 4, … trees: contacted when their summed probability is above trees times threshold.
+
+    The sums of all sizes are taken side by side, so the long table is read and grouped once.
+    """
+    first = [F.sum(F.when(F.col("model") <= s, F.col("prob"))).alias(f"_s{s}") for s in sizes]
+    summed = scores.groupBy(*keys, label).agg(*first)
+    chosen = [F.col(f"_s{s}") > F.lit(s * threshold) for s in sizes]
+    totals = summed.agg(
+        *[F.coalesce(F.sum(F.when(c, gain(label))), F.lit(0)).alias(f"_g{s}") for s, c in zip(sizes, chosen)],
+        *[F.count_if(c).alias(f"_c{s}") for s, c in zip(sizes, chosen)],
     )
+    entries = [F.struct(F.lit(s).alias("trees"), F.col(f"_g{s}").alias("gain"), F.col(f"_c{s}").alias("contacts")) for s in sizes]
+    return totals.select(F.inline(F.array(*entries)))
 
 
 # --- validation ----------------------------------------------------------------------------------------------------
@@ -255,7 +284,8 @@ class GainEvaluator(Evaluator):
 
     def _evaluate(self, dataset: DataFrame) -> float:
         value = gain(F.col(self.hit), 1)
-        scored = dataset.withColumn("_prob", positive_probability())
+        # The model scores its rows here, once: ranking reads them several times.
+        scored = cut_lineage(dataset.select(*self.keys, self.hit, positive_probability(dataset).alias("_prob")))
         if self.threshold is None:
             best = gain_summary(cumulative_gain(scored, "_prob", value, key=self.keys), "_prob").first()["max_gain"]
             return float(best) / self.share
@@ -266,56 +296,135 @@ class GainEvaluator(Evaluator):
         return True
 
 
-def cross_validate(df: DataFrame, columns: Sequence[str], estimator, grid, evaluator, *, fold: str, folds: int):
+def cross_validate(df: DataFrame, columns: Sequence[str], estimator, grid, evaluator, *, fold: str, folds: int, threads: int = THREADS):
     """Spark's cross validator over a fold column 1..folds. Gives (fitted model, average metric per grid point)."""
     numbered = assemble(df, columns).withColumn("_fold", (F.col(fold) - 1).cast("int"))
     found = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, foldCol="_fold"
+        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, foldCol="_fold", parallelism=threads
     ).fit(numbered)
     return found.bestModel, list(found.avgMetrics)
 
 
-def monte_carlo(
-    df: DataFrame,
-    seeds: Sequence[int],
+def split_bits(
+    df: DataFrame, repeats: int, *, by: Sequence[str] = ("label",), keys: Sequence[str] = ("cust", "period"), test_share: float = 0.3,
+    seed: int = 0, **options,
+) -> DataFrame:
+    """``df`` stored with the test sides of ``repeats`` stratified splits as bits ``_test``; all fits of a study read it."""
+    return cut_lineage(repeated_bits(df, repeats, test_share, by, keys, seed, "_test", **options))
+
+
+def split_gains(
+    marked: DataFrame,
+    repeats: Sequence[int],
     fit: Callable[[DataFrame], Model],
     columns: Sequence[str],
     *,
-    by: Sequence[str] = ("label",),
-    keys: Sequence[str] = ("cust", "period"),
     label: str = "label",
     test_share: float = 0.3,
     threshold: float = THRESHOLD,
+    threads: int = THREADS,
 ) -> DataFrame:
-    """Normalised test gain of one model on a stratified split per seed: (seed, gain).
+    """Normalised test gain of one model on each of the splits of ``split_bits``: (seed, gain), seed being the split.
 
-    A split is a flag from the rows' own draws, so no split is stored or shuffled.
+    The fits run some at a time. Their trees are then packed, and one pass over the rows scores every row with the models
+    that did not see it and sums the gains of all splits.
     """
-    rows = []
-    for seed in seeds:
-        split = stratified_share(df, test_share, by, keys, seed, "_test")
-        scored = score(fit(split.where("not _test")), split.where("_test"), columns, [label])
-        found = normalised_gain(scored, F.col("prob") > threshold, test_share, gain(label)).first()
-        rows.append((int(seed), float(found["gain"])))
-    return df.sparkSession.createDataFrame(rows, "seed long, gain double")
+    spark = marked.sparkSession
+    repeats = list(repeats)
+    fitted = concurrently([lambda r=r: fit(marked.where(~in_split("_test", r))) for r in repeats], threads, spark)
+    models = dict(zip(repeats, fitted))
+    if any(isinstance(m, GBTClassificationModel) for m in fitted):
+        scored = cut_lineage(score_models(models, marked, columns, [label, "_test"]))
+        sums = [F.sum(F.when((F.col("model") == r) & in_split("_test", r) & (F.col("prob") > threshold), gain(label))) for r in repeats]
+    else:
+        scored = score_rows(pack(spark, models, columns, threads=threads), marked, [label, "_test"])
+        sums = [F.sum(F.when(in_split("_test", r) & (F.get("probs", F.lit(i)) > threshold), gain(label))) for i, r in enumerate(repeats)]
+    row = scored.agg(*[F.coalesce(s, F.lit(0)).alias(f"g{r}") for r, s in zip(repeats, sums)])
+    entries = [F.struct(F.lit(int(r)).cast("long").alias("seed"), (F.col(f"g{r}") / F.lit(float(test_share))).alias("gain")) for r in repeats]
+    return row.select(F.inline(F.array(*entries)))
+
+
+def monte_carlo(
+    df: DataFrame,
+    repeats: int,
+    fit: Callable[[DataFrame], Model],
+    columns: Sequence[str],
+    *,
+    label: str = "label",
+    test_share: float = 0.3,
+    threshold: float = THRESHOLD,
+    threads: int = THREADS,
+    **options,
+) -> DataFrame:
+    """Normalised test gain of one model on ``repeats`` stratified splits: (seed, gain); options as in ``split_bits``."""
+    marked = split_bits(df, repeats, test_share=test_share, **options)
+    found = split_gains(marked, range(1, repeats + 1), fit, columns, label=label, test_share=test_share, threshold=threshold, threads=threads)
+    return cut_lineage(found)
 
 
 def grid_search(
-    grid: DataFrame, parameters: Sequence[str], run: Callable[[dict], DataFrame], path: str
+    grid: DataFrame, parameters: Sequence[str], run: Callable[[dict], DataFrame], path: str, threads: int = THREADS
 ) -> DataFrame:
-    """Run every parameter tuple that the detail table at ``path`` lacks, appending its rows after each run.
+    """Run every parameter tuple that the detail table at ``path`` lacks, some at a time, and store its rows when it is done.
+
+    ``run`` gives (seed, gain) rows for a tuple. A search that was stopped goes on where it was, and a tuple that is run
+    again replaces its rows. Gives the parameters with the rows of all tuples that are stored.
+    """
+    points = [row.asDict() for row in grid.select(*parameters).distinct().orderBy(*parameters).collect()]
+    named = {c: grid.schema[c].dataType for c in parameters}
+
+    def rows(point: Mapping[str, object]) -> DataFrame:
+        return run(dict(point)).select(*[F.lit(point[p]).cast(named[p]).alias(p) for p in parameters], "*")
 
-    ``run`` gives (seed, gain) rows for a tuple. A search that was stopped goes on where it was.
+    return study(grid.sparkSession, points, rows, path, threads)
+
+
+# --- boosting stopped by the gain ----------------------------------------------------------------------------------
+
+
+def stage_gains(staged: DataFrame, value: Column, stages: str = "stages", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(trees, max_gain, threshold, contacts): the best cut by score after each number of trees.
+
+    Of rows with the probabilities after 1, 2, … trees. Rows with the same score are contacted together, so a row's place
+    among equals does not matter and the gains are first summed for each score. Among equal gains the higher score counts.
+    """
+    long = staged.select(value.alias("_gain"), F.posexplode(stages).alias("_stage", "prob"))
+    sums = long.groupBy((F.col("_stage") + 1).alias("trees"), "prob").agg(F.sum("_gain").alias("_gain"), F.count(F.lit(1)).alias("_n"))
+    curve = ranked(cut_lineage(sums), ["trees"], ["-prob"], running={"_upto": F.col("_gain"), "_contacts": F.col("_n")}, rows_per_task=rows_per_task)
+    best = F.min(F.struct((-F.col("_upto")).alias("loss"), (-F.col("prob")).alias("below"), F.col("_contacts").alias("contacts"))).alias("b")
+    return curve.groupBy("trees").agg(best).select(
+        "trees", (-F.col("b.loss")).alias("max_gain"), (-F.col("b.below")).alias("threshold"), F.col("b.contacts").alias("contacts")
+    )
+
+
+def best_stage(gains: Sequence[tuple[int, float]], patience: int | None = None) -> int:
+    """The number of trees with the largest gain, the fewest among equals.
+
+    With ``patience`` the search ends as soon as so many stages in a row brought nothing better.
+    """
+    best, found = 0, None
+    for trees, value in sorted(gains):
+        if found is None or value > found:
+            best, found = trees, value
+        elif patience is not None and trees - best >= patience:
+            break
+    return best
+
+
+def stop_by_gain(
+    model: GBTClassificationModel, valid: DataFrame, columns: Sequence[str], value: Column, patience: int | None = None
+) -> tuple[PackedTrees, DataFrame]:
+    """(the boosted model cut to its best number of trees, gains by number of trees) by the gain on validation rows.
+
+    Boosting adds trees one by one, so its first trees are what a shorter training gives: the rows are scored once, with
+    the running sums of the trees, and no model is trained again.
     """
-    spark = grid.sparkSession
-    todo = grid
-    if path_exists(spark, path):
-        todo = not_done(grid, spark.read.parquet(path), parameters)
-    for row in todo.orderBy(*parameters).collect():
-        values = row.asDict()
-        details = run(values)
-        append_table(details.select(*[F.lit(values[p]).alias(p) for p in parameters], "*"), path)
-    return spark.read.parquet(path)
+    spark = valid.sparkSession
+    packed = pack(spark, {0: model}, columns)
+    staged = staged_scores(packed, valid.withColumn("_value", value), ["_value"])
+    gains = cut_lineage(stage_gains(staged, F.col("_value")))
+    pairs = [(r["trees"], r["max_gain"]) for r in gains.select("trees", "max_gain").collect()]  # a row for each tree
+    return packed.first(best_stage(pairs, patience)), gains
 
 
 # --- what a model uses ---------------------------------------------------------------------------------------------
@@ -372,7 +481,7 @@ def leaves_per_tree(table: DataFrame) -> DataFrame:
 # --- leaves as features --------------------------------------------------------------------------------------------
 
 
-def with_leaves(model: RandomForestClassificationModel, df: DataFrame, columns: Sequence[str], name: str = "leaves") -> DataFrame:
+def with_leaves(model: RandomForestRegressionModel, df: DataFrame, columns: Sequence[str], name: str = "leaves") -> DataFrame:
     """Rows with the leaf each tree puts them in, as an array."""
     found = model.copy({model.getParam("leafCol"): "_leaf"}).transform(assemble(df, columns))
     return found.select(*df.columns, vector_to_array("_leaf").cast("array<int>").alias(name))
@@ -426,7 +535,7 @@ def group_proximity(leaves: DataFrame, keys: Sequence[str], group: str) -> DataF
 
 def unsupervised_forest(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str], seed: int = 0, **params
-) -> RandomForestClassificationModel:
+) -> RandomForestRegressionModel:
     """A forest that tells real rows from rows with shuffled columns; its leaves give a proximity without labels."""
     return train_forest(cut_lineage(contrast_set(df, columns, keys, seed)), columns, "real", seed=seed, **params)
 

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.labels import GONE_AFTER_NEXT
 from tidemark.operators.ordering import ranked
-from tidemark.operators.sampling import repeated_splits
+from tidemark.operators.sampling import in_split, repeated_bits
 from tidemark.operators.sizes import ROWS_PER_TASK
+from tidemark.session import cut_lineage
 
 # What a reached customer of the class is worth, what a contact costs, and the threshold they imply.
 HIT_VALUE = 780_000
@@ -259,23 +260,25 @@ def repeated_leaderboard(
 ) -> DataFrame:
     """Public and private gain of every model over many stratified splits: (repeat, model, public, private).
 
-    The models of a row are put in one array first, so each row is drawn once per repeat, whatever the number of
-    models, and the long table of repeats is summed where it is made, without a join.
+    The models of a row are put in one array and the rows get a bit for each repeat. The gains are summed bit by bit in one
+    aggregate, so rows are neither copied for the repeats nor joined with them.
     """
     value = gain() if value is None else value
     rows = scores.groupBy(*keys, *by).agg(
         F.collect_list(F.struct(F.col(model).alias("model"), F.when(selected, value).alias("gain"))).alias("_models")
     )
-    sides = repeated_splits(rows, repeats, share, by, keys, seed, keep=["_models"], **options)
-    sums = sides.select("repeat", "is_public", F.inline("_models")).groupBy("repeat", "model").agg(
-        F.sum(F.when(F.col("is_public"), F.col("gain"))).alias("_pub"),
-        F.sum(F.when(~F.col("is_public"), F.col("gain"))).alias("_pri"),
-    )
-    return sums.select(
+    marked = repeated_bits(cut_lineage(rows), repeats, share, by, keys, seed, "_bits", **options)
+    chosen = marked.select("_bits", F.inline("_models")).where("gain IS NOT NULL")
+    public = [F.sum(F.when(in_split("_bits", r), F.col("gain"))).alias(f"_r{r}") for r in range(1, repeats + 1)]
+    sums = chosen.groupBy("model").agg(F.sum("gain").alias("_all"), *public)
+    # Models without a contact have no row there.
+    sums = scores.select(F.col(model).alias("model")).distinct().join(sums, "model", "left")
+    per_repeat = F.inline(F.array(*[F.struct(F.lit(r).alias("repeat"), F.coalesce(f"_r{r}", F.lit(0)).alias("_pub")) for r in range(1, repeats + 1)]))
+    return sums.select("model", F.coalesce("_all", F.lit(0)).alias("_all"), per_repeat).select(
         "repeat",
         "model",
-        (F.coalesce("_pub", F.lit(0)) / F.lit(share)).alias("public"),
-        (F.coalesce("_pri", F.lit(0)) / F.lit(1 - share)).alias("private"),
+        (F.col("_pub") / F.lit(share)).alias("public"),
+        ((F.col("_all") - F.col("_pub")) / F.lit(1 - share)).alias("private"),
     )
 
 

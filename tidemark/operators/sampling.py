@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import draw as hash_draw
 from tidemark.operators.ordering import ranked
-from tidemark.operators.sizes import ROWS_PER_TASK, small_side
+from tidemark.operators.sizes import ROWS_PER_TASK, SMALL_ROWS, small_side
+from tidemark.session import cut_lineage
 
 Draw = Callable[[Sequence[str], int | Column], Column]
 BINS = 4_096
@@ -154,6 +155,95 @@ def stratified_share(
     return _mark_smallest(drawn, by, "_draw", keys, take, name).drop("_draw")
 
 
+#: Repeats in one number of the bits.
+WORD = 62
+#: The window that must hold a cut reaches so many standard deviations of its place to both sides.
+DEVIATIONS = 8.0
+
+
+def _repeat_draw(draw: Draw, keys: Sequence[str], repeat: Column, seed: int) -> Column:
+    return draw(keys, F.concat_ws("|", repeat.cast("string"), F.lit(str(seed))))
+
+
+def split_cuts(
+    df: DataFrame, repeats: int, share: float, by: Sequence[str], keys: Sequence[str], seed: int = 0, draw: Draw = hash_draw
+) -> DataFrame:
+    """(by, repeat, cut): the draw and key of the last of the ``floor(share * n)`` rows with the smallest draws of each group.
+
+    A uniform draw's quantile lies close to the share. So one pass counts the rows below a window around the share and
+    keeps those inside, some square root of the group's rows, and the cut is the one with the right place among them. A
+    window that does not hold it, as may happen with other draws, is widened.
+    """
+    by, repeat = list(by), F.col("repeat")
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).withColumn("_take", F.floor(F.col("_n") * F.lit(float(share))))
+    sizes = small_side(sizes.where("_take > 0").select(*[F.col(c).alias(f"_g_{c}") for c in by], "_n", "_take"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]) if by else F.lit(True)
+    groups = [f"_g_{c}" for c in by]
+    rows = df.select(*dict.fromkeys([*keys, *by])).join(sizes, same)
+    deviations, found, numbers = DEVIATIONS, None, F.sequence(F.lit(1), F.lit(repeats))
+    while True:
+        spread = F.lit(deviations) * (F.sqrt(F.lit(share * (1 - share)) / F.col("_n")) + 2 / F.col("_n"))
+        low, high = F.lit(share) - spread, F.lit(share) + spread
+        drawn = rows.select("*", F.explode(numbers).alias("repeat")).withColumn("_draw", _repeat_draw(draw, keys, repeat, seed))
+        inside = F.when(F.col("_draw") >= low, F.struct(F.col("_draw").alias("draw"), *keys))
+        counted = drawn.where(F.col("_draw") < high).groupBy(*groups, "_take", "repeat", inside.alias("cut")).agg(F.count(F.lit(1)).alias("_c"))
+        counted = cut_lineage(counted)
+        # A row for each row of the window, and one for all below it, which sorts first.
+        order = Window.partitionBy(*groups, "repeat").orderBy(F.col("cut").asc_nulls_first())
+        reached = counted.withColumn("_upto", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        hit = (F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_c") < F.col("_take")) & F.col("cut").isNotNull()
+        found = cut_lineage(reached.where(hit).select(*[F.col(g).alias(c) for g, c in zip(groups, by)], "repeat", "cut"))
+        if found.count() == sizes.count() * repeats:
+            return found
+        deviations *= 16
+
+
+def repeated_bits(
+    df: DataFrame,
+    repeats: int,
+    share: float,
+    by: Sequence[str],
+    keys: Sequence[str],
+    seed: int = 0,
+    name: str = "bits",
+    draw: Draw = hash_draw,
+) -> DataFrame:
+    """Adds one column with ``repeats`` independent stratified splits: bit i of it tells whether the row is in split i + 1.
+
+    Each split holds exactly ``floor(share * n)`` rows of every group. The bits are an array of numbers with WORD bits each,
+    see ``in_split``. Rows are not copied for the repeats, and only the cuts of the groups are shuffled. A row's keys
+    should be its own; rows that repeat them share their draws and may overrun the cut together.
+    """
+    cuts = split_cuts(df, repeats, share, by, keys, seed, draw)
+    listed = cuts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("repeat", "cut"))).alias("_cuts"))
+    listed = small_side(listed.select(*[F.col(c).alias(f"_g_{c}") for c in by], "_cuts"), SMALL_ROWS // repeats)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]) if by else F.lit(True)
+    joined = df.join(listed, same, "left")
+    own = F.struct(*keys)
+
+    def bit(repeat: Column) -> Column:
+        cut = F.try_element_at("_cuts", repeat)
+        drawn = _repeat_draw(draw, keys, repeat, seed)
+        rest = F.struct(*[cut[k] for k in keys])
+        return F.coalesce((drawn < cut["draw"]) | ((drawn == cut["draw"]) & (own <= rest)), F.lit(False))
+
+    def word(first: int) -> Column:
+        numbers = F.sequence(F.lit(first), F.lit(min(repeats, first + WORD - 1)))
+        # Each bit is drawn once, then added to those before it.
+        flags = F.transform(numbers, lambda r: bit(r).cast("long"))
+        return F.aggregate(F.reverse(flags), F.lit(0).cast("long"), lambda a, b: a * 2 + b)
+
+    words = F.array(*[word(first) for first in range(1, repeats + 1, WORD)])
+    return joined.withColumn(name, words).select(*df.columns, name)
+
+
+def in_split(bits: Column | str, repeat: int) -> Column:
+    """Whether a row is in split ``repeat``, from 1, of ``repeated_bits``."""
+    bits = F.col(bits) if isinstance(bits, str) else bits
+    word, place = divmod(repeat - 1, WORD)
+    return F.shiftright(bits[word], place).bitwiseAND(F.lit(1)) == 1
+
+
 def repeated_splits(
     df: DataFrame,
     repeats: int,
@@ -165,15 +255,14 @@ def repeated_splits(
     draw: Draw = hash_draw,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``repeats`` independent stratified splits as one long table: (keys, by, keep, repeat, flag).
+    """The splits of ``repeated_bits`` as one long table: (keys, by, keep, repeat, flag), rows times repeats.
 
-    The flag holds for exactly ``floor(share * n)`` rows of every (repeat, group). Columns to ``keep`` travel along, so
-    nothing has to be joined to the long table.
+    The long table is made last, from the bits, and is not shuffled. Columns to ``keep`` travel along.
     """
-    long = df.select(*dict.fromkeys([*keys, *by, *keep]), F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat"))
-    drawn = long.withColumn("_draw", draw([*keys, "repeat"], seed))
-    take = F.floor(F.col("_rows") * F.lit(float(share)))
-    return _mark_smallest(drawn, ["repeat", *by], "_draw", keys, take, name).drop("_draw")
+    marked = repeated_bits(df.select(*dict.fromkeys([*keys, *by, *keep])), repeats, share, by, keys, seed, "_bits", draw)
+    flags = F.array(*[in_split("_bits", r) for r in range(1, repeats + 1)])
+    long = marked.select("*", F.posexplode(flags).alias("_r", name)).withColumn("repeat", F.col("_r") + 1)
+    return long.select(*dict.fromkeys([*keys, *by, *keep]), "repeat", name)
 
 
 def add_canaries(

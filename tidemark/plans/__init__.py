@@ -13,6 +13,7 @@ MODULES = (
     "profit_queries",
     "quality_queries",
     "sampling_queries",
+    "stump_queries",
     "table_queries",
     "window_queries",
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -68,34 +68,38 @@ def forest_gain(spark, folder):
 
 @query()
 def boosted_gain_with_early_stop(spark, folder):
+    """Fifty weighted rounds, cut where the gain on the validation days is best.
+
+    The rows per leaf were meant for the training days, so they grow with the days that are trained on.
+    """
     table = training_table(spark, folder)
-    weighted = table.withColumns({"w": sampling.class_weight(F.col("label")), "is_valid": F.expr(VALID_DAYS)})
+    weighted = table.withColumn("w", sampling.class_weight(F.col("label")))
+    early, later = weighted.where(TRAIN_DAYS), weighted.where(VALID_DAYS)
+    tuned = early.where("period < 12").count()
     model = models.train_gbt(
-        weighted.where(f"{TRAIN_DAYS} or {VALID_DAYS}"),
-        INPUTS,
-        maxIter=15,
-        maxDepth=3,
-        minInstancesPerNode=models.rescale_min_rows(20, 1000, 1500),
-        weightCol="w",
-        validationIndicatorCol="is_valid",
-        seed=17,
+        early, INPUTS, maxIter=50, maxDepth=3, minInstancesPerNode=models.rescale_min_rows(20, max(1, tuned), early.count()), weightCol="w", seed=17
     )
-    return _curve(models.score(model, table.where(TEST_DAYS), INPUTS, [*KEYS, "label"]))
+    cut, _ = models.stop_by_gain(model, later, INPUTS, profit.gain())
+    return _curve(cut_lineage(models.mean_packed(cut, table.where(TEST_DAYS), [*KEYS, "label"])))
+
+
+# The numbers of trees that are reported.
+REPORT = (1, 2, 4, 8, 16, 32, 64, 128, 256, 384, 512)
 
 
 @query()
 def subspace_bagging_report(spark, folder):
     train, test = _sides(training_table(spark, folder))
-    trees = models.subspace_trees(train, INPUTS, 8, seed=17, maxDepth=4, minInstancesPerNode=10)
-    return models.bagging_report(models.subspace_scores(trees, test, [*KEYS, "label"]), KEYS, [1, 2, 4, 8])
+    trees = models.subspace_trees(train, INPUTS, 512, seed=17, maxDepth=4, minInstancesPerNode=10)
+    return models.bagging_report(models.subspace_scores(trees, test, [*KEYS, "label"]), KEYS, REPORT)
 
 
-SEEDS = (31, 47, 89)
+SEEDS = tuple(range(31, 51))
 
 
 @query()
 def seed_ensemble_scores(spark, folder):
-    """Models of three seeds, stored, loaded and averaged; then the best 100 are labelled."""
+    """Models of twenty seeds, stored, loaded and averaged; then the best 100 are labelled."""
     train, test = _sides(training_table(spark, folder))
     path = fresh_folder(spark, "models")
 
@@ -104,48 +108,54 @@ def seed_ensemble_scores(spark, folder):
 
     models.seed_ensemble(fit, SEEDS, path, models.load_forest)
     paths = {s: f"{path}/seed_{s}" for s in SEEDS}
-    scored = models.score_saved(paths, models.load_forest, test, INPUTS, KEYS)
+    scored = models.score_saved(paths, test, INPUTS, KEYS)
     return rounded(profit.label_top_k(cut_lineage(scored), 100, key=KEYS), ["prob"])
 
 
 @query()
 def cross_validated_gain(spark, folder):
     train, _ = _sides(training_table(spark, folder))
-    folded = sampling.stratified_fold(train, (1, 1, 1), ["label"], KEYS, 17)
-    tree = DecisionTreeClassifier(featuresCol="features", labelCol="target", seed=17)
+    folded = sampling.stratified_fold(train, (1,) * 5, ["label"], KEYS, 17)
+    tree = DecisionTreeRegressor(featuresCol="features", labelCol="target", seed=17)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 5]).build()
     evaluator = models.GainEvaluator("target_test", KEYS)
-    _, gains = models.cross_validate(cut_lineage(folded), INPUTS, tree, grid, evaluator, fold="fold", folds=3)
-    rows = [(int(point[tree.maxDepth]), float(g * 3)) for point, g in zip(grid, gains)]
+    _, gains = models.cross_validate(cut_lineage(folded), INPUTS, tree, grid, evaluator, fold="fold", folds=5)
+    rows = [(int(point[tree.maxDepth]), float(g * 5)) for point, g in zip(grid, gains)]
     return spark.createDataFrame(rows, "max_depth int, gain double")
 
 
-def _monte_carlo(table, depth, seeds=(1, 2)):
+def _fit(depth, rows_to_split=20):
     def fit(rows):
-        return models.train_tree(rows, INPUTS, maxDepth=depth, minInstancesPerNode=10, seed=17)
+        return models.train_tree(rows, INPUTS, maxDepth=depth, minInstancesPerNode=max(1, rows_to_split // 2), seed=17)
 
-    return models.monte_carlo(table, seeds, fit, INPUTS)
+    return fit
 
 
 @query()
 def monte_carlo_gains(spark, folder):
-    return rounded(_monte_carlo(training_table(spark, folder), 4), ["gain"], 2)
+    """Fifty splits."""
+    return rounded(models.monte_carlo(training_table(spark, folder), 50, _fit(4), INPUTS), ["gain"], 2)
+
+
+# The depths and the rows to split of the search.
+DEPTHS, ROWS_TO_SPLIT = (4, 6, 8, 10, 12, 14), (1000, 800, 600, 400, 200, 100, 50, 20, 10)
 
 
 @query()
 def resumed_grid_search(spark, folder):
-    """A search that stops after one point and goes on with the others; then its summary."""
+    """A search over 54 tuples that stops after some depths and goes on with the others; then its summary."""
     from tidemark.operators.trials import grid_summary
 
-    table, path = training_table(spark, folder), fresh_folder(spark, "grid")
-    grid = spark.createDataFrame([(d,) for d in (2, 4)], "max_depth int")
+    marked, path = models.split_bits(training_table(spark, folder), 1), fresh_folder(spark, "grid")
+    grid = spark.createDataFrame([(d, n) for d in DEPTHS for n in ROWS_TO_SPLIT], "max_depth int, rows_to_split int")
+    names = ["max_depth", "rows_to_split"]
 
     def run(point):
-        return _monte_carlo(table, point["max_depth"], seeds=(1,))
+        return models.split_gains(marked, [1], _fit(point["max_depth"], point["rows_to_split"]), INPUTS)
 
-    models.grid_search(grid.where("max_depth = 2"), ["max_depth"], run, path)
-    details = models.grid_search(grid, ["max_depth"], run, path)
-    return rounded(grid_summary(details, ["max_depth"], "gain"), ["mean_gain"], 2)
+    models.grid_search(grid.where("max_depth < 8"), names, run, path)
+    details = models.grid_search(grid, names, run, path)
+    return rounded(grid_summary(details, names, "gain"), ["mean_gain"], 2)
 
 
 @query()

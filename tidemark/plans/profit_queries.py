@@ -273,7 +273,7 @@ def public_and_private_gain(spark, folder):
     return board.select("model", r("public", 2).alias("public"), r("private", 2).alias("private"), "total")
 
 
-REPEATS = 10
+REPEATS = 50
 SPLITS = p.SCORES + f""", splits AS (
     SELECT cust, period, label, repeat, n <= floor(0.3::DOUBLE * size) AS is_public FROM (
         SELECT *, row_number() OVER (PARTITION BY repeat, label ORDER BY draw, cust, period) AS n,

@@ -106,6 +106,24 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_once(df: DataFrame, path: str, run: str) -> None:
+    """Like ``append_table``, but the rows of one run: a run that is repeated, or tried again after a failure, replaces itself.
+
+    Each run has a folder, so runs may be written at the same time, and readers see a run when it is complete.
+    """
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}")
+
+
+def run_done(spark: SparkSession, path: str, run: str) -> bool:
+    return path_exists(spark, f"{path.rstrip('/')}/run={run}/_SUCCESS")
+
+
+def read_runs(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    """All runs of ``append_once``; ``name`` keeps the run as a column."""
+    df = spark.read.option("basePath", path).parquet(path)
+    return df.withColumnRenamed("run", name) if name else df.drop("run")
+
+
 def named_table(df: DataFrame, name: str) -> DataFrame:
     """Name an intermediate result for SQL, replacing an earlier one."""
     df.createOrReplaceTempView(name)
