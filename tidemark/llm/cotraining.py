@@ -21,6 +21,8 @@ from .shared import forget, stored
 
 #: Labelled documents to learn from, at most; words; rounds; how sure is sure.
 TRAIN_ROWS, WORDS, ROUNDS, SURE = 20_000, 256, 3, 0.97
+#: Documents that a view gives the other in a round, of the labels of each class.
+GIVEN_SHARE = 0.1
 #: Sources and languages share so many columns, by hash.
 NAMED = 128
 #: Of FOLDS parts of the labelled documents one is left for the calibration.
@@ -75,17 +77,23 @@ def unpack(rows: list[bytes], words: int) -> list[np.ndarray]:
 def _views(words: np.ndarray):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = {n: batch.column(n).to_pylist() for n in ("text", "source", "lang", "length")}
-            rows = pack(text_view(c["text"], words), page_view(c["source"], c["lang"], c["length"]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), pa.array(rows, pa.binary())], ["doc_id", "good", "x"])
+            for i in range(0, len(batch), 1000):
+                part = batch.slice(i, 1000)
+                c = {n: part.column(n).to_pylist() for n in ("text", "source", "lang", "length")}
+                rows = pack(text_view(c["text"], words), page_view(c["source"], c["lang"], c["length"]))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "x"])
 
     return task
 
 
 def packed_views(docs: DataFrame, words: np.ndarray) -> DataFrame:
-    """(doc_id, good, x): both views packed, a row for each doc_id."""
-    rows = docs.mapInArrow(_views(words), "doc_id bigint, good int, x binary")
-    return rows.groupBy("doc_id").agg(F.min("good").alias("good"), F.min("x").alias("x"))
+    """(doc_id, x): both views packed, a stored row for each row of ``docs``. Later steps read these and no texts."""
+    return stored(docs.mapInArrow(_views(words), "doc_id bigint, x binary"), "views")
+
+
+def one_each(views: DataFrame) -> DataFrame:
+    """A row for each doc_id; of rows that repeat it the smallest by bytes."""
+    return views.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("x").alias("x"))
 
 
 SUREST = "view int, label int, doc_id bigint, q double, x binary"
@@ -130,12 +138,12 @@ class Views:
         return own, probability(np.column_stack([logit(p) for p in own]), self.combination)
 
 
-def cotrain(labelled: list[np.ndarray], y: np.ndarray, pool: DataFrame, words: int, rounds: int, sure: float) -> list[np.ndarray]:
+def cotrain(labelled: list[np.ndarray], y: np.ndarray, pool: DataFrame, words: int, rounds: int, sure: float, given_share: float) -> list[np.ndarray]:
     """Weights of each view. Per round both views judge all of ``pool`` (doc_id, x), and each gives the other its surest
-    documents of each class, at most as many of a class as a tenth of that class's labels; a document that both are sure of
+    documents of each class, at most ``given_share`` of that class's labels; a document that both are sure of
     but disagree about is given to none. Only the documents that are given come to the driver."""
     given: list[dict[int, tuple[int, bytes]]] = [{}, {}]
-    most = {label: max(1, int((y == label).sum()) // 10) for label in (0, 1)}
+    most = {label: max(1, int((y == label).sum() * given_share)) for label in (0, 1)}
     weights = []
     for r in range(rounds + 1):
         weights = []
@@ -156,29 +164,33 @@ def cotrain(labelled: list[np.ndarray], y: np.ndarray, pool: DataFrame, words: i
     return weights
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, rounds: int = ROUNDS, sure: float = SURE) -> Views:
+def learn(
+    docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, rounds: int = ROUNDS, sure: float = SURE, given_share: float = GIVEN_SHARE
+) -> tuple[Views, DataFrame]:
+    """(what was learned, the stored views of all rows of ``docs``)"""
     docs = docs.select("doc_id", "text", "source", "lang", F.length(F.coalesce("text", F.lit(""))).alias("length"))
-    known = one_label(labels, good=F.col("quality") == 1)
-    labelled = docs.join(sample(known, rows, "views"), "doc_id")
-    words = telling_words(labelled, ["good"], WORDS)
-    table = packed_views(labelled, words).toPandas().sort_values("doc_id")
+    known = stored(one_label(labels, good=F.col("quality") == 1), "labels")
+    chosen = sample(known, rows, "views")
+    words = telling_words(docs.join(chosen, "doc_id"), ["good"], WORDS)
+    every = packed_views(docs, words)
+    table = one_each(every.join(chosen.select("doc_id"), "doc_id")).join(chosen, "doc_id").toPandas().sort_values("doc_id")
     xs, y = unpack(list(table["x"]), len(words)), table["good"].to_numpy(float)
     if not len(table):
         nothing = np.zeros(2)
-        return Views(words, [np.zeros(x.shape[1] + 1) for x in xs], [nothing, nothing], np.zeros(3))
+        forget(known)
+        return Views(words, [np.zeros(x.shape[1] + 1) for x in xs], [nothing, nothing], np.zeros(3)), every
     apart = folds(table["doc_id"].to_numpy(), FOLDS) == 0
     if apart.all() or not apart.any():
         train, apart = np.ones(len(table), bool), np.ones(len(table), bool)
     else:
         train = ~apart
-    others = docs.where("doc_id IS NOT NULL").join(known, "doc_id", "left_anti").withColumn("good", F.lit(None).cast("int"))
-    pool = stored(packed_views(others, words), "pool")
-    weights = cotrain([x[train] for x in xs], y[train], pool, len(words), rounds, sure)
-    forget(pool)
+    pool = stored(one_each(every.join(known, "doc_id", "left_anti")), "pool")
+    weights = cotrain([x[train] for x in xs], y[train], pool, len(words), rounds, sure, given_share)
+    forget(pool, known)
     odds = [logit(probability(x[apart], w)) for x, w in zip(xs, weights)]
     calibrations = [fit(o[:, None], y[apart], 1e-3) for o in odds]
     own = np.column_stack([logit(probability(o[:, None], c)) for o, c in zip(odds, calibrations)])
-    return Views(words, weights, calibrations, fit(own, y[apart], 1e-3))
+    return Views(words, weights, calibrations, fit(own, y[apart], 1e-3)), every
 
 
 RESULT = "doc_id bigint, p_text double, p_page double, score double, keep boolean"
@@ -188,21 +200,19 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options)
     """A row for each row of ``docs`` (doc_id, text, source, lang): what each view thinks, score (that it is good), keep.
 
     keep: a score of ``threshold`` or more. ``labels`` (doc_id, quality): documents without a label, or with a null one,
-    are the pool, all of them; of repeated labels the best counts. At most ``rows`` labelled documents, drawn by a hash of
-    doc_id, are learned from; of rows that repeat a doc_id, one. All documents are scored. A null text is an empty one, null source
+    are the pool, all that have a doc_id; of repeated labels the best counts. At most ``rows`` labelled documents, drawn by a
+    hash of doc_id, are learned from, and a view is given at most ``given_share`` of them in a round; of rows that repeat a
+    doc_id, one teaches. All documents are scored. A null text is an empty one, null source
     and lang are values of their own. Without labels every score is one half, and all is kept. Repeated rows have a row
     each; other columns aren't read; an empty table gives an empty result.
     """
-    views = learn(docs, labels, **options)
+    views, every = learn(docs, labels, **options)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, len(batch), 1000):
-                part = batch.slice(i, 1000)
-                c = {n: part.column(n).to_pylist() for n in ("text", "source", "lang", "length")}
-                xs = [text_view(c["text"], views.words), page_view(c["source"], c["lang"], c["length"])]
-                own, both = views.score(xs)
-                yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, own), pa.array(both), pa.array(both >= threshold)], [x.split()[0] for x in RESULT.split(", ")])
+            for i in range(0, len(batch), 10_000):
+                part = batch.slice(i, 10_000)
+                own, both = views.score(unpack(part.column("x").to_pylist(), len(views.words)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, own), pa.array(both), pa.array(both >= threshold)], [x.split()[0] for x in RESULT.split(", ")])
 
-    rows = docs.select("doc_id", "text", "source", "lang", F.length(F.coalesce("text", F.lit(""))).alias("length"))
-    return rows.mapInArrow(task, RESULT)
+    return every.mapInArrow(task, RESULT)
