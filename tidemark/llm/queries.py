@@ -95,17 +95,24 @@ ended AS (  -- the sources that end before this one does
   FROM ranked WINDOW before AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 cut AS (
   SELECT max((1.5 * (SELECT sum(source_size) FROM ranked)::DOUBLE - sent::DOUBLE) / rest) AS level FROM ended),
-targets AS (SELECT source, source_size, weight, least(most::DOUBLE, coalesce(level, 0) * weight) AS target, coalesce(level, 0) * weight AS served
-  FROM ranked, cut),
+targets AS (SELECT source, source_size, weight, least(most::DOUBLE, coalesce(level, 0) * weight) AS target FROM ranked, cut),
 queue AS (
   SELECT doc_id, source, size,
     coalesce(sum(size) OVER (PARTITION BY source ORDER BY turn, md5('mix:' || turn || ':' || coalesce(doc_id::VARCHAR, '')), doc_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM sized, (VALUES (0), (1)) t(turn)),
+packets AS (
+  SELECT doc_id, q.source, least(256, size - p * 256) AS words, (start + least(size, (p + 1) * 256))::DOUBLE / weight AS finish
+  FROM queue q JOIN targets t ON q.source IS NOT DISTINCT FROM t.source, unnest(range(0, (size + 255) // 256)) AS u(p)),
+served AS (
+  SELECT doc_id, words, coalesce(sum(words) OVER (ORDER BY finish, source NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM packets),
+mixed AS (
+  SELECT doc_id, sum(floor(least(words::DOUBLE, budget - place)))::BIGINT AS taken
+  FROM served, (SELECT 1.5 * sum(source_size)::DOUBLE AS budget FROM ranked) WHERE place < budget GROUP BY doc_id),
 taken AS (
-  SELECT doc_id, any_value(size) AS size, any_value(source_size) AS source_size, any_value(target) AS target,
-    sum(greatest(0, floor(least(size::DOUBLE, served - start))))::BIGINT AS taken
-  FROM queue JOIN targets ON queue.source IS NOT DISTINCT FROM targets.source GROUP BY doc_id)
+  SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source LEFT JOIN mixed USING (doc_id))
 SELECT * FROM taken
 """
 
