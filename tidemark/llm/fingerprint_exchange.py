@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import few, same, stored
+from .shared import few, free_names, same, stored
 
 #: A task sends what it has after so many documents: bounds its memory.
 PACKET_ROWS = 500_000
@@ -171,8 +171,9 @@ def without_copies(docs: DataFrame) -> DataFrame:
         return docs.join(dropped, "doc_id", "left_anti")
     again = few(repeated)
     once = docs.join(again, same(docs, again, "doc_id"), "left_anti").join(dropped, "doc_id", "left_anti")
-    digest = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    kept = groups.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept_sha"))
+    sha, kept_id, kept_sha = free_names(docs, "sha", "kept_id", "kept_sha")
+    digest = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256))
+    kept = groups.where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
     more = digest.join(again, same(digest, again, "doc_id"), "left_semi")
-    more = more.join(kept, more["doc_id"].eqNullSafe(kept["_id"]) & (more["_sha"] == kept["_kept_sha"]), "left_semi")
-    return once.unionByName(more.dropDuplicates(["doc_id", "_sha"]).drop("_sha"))
+    more = more.join(kept, more["doc_id"].eqNullSafe(kept[kept_id]) & (more[sha] == kept[kept_sha]), "left_semi")
+    return once.unionByName(more.dropDuplicates(["doc_id", sha]).drop(sha))

@@ -51,6 +51,17 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_names(df: DataFrame, *stems: str) -> list[str]:
+    """Names like ``stems`` that no column of ``df`` has, in any case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in stems:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def running_total(df: DataFrame, order: Sequence[Column], measure: str, name: str) -> DataFrame:
     """Adds ``name``, the sum of ``measure`` over all rows before this one in ``order``, over the whole table.
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fingerprint_exchange import answer, golomb_encode
-from .shared import components, few, forget, same, stored
+from .shared import components, few, forget, free_names, same, stored
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -569,5 +569,6 @@ def one_of_each_component(docs: DataFrame, n: int = 5, percent: int = 80) -> Dat
     linked = link_components(docs, n, percent).where("n_shingles > 0 AND doc_id <> component_id")
     gone = few(stored(linked.select("doc_id").distinct(), "gone"))
     wordless = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) == 0
-    marked = gone.withColumn("_gone", F.lit(True))
-    return docs.join(marked, same(docs, marked, "doc_id"), "left").where(F.col("_gone").isNull() | wordless).select(*[docs[c] for c in docs.columns])
+    (mark,) = free_names(docs, "gone")
+    marked = gone.withColumn(mark, F.lit(True))
+    return docs.join(marked, same(docs, marked, "doc_id"), "left").where(F.col(mark).isNull() | wordless).select(*[docs[c] for c in docs.columns])
