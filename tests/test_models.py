@@ -38,6 +38,21 @@ def test_imputation(spark):
     assert models.impute(df, ["b"], values={"b": 1.0}).where("b = 1").count() == 1
 
 
+@pytest.mark.parametrize("rows_per_task", [10**6, 3])
+def test_exact_fill_values(spark, rows_per_task):
+    import statistics
+
+    rng = random.Random(1)
+    rows = [(rng.choice([None, 1.0, 2.0, 3.0, 7.0, float("nan")]), rng.randint(0, 6), None, 5.0 if i < 4 else None) for i in range(41)]
+    df = spark.createDataFrame(rows, "a double, b int, c double, d double")
+    for name, rule in (("mean", statistics.mean), ("median", statistics.median), ("mode", lambda v: min(statistics.multimode(v)))):
+        got = models.fill_values(df, ["a", "b", "c", "d"], name, rows_per_task=rows_per_task)
+        known = [[x for x in column if x is not None and x == x] for column in zip(*rows)]
+        assert got == pytest.approx({c: float(rule(v)) if v else 0.0 for c, v in zip("abcd", known)})
+    with pytest.raises(ValueError):
+        models.fill_values(df, ["a"], "guess")
+
+
 def test_scores_find_the_signal(forest, table):
     scored = models.score(forest, table, COLUMNS, ["target"])
     means = {r["target"]: r["m"] for r in scored.groupBy("target").agg(F.avg("prob").alias("m")).collect()}

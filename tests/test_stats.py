@@ -1,7 +1,9 @@
 import itertools
 import math
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import stats
 
@@ -52,3 +54,27 @@ def test_ties_and_zeros_use_the_normal_approximation(spark):
 def test_no_difference_gives_no_p_value(spark):
     df = spark.createDataFrame([("x", 1.0, 1.0)], "g string, gain1 double, gain2 double")
     assert stats.signed_rank_test(df, ["g"]).first()["p_value"] is None
+
+
+def test_erfc(spark):
+    from tidemark.functions.scalar import erfc
+
+    xs = [i / 37 for i in range(-400, 400)] + [0.0, 25.0, 2.0, 1.9999999]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", erfc(F.col("x")).alias("y")).collect()
+    for r in got:
+        assert r["y"] == pytest.approx(math.erfc(r["x"]), rel=1e-12, abs=1e-300)
+
+
+@pytest.mark.parametrize("exact_below", [50, 1, 7])
+def test_adding_pairs_one_by_one_is_ranking_every_prefix(spark, exact_below):
+    rng = random.Random(3)
+    rows = [(g, i, float(rng.randint(0, 9)), float(rng.randint(0, 9)) if i % 5 else None) for g in "ab" for i in range(1, 30) if i not in (4, 5)]
+    gains = spark.createDataFrame(rows, "g string, ordinal int, gain1 double, gain2 double")
+    got = {(r["g"], r["prefix"]): r for r in stats.sequential_test(gains, ["g"], "ordinal", exact_below=exact_below).collect()}
+    prefixes = [(g, k, a, b) for g, i, a, b in rows for k in range(i, 30)]
+    whole = stats.signed_rank_test(spark.createDataFrame(prefixes, "g string, prefix int, gain1 double, gain2 double"), ["g", "prefix"], exact_below=exact_below)
+    expected = {(r["g"], r["prefix"]): r for r in whole.collect()}
+    assert set(got) == set(expected)
+    for k, r in expected.items():
+        for c in ("pairs", "v", "mean1", "mean2", "p_value"):
+            assert (got[k][c] is None) == (r[c] is None) and (r[c] is None or got[k][c] == pytest.approx(r[c])), (k, c)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -93,3 +94,22 @@ def md5_draw(keys: Sequence[str], seed: int | Column = 0) -> Column:
     seed = F.lit(seed) if isinstance(seed, int) else seed
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], seed.cast("string"))
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long").cast("double") / F.lit(float(2**48))
+
+
+def erfc(x: Column) -> Column:
+    """The complementary error function, to some 14 digits: a series near zero, a continued fraction in the tails."""
+    size = F.abs(x)
+    squared = size * size
+    # The odd double factorials' series, all of whose terms are positive.
+    zero = F.struct(F.lit(0.0).alias("sum"), size.alias("term"))
+    terms = F.aggregate(
+        F.sequence(F.lit(1), F.lit(60)),
+        zero,
+        lambda a, n: F.struct((a["sum"] + a["term"]).alias("sum"), (a["term"] * 2 * squared / (2 * n + 1)).alias("term")),
+        lambda a: a["sum"],
+    )
+    near = 1 - F.lit(2 / math.sqrt(math.pi)) * F.exp(-squared) * terms
+    fraction = F.aggregate(F.sequence(F.lit(80), F.lit(1)), size, lambda a, n: size + n / F.lit(2.0) / a)
+    far = F.exp(-squared) / F.lit(math.sqrt(math.pi)) / fraction
+    tail = F.when(size < 2.0, near).otherwise(far)
+    return F.when(x < 0, 2 - tail).otherwise(tail)

@@ -22,7 +22,7 @@ from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
@@ -55,16 +55,39 @@ ARREARS_SENTINEL = {"Master_Finiciomora": -999, "Visa_Finiciomora": -999}
 # --- preparation ---------------------------------------------------------------------------------------------------
 
 
-def fill_values(df: DataFrame, columns: Sequence[str], strategy: str = "median") -> dict[str, float]:
-    """What replaces a missing value of each column: mean, median or mode of the known ones, 0 when none is known."""
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counts = doubles.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    known = [c for c in columns if counts[c]]
-    values = dict.fromkeys(columns, 0.0)
-    if known:
-        fitted = Imputer(strategy=strategy, inputCols=known, outputCols=[f"_{c}" for c in known]).fit(doubles)
-        values.update(fitted.surrogateDF.select(*known).first().asDict())
-    return values
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, n): how often each known value occurs, of all columns in one table; NaN is no value.
+
+    Equal values are counted where they are read, so the shuffle holds the distinct values of each task.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    known = df.select(F.inline(pairs)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return known.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fill_values(df: DataFrame, columns: Sequence[str], strategy: str = "median", rows_per_task: int = ROWS_PER_TASK) -> dict[str, float]:
+    """What replaces a missing value of each column: mean, median or mode of the known ones, 0 when none is known.
+
+    All are exact. The median of an even number of values is the mean of the two in the middle; of several most frequent
+    values the smallest is the mode.
+    """
+    columns = list(dict.fromkeys(columns))
+    counts = value_counts(df, columns)
+    if strategy == "mean":
+        found = counts.groupBy("column").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value"))
+    elif strategy == "mode":
+        best = F.min(F.struct((-F.col("n")).alias("rare"), "value"))
+        found = counts.groupBy("column").agg(best.alias("b")).select("column", F.col("b.value").alias("value"))
+    elif strategy == "median":
+        counts = cut_lineage(counts)
+        totals = small_side(counts.groupBy("column").agg(F.sum("n").alias("_total")))  # a row for each column
+        upto = ranked(counts, ["column"], ["value"], running={"_upto": F.col("n")}, rows_per_task=rows_per_task).join(totals, "column")
+        reached = [(F.col("_upto") >= k) & (F.col("_upto") - F.col("n") < k) for k in (F.ceil(F.col("_total") / 2), F.floor(F.col("_total") / 2) + 1)]
+        middles = [F.max(F.when(hit, F.col("value"))) for hit in reached]
+        found = upto.groupBy("column").agg(((middles[0] + middles[1]) / 2).alias("value"))
+    else:
+        raise ValueError(f"no strategy {strategy}")
+    return {**dict.fromkeys(columns, 0.0), **{r["column"]: r["value"] for r in found.collect()}}
 
 
 def impute(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Sequence
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalar import erfc
 from tidemark.operators.labels import GONE_AFTER_NEXT
 from tidemark.operators.ordering import ranked
 from tidemark.operators.windows import KEY, PERIOD
@@ -34,15 +36,12 @@ def signed_rank_distribution(spark: SparkSession, below: int = EXACT_BELOW) -> D
     return spark.createDataFrame(pd.DataFrame(rows, columns=["n", "v", "cdf"]), "n long, v long, cdf double")
 
 
-@F.pandas_udf(T.DoubleType())
-def _two_sided_normal(z: pd.Series) -> pd.Series:
-    return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2.0)), na_action="ignore")
-
-
-def signed_rank_test(gains: DataFrame, by: Sequence[str], first: str = "gain1", second: str = "gain2") -> DataFrame:
+def signed_rank_test(
+    gains: DataFrame, by: Sequence[str], first: str = "gain1", second: str = "gain2", exact_below: int = EXACT_BELOW
+) -> DataFrame:
     """Two-sided Wilcoxon signed-rank test of paired gains, one row per group.
 
-    Exact for fewer than 50 pairs without ties and zeros, else the normal approximation with tie and continuity
+    Exact for fewer than ``exact_below`` pairs without ties and zeros, else the normal approximation with tie and continuity
     correction. Pairs without a difference are left out.
     """
     by = list(by)
@@ -61,35 +60,98 @@ def signed_rank_test(gains: DataFrame, by: Sequence[str], first: str = "gain1",
     )
     n, v = F.col("n"), F.col("v")
     both = totals.join(per_group, by, "left").withColumns({"n": F.coalesce(n, F.lit(0)), "v": F.coalesce(v, F.lit(0.0))})
+    return _with_p_value(both, by, exact_below)
+
+
+def _with_p_value(both: DataFrame, by: Sequence[str], exact_below: int) -> DataFrame:
+    """Of rows (by, pairs, n, v, _ties, mean1, mean2): the two-sided p-value of each."""
+    n, v = F.col("n"), F.col("v")
     whole = n * (n + 1) / 2
-    distribution = signed_rank_distribution(gains.sparkSession).select(
+    distribution = signed_rank_distribution(both.sparkSession, exact_below).select(
         F.col("n").alias("_n"), F.col("v").alias("_v"), F.col("cdf").alias("_cdf")
     )
-    exact = (n == F.col("pairs")) & (F.col("_ties") == 0) & (n < EXACT_BELOW)
+    exact = (n == F.col("pairs")) & (F.col("_ties") == 0) & (n < exact_below)
+    # One row for each possible sum of up to ``exact_below`` ranks.
     found = both.withColumn("_key", F.when(exact, F.least(v, whole - v).cast("long"))).join(
         F.broadcast(distribution), (n == F.col("_n")) & (F.col("_key") == F.col("_v")), "left"
     )
     centred = v - whole / 2
     sigma = F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - F.col("_ties") / 48)
     z = (centred - F.signum(centred) * 0.5) / F.nullif(sigma, F.lit(0.0))
-    p = F.when(exact, F.least(F.lit(1.0), 2 * F.col("_cdf"))).when(n > 0, _two_sided_normal(z))
+    tail = erfc(F.abs(z) / F.lit(math.sqrt(2.0)))
+    p = F.when(exact, F.least(F.lit(1.0), 2 * F.col("_cdf"))).when(n > 0, tail)
     return found.select(*by, "pairs", "v", "mean1", "mean2", p.alias("p_value"))
 
 
+class SignedRanks:
+    """The signed-rank statistic of differences that come one by one.
+
+    ``sizes`` are the distinct sizes in order, with how many differences have each and how many of these are positive. A new
+    difference raises the ranks of all larger ones by one and those of its equals by a half, so the sum of the positive
+    ranks grows by as many as are above it, half of its equals, and its own rank: nothing is ranked again.
+    """
+
+    def __init__(self) -> None:
+        self.sizes: list[float] = []
+        self.counts: list[int] = []
+        self.positive: list[int] = []
+        self.n, self.v, self.ties = 0, 0.0, 0
+
+    def add(self, difference: float) -> None:
+        if not difference:
+            return
+        size, up = abs(difference), difference > 0
+        at = bisect.bisect_left(self.sizes, size)
+        if at == len(self.sizes) or self.sizes[at] != size:
+            self.sizes.insert(at, size)
+            self.counts.insert(at, 0)
+            self.positive.insert(at, 0)
+        equal = self.counts[at]
+        self.v += sum(self.positive[at + 1 :]) + self.positive[at] / 2
+        if up:
+            self.v += sum(self.counts[:at]) + equal / 2 + 1
+        self.ties += 3 * equal * (equal + 1)  # (t + 1)**3 - (t + 1) less t**3 - t
+        self.counts[at] += 1
+        self.positive[at] += up
+        self.n += 1
+
+
 def sequential_test(
-    gains: DataFrame, by: Sequence[str], ordinal: str, first: str = "gain1", second: str = "gain2"
+    gains: DataFrame, by: Sequence[str], ordinal: str, first: str = "gain1", second: str = "gain2", exact_below: int = EXACT_BELOW
 ) -> DataFrame:
-    """The signed-rank test on the first 1, 2, … pairs of each group.
+    """The signed-rank test on the first 1, 2, … pairs of each group: (by, prefix, pairs, v, mean1, mean2, p_value).
 
-    A pair takes part in every prefix that reaches it. The number of pairs is the number of seeds tried, and the
-    result itself has a row per prefix.
+    Each pair of gains is added once to the sorted differences of its group, and a row tells the state after it; there is a
+    row for every whole number from the first ordinal of the group to the last. A group has a row per seed tried, so it
+    fits a task. A pair without both gains counts in no test but reaches its prefix.
     """
     by = list(by)
-    last = Window.partitionBy(*by)
-    prefixes = gains.withColumn("_last", F.max(ordinal).over(last)).select(
-        *by, first, second, F.explode(F.sequence(F.col(ordinal), F.col("_last"))).alias("prefix")
+    keys = [gains.schema[c] for c in by]
+    numbers = ("prefix long, pairs long, n long, v double, _ties long, mean1 double, mean2 double").split(", ")
+    schema = T.StructType([*keys, *[T.StructField(x.split()[0], T.LongType() if x.endswith("long") else T.DoubleType()) for x in numbers]])
+
+    def states(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_o", kind="stable")
+        held, out, sums, seen = SignedRanks(), [], [0.0, 0.0], [0, 0]
+        pairs, ordinals = 0, rows["_o"].tolist()
+        for i, (a, b) in enumerate(zip(rows["_a"].tolist(), rows["_b"].tolist())):
+            for k, x in enumerate((a, b)):
+                if x == x and x is not None:
+                    sums[k] += x
+                    seen[k] += 1
+            difference = None if a is None or b is None else a - b
+            if difference is not None and difference == difference:
+                pairs += 1
+                held.add(difference)
+            means = [s / c if c else None for s, c in zip(sums, seen)]
+            until = ordinals[i + 1] if i + 1 < len(ordinals) else ordinals[i] + 1
+            out += [(*key, prefix, pairs, held.n, held.v, held.ties, *means) for prefix in range(ordinals[i], until)]
+        return pd.DataFrame(out, columns=schema.names)
+
+    rows = gains.where(F.col(ordinal).isNotNull()).select(
+        *by, F.col(ordinal).cast("long").alias("_o"), F.col(first).cast("double").alias("_a"), F.col(second).cast("double").alias("_b")
     )
-    return signed_rank_test(prefixes, [*by, "prefix"], first, second)
+    return _with_p_value(rows.groupBy(*by).applyInPandas(states, schema), [*by, "prefix"], exact_below)
 
 
 def sequential_choice(tests: DataFrame, by: Sequence[str], level: float = 0.05, cap: int | None = None) -> DataFrame:

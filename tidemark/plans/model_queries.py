@@ -40,11 +40,25 @@ def imputed_columns(spark, folder):
     )
 
 
-@query()
+FILLED = ["c_click", "c_view", "m_total", "m_max"]
+
+
+def _fill_sql():
+    value = "arg_min({c}, (-n, {c})) FROM (SELECT {c}, count(*) AS n FROM panel_day WHERE {c} IS NOT NULL GROUP BY {c})"
+    modes = ", ".join(f"coalesce((SELECT {value.format(c=c)}), 0)::DOUBLE AS {c}" for c in FILLED)
+    means, medians = (", ".join(f"round(coalesce({f}({c}), 0), 6)::DOUBLE AS {c}" for c in FILLED) for f in ("avg", "median"))
+    return p.DAY + f"""SELECT 'mean' AS strategy, {means} FROM panel_day UNION ALL SELECT 'median', {medians} FROM panel_day
+        UNION ALL SELECT 'mode', {modes}"""
+
+
+@query(_fill_sql())
 def imputation_values(spark, folder):
-    panel, columns = p.panel_day(spark, folder), ["c_click", "c_view"]
-    rows = [(s, *models.fill_values(panel, columns, s).values()) for s in ("mean", "median", "mode")]
-    return spark.createDataFrame(rows, "strategy string, c_click double, c_view double")
+    panel = cut_lineage(p.panel_day(spark, folder).select(*FILLED))
+    rows = []
+    for strategy in ("mean", "median", "mode"):
+        values = models.fill_values(panel, FILLED, strategy, rows_per_task=1000)
+        rows.append((strategy, *[values[c] for c in FILLED]))
+    return rounded(spark.createDataFrame(rows, "strategy string, " + ", ".join(f"{c} double" for c in FILLED)), FILLED)
 
 
 def _curve(scored):

@@ -286,13 +286,22 @@ measured AS (
     SELECT pair, prefix, count(*) AS n, CAST(coalesce(sum(rnk) FILTER (WHERE d > 0), 0) AS DOUBLE) AS v,
            avg(gain1) AS mean1, avg(gain2) AS mean2
     FROM ranks GROUP BY pair, prefix
-), masks AS (
-    SELECT n, mask, (SELECT coalesce(sum(i), 0) FROM range(1, 11) AS t(i) WHERE i <= n AND (mask >> (i - 1)) & 1 = 1) AS w
-    FROM range(1, 11) AS a(n) JOIN range(0, 1024) AS m(mask) ON mask < (1 << n)
-), tests AS (
-    SELECT pair, prefix, m.n, v, mean1, mean2,
-        least(1.0, 2.0 * count(*) FILTER (WHERE w <= least(v, m.n * (m.n + 1) / 2 - v)) / count(*))::DOUBLE AS p_value
-    FROM measured m JOIN masks ON masks.n = m.n GROUP BY ALL
+), dist AS (  -- in how many ways the ranks 1..n give each sum
+    WITH RECURSIVE steps(n, ways) AS (
+        SELECT 0, list_transform(range(0, 1276), lambda w: CASE WHEN w = 0 THEN 1 ELSE 0 END::DOUBLE)
+        UNION ALL
+        SELECT n + 1, list_transform(range(0, 1276), lambda w: ways[w + 1] + CASE WHEN w > n THEN ways[w - n] ELSE 0 END)
+        FROM steps WHERE n < 49
+    ) SELECT * FROM steps
+), shaped AS (
+    SELECT *, (abs(v - n * (n + 1) / 4.0::DOUBLE) - CASE WHEN v = n * (n + 1) / 4.0::DOUBLE THEN 0 ELSE 0.5 END)
+        / sqrt(n * (n + 1) * (2 * n + 1) / 24.0::DOUBLE) AS z FROM measured
+), tests AS (  -- exact below 50 pairs, else the area under the normal density by Simpson's rule
+    SELECT pair, prefix, m.n, v, mean1, mean2, CASE WHEN m.n < 50
+        THEN least(1.0, 2 * list_sum(ways[1:least(v, m.n * (m.n + 1) / 2 - v)::INT + 1]) / pow(2, m.n))
+        ELSE 1 - 2 / sqrt(2 * pi()) * z / 6000 * (SELECT sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+            * exp(-z * z * i * i / 8000000.0::DOUBLE)) FROM range(0, 2001) AS t(i)) END::DOUBLE AS p_value
+    FROM shaped m LEFT JOIN dist ON dist.n = m.n
 )
 """
 

@@ -75,6 +75,16 @@ def appended_predictions(spark, folder):
     return spark.read.parquet(path)
 
 
+@query(p.SCORES + "SELECT cust, period, model, prob, model AS written_by FROM scores")
+def repeated_append(spark, folder):
+    """Every model's predictions are appended, and two of them once more, as after a failure: no row is doubled."""
+    path = fresh_folder(spark, "predictions")
+    scored = p.scores(spark, folder).select("cust", "period", "model", "prob")
+    for model in (*p.MODELS, *p.MODELS[:2]):
+        io.append_once(scored.where(F.col("model") == model), path, model)
+    return io.read_runs(spark, path, "written_by")
+
+
 @query(
     """SELECT row_number() OVER (ORDER BY o_orderpriority, o_orderstatus) AS trial_number,
            round(avg(o_totalprice), 2) AS value, CAST(count(*) AS DOUBLE) AS n_orders,
