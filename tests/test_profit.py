@@ -129,3 +129,28 @@ def test_bonus_by_hand(spark):
     assert got[(1, 202104)] == (110.0, 1) and got[(1, 202106)] == (110.0, 1) and got[(1, 202107)] == (110.0, 1)
     # Two earlier rows are needed.
     assert got[(2, 202106)] == (50.0, 2)
+
+
+@pytest.mark.parametrize("bins,edge_rows", [(4096, 100_000), (4, 3), (2, 1)])
+@pytest.mark.parametrize("k", [0, 1, 7, 60, 10**6])
+def test_top_k_without_ranking(spark, bins, edge_rows, k):
+    """Skewed and tied scores, a group with one score, a group smaller than k, a null group."""
+    import random
+
+    rng = random.Random(k)
+    rows = [(g, i, 2.0 ** rng.randint(-300, 300) * rng.choice([1, -1]) if g == "x" else float(rng.randint(0, 3)) if g == "y" else 0.5) for g in ("x", "y", None) for i in range(80)]
+    rows += [("s", i, float(i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, cust int, prob double")
+    got = profit.label_top_k(df, k, by=["g"], bins=bins, edge_rows=edge_rows).collect()
+    assert len(got) == len(rows)
+    for g in ("x", "y", "s", None):
+        best = sorted((-p, c) for h, c, p in rows if h == g)[:k]
+        assert sorted((-r["prob"], r["cust"]) for r in got if r["g"] == g and r["Predicted"] == 1) == best
+
+
+@pytest.mark.parametrize("odd", [None, float("nan"), float("inf")])
+def test_top_k_of_scores_that_are_no_numbers(spark, odd):
+    rows = [(i, odd if i % 3 == 0 else float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "cust int, prob double")
+    got = {r["cust"] for r in profit.label_top_k(df, 5).where("Predicted = 1").collect()}
+    assert got == ({11, 10, 8, 7, 5} if odd is None else {0, 3, 6, 9, 11})

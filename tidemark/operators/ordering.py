@@ -294,3 +294,53 @@ def exact_quantiles(
         for p in probabilities
     ]
     return placed.where(wanted).groupBy(*by).agg(F.array(*values).alias(name))
+
+
+#: Bins of a round of ``top_cuts``; ranges with at most so many rows are not cut further.
+TOP_BINS, EDGE_ROWS = 4_096, 100_000
+
+
+def top_cuts(
+    df: DataFrame, by: Sequence[str], score: str, key: Sequence[str], k: int, *, bins: int = TOP_BINS, edge_rows: int = EDGE_ROWS
+) -> DataFrame | None:
+    """(by, cut): score and key of the k-th row of each group by falling score and rising key, or of its last row.
+
+    Rows are counted in bins between the least and the greatest score; the bin that holds the k-th row is cut into bins
+    again, until it has few rows or one score. Only the rows of that bin are sorted, and of those only as many as are still
+    to be taken. None where the scores are not all finite numbers: then there are no bins, and the rows must be ranked.
+    """
+    by = list(by)
+    value = F.col(score).cast("double")
+    rows = df.select(*dict.fromkeys([*by, *key]), F.col(score).alias("_s"), value.alias("_v"))
+    finite = F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") < float("inf"))
+    edges = rows.groupBy(*by).agg(
+        F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count(F.lit(1)).alias("_n"), F.count_if(~F.coalesce(finite, F.lit(False))).alias("_odd")
+    )
+    edges = cut_lineage(edges.withColumn("_take", F.least(F.lit(k).cast("long"), F.col("_n"))))
+    if not edges.where("_odd > 0").isEmpty():
+        return None
+    edges = edges.drop("_odd")
+
+    def inside(edges: DataFrame) -> DataFrame:
+        """The rows between the ends of their group's range, with what is known of it."""
+        named = small_side(edges.select(*[F.col(c).alias(f"_g_{c}") for c in by], "_low", "_high", "_n", "_take"))
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]) if by else F.lit(True)
+        return rows.join(named, same).where(F.col("_v").between(F.col("_low"), F.col("_high")))
+
+    open_ = (F.col("_n") > edge_rows) & (F.col("_low") < F.col("_high"))
+    while not edges.where(open_).isEmpty():
+        wide = edges.where(open_)
+        # Halves, since the whole width may be beyond all numbers.
+        share = (F.col("_v") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)
+        placed = inside(wide).withColumn("_bin", F.least(F.floor(share * bins), F.lit(bins - 1)))
+        counts = placed.groupBy(*by, "_take", "_bin").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        # At most one row per bin and group.
+        above = Window.partitionBy(*by).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_n").over(above), F.lit(0))
+        reached = counts.withColumn("_before", before).where((F.col("_before") < F.col("_take")) & (F.col("_before") + F.col("_n") >= F.col("_take")))
+        narrow = reached.select(*by, "_low", "_high", "_n", (F.col("_take") - F.col("_before")).alias("_take"))
+        edges = cut_lineage(edges.where(~open_).unionByName(narrow))
+    order = Window.partitionBy(*by).orderBy(F.desc("_v"), *key)
+    last = inside(edges).withColumn("_p", F.row_number().over(order)).where(F.col("_p") <= F.col("_take"))
+    cut = F.max_by(F.struct(F.col("_v").alias("score"), *key), F.col("_p")).alias("cut")
+    return last.groupBy(*by).agg(cut)

@@ -7,14 +7,15 @@ Orders end in the customer key, so ties in the score do not make results depend
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.labels import GONE_AFTER_NEXT
-from tidemark.operators.ordering import ranked
+from tidemark.operators.ordering import ranked, top_cuts
 from tidemark.operators.sampling import in_split, repeated_bits
-from tidemark.operators.sizes import ROWS_PER_TASK
+from tidemark.operators.sizes import ROWS_PER_TASK, small_side
 from tidemark.session import cut_lineage
 
 # What a reached customer of the class is worth, what a contact costs, and the threshold they imply.
@@ -163,10 +164,26 @@ def label_top_k(
     key: Sequence[str] = ("cust",),
     name: str = "Predicted",
     rows_per_task: int = ROWS_PER_TASK,
+    **options,
 ) -> DataFrame:
-    """1 for exactly the k best rows of each group, else 0."""
-    placed = ranked(df, by, [f"-{score}", *key], position="_p", rows_per_task=rows_per_task)
-    return placed.withColumn(name, (F.col("_p") <= k).cast("int")).drop("_p")
+    """1 for exactly the k best rows of each group, else 0; ``key`` tells the rows of a group apart.
+
+    The cut is found by counting (see ``top_cuts``), so the rows are neither ranked nor shuffled; they are compared with
+    the cut of their group. Scores that are missing or not finite are ranked instead.
+    """
+    if k <= 0:
+        return df.withColumn(name, F.lit(0))
+    slim = cut_lineage(df.select(*dict.fromkeys([*by, score, *key])))
+    cuts = top_cuts(slim, by, score, key, k, **options)
+    if cuts is None:
+        placed = ranked(df, by, [f"-{score}", *key], position="_p", rows_per_task=rows_per_task)
+        return placed.withColumn(name, (F.col("_p") <= k).cast("int")).drop("_p")
+    cuts = small_side(cuts.select(*[F.col(c).alias(f"_g_{c}") for c in by], F.col("cut").alias("_cut")))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]) if by else F.lit(True)
+    value, cut = F.col(score).cast("double"), F.col("_cut")
+    inside = (value > cut["score"]) | ((value == cut["score"]) & (F.struct(*key) <= F.struct(*[cut[c].alias(c) for c in key])))
+    marked = df.join(cuts, same, "left").withColumn(name, F.coalesce(inside, F.lit(False)).cast("int"))
+    return marked.select(*[c for c in df.columns if c != name], name)
 
 
 def label_by_threshold(score: Column | str = "prob", threshold: float = THRESHOLD, strict: bool = True) -> Column:
