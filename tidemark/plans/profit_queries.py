@@ -359,6 +359,15 @@ def apo_experiment(spark, folder):
     )
 
 
+@query(
+    CURVE + """SELECT cutoff::BIGINT AS cutoff, round(avg(gan_acum), 4) AS mean_gain
+    FROM curve JOIN (SELECT unnest([200, 600, 1200, 2400]) AS cutoff) ON position = least(cutoff, group_rows) GROUP BY cutoff"""
+)
+def apo_means_per_cutoff(spark, folder):
+    means, _, _ = profit.apo_experiment(p.scores(spark, folder), [200, 600, 1200, 2400], model="model", key=KEYS)
+    return means.select("cutoff", r("mean_gain", 4).alias("mean_gain"))
+
+
 # --- gains by hyper-parameter and fold -----------------------------------------------------------------------------
 
 

@@ -261,6 +261,25 @@ def narrowed_types(spark, folder):
     return narrow.agg(*[F.max(kind).alias(c) for kind, c in zip(kinds, narrow.columns)])
 
 
+@query(p.MONTH + "SELECT cust, foto_mes, n_orders, c_lines, m_price::FLOAT::DOUBLE AS m_price, m_disc::FLOAT::DOUBLE AS m_disc FROM panel_month")
+def narrowed_values(spark, folder):
+    """Whole numbers stay what they are; the others become the nearest float."""
+    narrow, _ = cols.narrow_types(p.panel_month(spark, folder))
+    return narrow.withColumns({c: F.col(c).cast("double") for c in ("m_price", "m_disc")})
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS name, count(DISTINCT {c}) < 0.5 * count(*) AS is_category FROM customer" for c in ("c_name", "c_mktsegment")
+    )
+)
+def text_categories(spark, folder):
+    """Which text columns have few values."""
+    names = ["c_name", "c_mktsegment"]
+    _, found = cols.narrow_types(p.table(spark, folder, "customer").select(*names))
+    return spark.createDataFrame([(c, c in found) for c in names], "name string, is_category boolean")
+
+
 @query(p.DAY + "SELECT cust, period, CAST(coalesce(c_click, 0) + coalesce(c_view, 0) AS DOUBLE) AS both, "
        "round(m_total / nullif(c_click, 0), 6) AS ratio FROM panel_day")
 def sql_functions(spark, folder):

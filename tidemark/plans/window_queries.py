@@ -284,7 +284,8 @@ def spread_bonus_pay(spark, folder):
 
 
 @query(
-    p.DAY + """SELECT count(*) AS n_rows, 0::BIGINT AS repeated_keys,
+    p.DAY + """SELECT count(*) AS n_rows,
+        (SELECT count(*) FROM (SELECT 1 FROM panel_day GROUP BY cust, period HAVING count(*) > 1)) AS repeated_keys,
         (SELECT max(n) FROM (SELECT count(*) AS n FROM panel_day GROUP BY cust)) AS largest_customer,
         count(DISTINCT period) AS periods FROM panel_day"""
 )
