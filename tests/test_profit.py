@@ -131,8 +131,7 @@ def test_bonus_by_hand(spark):
     assert got[(2, 202106)] == (50.0, 2)
 
 
-@pytest.mark.parametrize("bins,edge_rows", [(4096, 100_000), (4, 3), (2, 1)])
-@pytest.mark.parametrize("k", [0, 1, 7, 60, 10**6])
+@pytest.mark.parametrize("bins,edge_rows,k", [(4096, 100_000, 7), (4, 3, 0), (4, 3, 1), (4, 3, 60), (2, 1, 7), (2, 1, 10**6)])
 def test_top_k_without_ranking(spark, bins, edge_rows, k):
     """Skewed and tied scores, a group with one score, a group smaller than k, a null group."""
     import random
@@ -148,7 +147,7 @@ def test_top_k_without_ranking(spark, bins, edge_rows, k):
         assert sorted((-r["prob"], r["cust"]) for r in got if r["g"] == g and r["Predicted"] == 1) == best
 
 
-@pytest.mark.parametrize("odd", [None, float("nan"), float("inf")])
+@pytest.mark.parametrize("odd", [None, float("nan")])
 def test_top_k_of_scores_that_are_no_numbers(spark, odd):
     rows = [(i, odd if i % 3 == 0 else float(i)) for i in range(12)]
     df = spark.createDataFrame(rows, "cust int, prob double")
