@@ -254,6 +254,29 @@ def test_nearest_vectors(spark):
         assert np.allclose([f[2] for f in sorted(found)], [-s for s, _ in exact], rtol=0, atol=0)
 
 
+def test_estimates_come_from_packed_bits():
+    draw = np.random.default_rng(5)
+    for dim in (1, 24, 64, 130):
+        x, q = draw.standard_normal((200, dim)), draw.standard_normal(dim)
+        codes, _ = onebit_codes.encode(x)
+        assert codes.shape == (200, -(-dim // 64))
+        signs = np.where((x / np.sqrt((x * x).sum(axis=1))[:, None]) @ onebit_codes.rotation(dim) > 0, 1.0, -1.0)
+        bits = onebit_codes.Query(q)
+        got = bits.with_signs(codes, np.bitwise_count(codes).sum(axis=1, dtype=np.int64))
+        assert (np.abs(got - signs @ (q @ onebit_codes.rotation(dim))) <= bits.rounding + 1e-9).all()
+
+
+def test_queries_in_several_batches(spark, monkeypatch):
+    draw = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in draw.integers(-3, 4, 8)]) for i in range(300)] + [(20, [1.0, 2.0, 3.0]), (3, [2.0, 2.0, 1.0])]
+    data = table(spark, rows, "vec_id long, embedding array<double>")
+    whole = collections.Counter(tuple(r) for r in onebit_codes.nearest(data, k=7).collect())
+    monkeypatch.setattr(onebit_codes, "BLOCK_BYTES", 8 * 8 * 5)
+    monkeypatch.setattr(onebit_codes, "QUERY_BYTES", 8 * 8 * 5)
+    assert collections.Counter(tuple(r) for r in onebit_codes.nearest(data, k=7).collect()) == whole
+    assert len(whole) >= 15 * 7
+
+
 def test_of_repeated_queries_the_usable_vector_counts(spark):
     rows = [(20, [1.0, 2.0]), (20, [0.0, 0.0]), (20, []), (20, [None, 1.0]), (20, None), (20, [float("-inf"), 1.0]), (1, [3.0, 1.0]), (40, [0.0, 0.0])]
     got = rows_of(onebit_codes.nearest(table(spark, rows, "vec_id long, embedding array<double>")))

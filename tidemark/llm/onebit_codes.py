@@ -1,11 +1,15 @@
 """Nearest neighbours by randomly rotated one-bit codes.
 
 Every vector is scaled to length one, rotated at random and stored as the signs of its components: a bit each, with two
-numbers, its length and its inner product with its own code. From bits and numbers comes an estimate of the inner product
-with a query and a bound of its error. The best estimates are computed exactly; every other vector whose estimate plus
-bound reaches the worst of them is computed as well, the rest is not looked at.
-
-Queries are scanned against all codes, in blocks; a task returns the best of its block for each query.
+numbers, its length and its inner product with its own code. A rotated query is rounded to whole numbers of ``PLANES`` bits,
+which are cut into a word of bits for each power of two; common bits of those words and the codes are counted, and no code is
+unpacked. From the counts and numbers comes an estimate of the inner product and a bound of its error. The best estimates are
+computed exactly; every other vector whose estimate plus bound reaches the worst of the best so far is computed as well, the
+rest is not looked at.
+
+Codes and vectors are written once, side by side, and are read where they lie: only queries travel, in batches of bounded
+size that are sent to all tasks, and the best that a task found for each query. The scan's work grows with queries times
+vectors.
 """
 
 from __future__ import annotations
@@ -20,18 +24,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import stored
+from tidemark.sources.tables import path_exists
+
+from .shared import forget, new_path, stored
 
 SEED = 20
 #: Bounds hold for a random rotation with probability 1 - 2 exp(-c EPSILON^2); 1.9 is usual, 3 loses next to nothing.
 EPSILON = 3.0
-#: Vectors in a block of codes, and queries in a block of queries.
-BLOCK_CODES, BLOCK_QUERIES = 8192, 4096
-#: Blocks of codes that a task holds at most, on average.
-TASK_BLOCKS = 16
+#: Bits that a component of a rotated query is rounded to.
+PLANES = 8
+#: Vectors of a block of codes, and their bytes; queries that are sent at once, in bytes.
+BLOCK_CODES, BLOCK_BYTES, QUERY_BYTES = 8192, 4 << 20, 16 << 20
+#: Rows that are turned from lists into vectors at once.
+SLICE = 4096
 
 CODES = "dim int, ids binary, vectors binary, codes binary, factors binary"
 QUERIES = "dim int, ids binary, vectors binary"
+FOUND = "query_id bigint, vec_id bigint, score double"
 
 
 @functools.lru_cache(4)
@@ -41,11 +50,38 @@ def rotation(dim: int) -> np.ndarray:
 
 
 def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(packed signs, float64 columns: length, inner product with the own code) of nonzero vectors."""
+    """(signs packed into words, float64 columns: length, inner product with the own code) of nonzero vectors."""
     length = np.sqrt((vectors * vectors).sum(axis=1))
     turned = (vectors / length[:, None]) @ rotation(vectors.shape[1])
     own = np.abs(turned).sum(axis=1) / math.sqrt(vectors.shape[1])
-    return np.packbits(turned > 0, axis=1), np.column_stack([length, own])
+    return words(turned > 0), np.column_stack([length, own])
+
+
+def words(bits: np.ndarray) -> np.ndarray:
+    """Rows of bits as rows of 64-bit words, filled up with zeros."""
+    packed = np.packbits(bits, axis=1)
+    return np.ascontiguousarray(np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8)))).view(np.uint64)
+
+
+class Query:
+    """A rotated query as bit planes."""
+
+    def __init__(self, query: np.ndarray):
+        turned = query @ rotation(len(query))
+        self.low = float(turned.min())
+        self.step = float(turned.max() - turned.min()) / ((1 << PLANES) - 1)
+        level = np.rint((turned - self.low) / self.step).astype(np.int64) if self.step else np.zeros(len(query), np.int64)
+        self.planes = words((level[None, :] >> np.arange(PLANES)[:, None] & 1).astype(bool))
+        self.sum, self.dim = int(level.sum()), len(query)
+        #: What rounding can change in an inner product with signs.
+        self.rounding = float(np.abs(turned - (self.low + self.step * level)).sum()) + 1e-12 * float(np.abs(turned).sum())
+
+    def with_signs(self, codes: np.ndarray, ones: np.ndarray) -> np.ndarray:
+        """Inner products of the rounded query with the signs of each code; ``ones`` are the positive signs of each."""
+        total = np.zeros(len(codes), np.int64)
+        for p, plane in enumerate(self.planes):
+            total += np.bitwise_count(codes & plane).sum(axis=1, dtype=np.int64) << p
+        return self.low * (2.0 * ones - self.dim) + self.step * (2.0 * total - self.sum)
 
 
 def _usable(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -63,24 +99,29 @@ def _usable(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray
             yield dim, np.array(ids, np.int64)[ok], x[ok]
 
 
-def _blocks(rows: int, names: list[str], finish):
+def _blocks(most: int, size: int, names: list[str], finish):
+    """Packs (id, vector) into rows of at most ``most`` vectors and, unless one vector is larger, ``size`` bytes of them."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-        def block(dim: int) -> pa.RecordBatch:
-            parts = held.pop(dim)
-            ids, x = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            out = [a.tobytes() for a in finish(ids, x)]
+        def row(dim: int, ids: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+            out = [np.ascontiguousarray(a).tobytes() for a in finish(ids, x)]
             return pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), *[pa.array([a], pa.binary()) for a in out]], names)
 
         for batch in batches:
-            for i in range(0, len(batch), rows):
-                for dim, ids, x in _usable(batch.slice(i, rows)):
-                    if sum(len(p[0]) for p in held.get(dim, [])) + len(ids) > rows and dim in held:
-                        yield block(dim)
-                    held.setdefault(dim, []).append((ids, x))
-        for dim in list(held):
-            yield block(dim)
+            for i in range(0, len(batch), SLICE):
+                for dim, ids, x in _usable(batch.slice(i, SLICE)):
+                    if dim in held:
+                        ids, x = np.concatenate([held[dim][0], ids]), np.concatenate([held[dim][1], x])
+                    n = max(1, min(most, size // (8 * dim)))
+                    while len(ids) >= n:
+                        yield row(dim, ids[:n], x[:n])
+                        ids, x = ids[n:], x[n:]
+                    held[dim] = ids.copy(), x.copy()
+        for dim, (ids, x) in held.items():
+            if len(ids):
+                yield row(dim, ids, x)
 
     return task
 
@@ -90,60 +131,65 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.cumsum(vectors * query, axis=1)[:, -1]
 
 
-def search(query_ids, queries, ids, vectors, codes, factors, k: int, epsilon: float = EPSILON) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, ids, scores) of the k nearest in a block of codes, ties to the smaller id; a vector with the query's id is left out."""
-    dim = queries.shape[1]
-    length, own = factors[:, 0], np.maximum(factors[:, 1], 1e-12)
-    spread = length * np.sqrt(np.maximum(0, 1 - own * own)) / own * epsilon / math.sqrt(max(1, dim - 1))
-    signs = (np.unpackbits(codes, axis=1, count=dim).astype(np.float32) * 2 - 1) / np.float32(math.sqrt(dim))
-    scale = (length / own).astype(np.float32)
-    for i in range(0, len(queries), 64):
-        turned = (queries[i : i + 64] @ rotation(dim)).astype(np.float32)
-        estimates = (turned @ signs.T) * scale
-        for query_id, query, estimate in zip(query_ids[i : i + 64], queries[i : i + 64], estimates):
-            estimate[ids == query_id] = -np.inf
-            first = np.argpartition(-estimate, 4 * k)[: 4 * k] if len(ids) > 4 * k else np.arange(len(ids))
-            first = first[ids[first] != query_id]
-            if not len(first):
-                continue
-            reached = exact(vectors[first], query)
-            worst = np.partition(reached, -k)[-k] if len(reached) >= k else -np.inf
-            slack = 1e-5 * float(np.abs(turned).max()) * float(length.max())  # the estimates are in single precision
-            chosen = np.flatnonzero(estimate + spread * math.sqrt(float(query @ query)) + slack >= worst)
-            chosen = np.union1d(chosen[ids[chosen] != query_id], first)
-            quick = vectors[chosen] @ query  # may differ from the exact order of sums in the last digits
-            if len(quick) > k:
-                chosen = chosen[quick >= np.partition(quick, -k)[-k] - 1e-9 * max(1.0, float(np.abs(quick).max()))]
-            scores = exact(vectors[chosen], query)
-            best = np.lexsort((ids[chosen], -scores))[:k]
-            yield query_id, ids[chosen][best], scores[best]
-
-
-def _near(k: int, epsilon: float):
-    def arrays(row: dict, names: str) -> list[np.ndarray]:
-        n, dim = len(row["ids"]) // 8, row["dim"]
-        shapes = {"ids": (np.int64, (n,)), "vectors": (np.float64, (n, dim)), "codes": (np.uint8, (n, -(-dim // 8))), "factors": (np.float64, (n, 2))}
-        return [np.frombuffer(row[x], shapes[x][0]).reshape(shapes[x][1]) for x in names.split()]
-
-    def group(queries: pa.Table, codes: pa.Table) -> pa.Table:
-        found: dict[int, list] = {}
-        blocks = codes.to_pylist()
-        for q in queries.to_pylist():
-            for c in blocks:
-                if q["dim"] == c["dim"]:
-                    for query_id, ids, scores in search(*arrays(q, "ids vectors"), *arrays(c, "ids vectors codes factors"), k, epsilon):
-                        found.setdefault(int(query_id), []).append((ids, scores))
-        out: list[list] = [[], [], []]
-        for query_id, parts in found.items():
-            ids, scores = (np.concatenate([p[j] for p in parts]) for j in (0, 1))
-            best = np.lexsort((ids, -scores))[:k]
-            out[0].append(np.full(len(best), query_id))
-            out[1].append(ids[best])
-            out[2].append(scores[best])
-        kinds = (np.int64, np.int64, np.float64)
-        return pa.table([np.concatenate([np.empty(0, t), *x]) for x, t in zip(out, kinds)], ["query_id", "vec_id", "score"])
-
-    return group
+class Codes:
+    """A block of codes with its vectors."""
+
+    def __init__(self, row: dict, epsilon: float):
+        self.dim, n = row["dim"], len(row["ids"]) // 8
+        self.ids = np.frombuffer(row["ids"], np.int64)
+        self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(n, self.dim)
+        self.codes = np.frombuffer(row["codes"], np.uint64).reshape(n, -1)
+        self.ones = np.bitwise_count(self.codes).sum(axis=1, dtype=np.int64)
+        length, own = np.frombuffer(row["factors"], np.float64).reshape(n, 2).T
+        own = np.maximum(own, 1e-12)
+        self.scale = length / own / math.sqrt(self.dim)
+        self.spread = length * np.sqrt(np.maximum(0, 1 - own * own)) / own * epsilon / math.sqrt(max(1, self.dim - 1))
+
+    def search(self, query_id: int, query: np.ndarray, bits: Query, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k nearest here that reach ``floor``, ties to the smaller id; rows with the query's id are left out."""
+        ids, vectors = self.ids, self.vectors
+        estimate = self.scale * bits.with_signs(self.codes, self.ones)
+        most = estimate + self.spread * math.sqrt(float(query @ query)) + self.scale * bits.rounding
+        other = ids != query_id
+        first = np.argpartition(-estimate, 4 * k)[: 4 * k] if len(ids) > 4 * k else np.arange(len(ids))
+        first = first[other[first]]
+        if len(first) >= k:
+            floor = max(floor, float(np.partition(exact(vectors[first], query), -k)[-k]))
+        chosen = np.flatnonzero((most >= floor) & other)
+        chosen = np.union1d(chosen, first)
+        quick = vectors[chosen] @ query  # may differ from the exact order of sums in the last digits
+        if len(quick) > k:
+            chosen = chosen[quick >= np.partition(quick, -k)[-k] - 1e-9 * max(1.0, float(np.abs(quick).max()))]
+        scores = exact(vectors[chosen], query)
+        best = np.lexsort((ids[chosen], -scores))[:k]
+        return ids[chosen][best], scores[best]
+
+
+def _near(shared, k: int, epsilon: float):
+    """Blocks of codes to the best k of a task for each of the shared queries."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = [(i, q, Query(q)) for ids, x in shared.value for i, q in zip(ids.tolist(), x)]
+        best = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
+        for batch in batches:
+            for i in range(len(batch)):
+                block = Codes(batch.slice(i, 1).to_pylist()[0], epsilon)
+                for place, (query_id, query, bits) in enumerate(queries):
+                    if len(query) != block.dim:
+                        continue
+                    ids, scores = best[place]
+                    floor = float(scores[-1]) if len(scores) == k else -math.inf
+                    new_ids, new_scores = block.search(query_id, query, bits, k, floor)
+                    ids, scores = np.concatenate([ids, new_ids]), np.concatenate([scores, new_scores])
+                    order = np.lexsort((ids, -scores))[:k]
+                    best[place] = ids[order], scores[order]
+        for i in range(0, len(queries), SLICE):
+            part = best[i : i + SLICE]
+            asked = [np.full(len(b[0]), q[0], np.int64) for b, q in zip(part, queries[i : i + SLICE])]
+            columns = [np.concatenate(asked), np.concatenate([b[0] for b in part]), np.concatenate([b[1] for b in part])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in FOUND.split(", ")])
+
+    return task
 
 
 def _takes_part(embedding: str) -> Column:
@@ -161,21 +207,39 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, epsilon: float = E
     that repeat a vec_id the smallest vector that takes part counts; candidates that repeat one count as often as they occur. An empty
     table gives an empty result; other columns aren't read.
     """
+    spark = vectors.sparkSession
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    names = [x.split()[0] for x in CODES.split(", ")]
-    codes = stored(rows.mapInArrow(_blocks(BLOCK_CODES, names, lambda ids, x: (ids, x, *encode(x))), CODES), "codes")
     asked = rows.where((F.col("vec_id") % every == 0) & _takes_part("embedding")).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    asked = stored(asked, "queries")
-    parts = -(-asked.count() // BLOCK_QUERIES) or 1
-    packed = asked.coalesce(parts).mapInArrow(_blocks(BLOCK_QUERIES, names[:3], lambda ids, x: (ids, x)), QUERIES)
-    packed = stored(packed.withColumn("part", F.spark_partition_id()), "query-blocks")
-    blocks = codes.count()
-    tasks = max(min(blocks, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))), -(-blocks // TASK_BLOCKS), 1)
-    spread_codes = codes.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    spread_codes = spread_codes.withColumn("task", F.pmod(F.xxhash64("ids"), F.lit(tasks)).cast("int"))
-    spread_queries = packed.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
-    found = spread_queries.groupBy("part", "task").cogroup(spread_codes.groupBy("part", "task"))
-    found = found.applyInArrow(_near(k, epsilon), "query_id bigint, vec_id bigint, score double")
+    names = [x.split()[0] for x in CODES.split(", ")]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if rows.rdd.getNumPartitions() < tasks:  # a table of few files is dealt out once; a large one stays where it lies
+        rows = rows.repartition(tasks)
+    codes = rows.mapInArrow(_blocks(BLOCK_CODES, BLOCK_BYTES, names, lambda ids, x: (ids, x, *encode(x))), CODES)
+    codes = stored(codes, "codes")
+    packed = asked.mapInArrow(_blocks(BLOCK_CODES, BLOCK_BYTES, names[:3], lambda ids, x: (ids, x)), QUERIES)
+    packed = stored(packed.withColumns({"block": F.monotonically_increasing_id(), "size": F.octet_length("vectors")}), "queries")
+    path = new_path(spark, "found")
+    for i, blocks in enumerate(_batches(packed)):
+        part = packed.where(F.col("block").isin(blocks)).orderBy("block").toArrow().to_pylist()  # QUERY_BYTES at most, or a block
+        shared = spark.sparkContext.broadcast([(np.frombuffer(r["ids"], np.int64), np.frombuffer(r["vectors"], np.float64).reshape(-1, r["dim"])) for r in part])
+        codes.mapInArrow(_near(shared, k, epsilon), FOUND).write.parquet(f"{path}/batch={i}")
+        shared.unpersist()
+    forget(packed, codes)
+    schema = f"{FOUND}, batch int"
+    found = spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return found.select("query_id", "rank", "vec_id", "score")
+
+
+def _batches(packed: DataFrame) -> Iterator[list[int]]:
+    """The blocks of queries in batches of at most QUERY_BYTES; a block has some thousand queries."""
+    batch, held = [], 0
+    for r in packed.select("block", "size").orderBy("block").toLocalIterator():
+        if batch and held + r["size"] > QUERY_BYTES:
+            yield batch
+            batch, held = [], 0
+        batch.append(r["block"])
+        held += r["size"]
+    if batch:
+        yield batch
