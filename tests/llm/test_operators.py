@@ -262,7 +262,7 @@ def test_estimates_come_from_packed_bits():
         assert codes.shape == (200, -(-dim // 64))
         signs = np.where((x / np.sqrt((x * x).sum(axis=1))[:, None]) @ onebit_codes.rotation(dim) > 0, 1.0, -1.0)
         bits = onebit_codes.Query(q)
-        got = bits.with_signs(codes, np.bitwise_count(codes).sum(axis=1, dtype=np.int64))
+        got = bits.with_signs(codes.T, np.bitwise_count(codes).sum(axis=1, dtype=np.int64))
         assert (np.abs(got - signs @ (q @ onebit_codes.rotation(dim))) <= bits.rounding + 1e-9).all()
 
 

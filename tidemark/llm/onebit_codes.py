@@ -77,10 +77,14 @@ class Query:
         self.rounding = float(np.abs(turned - (self.low + self.step * level)).sum()) + 1e-12 * float(np.abs(turned).sum())
 
     def with_signs(self, codes: np.ndarray, ones: np.ndarray) -> np.ndarray:
-        """Inner products of the rounded query with the signs of each code; ``ones`` are the positive signs of each."""
-        total = np.zeros(len(codes), np.int64)
-        for p, plane in enumerate(self.planes):
-            total += np.bitwise_count(codes & plane).sum(axis=1, dtype=np.int64) << p
+        """Inner products of the rounded query with the signs of each code; ``ones`` are the positive signs of each.
+
+        ``codes`` holds the first words of all codes, then the second ones, and so on.
+        """
+        total = np.zeros(codes.shape[1], np.int32)  # holds the sum of 2**23 components
+        for word, planes in zip(codes, self.planes.T):
+            for p, plane in enumerate(planes):
+                total += np.left_shift(np.bitwise_count(word & plane), p, dtype=np.int32)
         return self.low * (2.0 * ones - self.dim) + self.step * (2.0 * total - self.sum)
 
 
@@ -138,8 +142,8 @@ class Codes:
         self.dim, n = row["dim"], len(row["ids"]) // 8
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(n, self.dim)
-        self.codes = np.frombuffer(row["codes"], np.uint64).reshape(n, -1)
-        self.ones = np.bitwise_count(self.codes).sum(axis=1, dtype=np.int64)
+        self.codes = np.ascontiguousarray(np.frombuffer(row["codes"], np.uint64).reshape(n, -1).T)
+        self.ones = np.bitwise_count(self.codes).sum(axis=0, dtype=np.int64)
         length, own = np.frombuffer(row["factors"], np.float64).reshape(n, 2).T
         own = np.maximum(own, 1e-12)
         self.scale = length / own / math.sqrt(self.dim)
@@ -148,15 +152,17 @@ class Codes:
     def search(self, query_id: int, query: np.ndarray, bits: Query, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k nearest here that reach ``floor``, ties to the smaller id; rows with the query's id are left out."""
         ids, vectors = self.ids, self.vectors
-        estimate = self.scale * bits.with_signs(self.codes, self.ones)
+        estimate = bits.with_signs(self.codes, self.ones)
+        estimate *= self.scale
         most = estimate + self.spread * math.sqrt(float(query @ query)) + self.scale * bits.rounding
         other = ids != query_id
         first = np.argpartition(-estimate, 4 * k)[: 4 * k] if len(ids) > 4 * k else np.arange(len(ids))
         first = first[other[first]]
         if len(first) >= k:
             floor = max(floor, float(np.partition(exact(vectors[first], query), -k)[-k]))
-        chosen = np.flatnonzero((most >= floor) & other)
-        chosen = np.union1d(chosen, first)
+        reaches = (most >= floor) & other
+        reaches[first] = True
+        chosen = np.flatnonzero(reaches)
         quick = vectors[chosen] @ query  # may differ from the exact order of sums in the last digits
         if len(quick) > k:
             chosen = chosen[quick >= np.partition(quick, -k)[-k] - 1e-9 * max(1.0, float(np.abs(quick).max()))]
