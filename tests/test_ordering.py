@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import ordering
 from tidemark.operators.ordering import exact_quantiles, ranked
 
 
@@ -52,6 +53,33 @@ def test_positions_totals_and_ties(spark, descending, rows_per_task):
     assert got == expected_positions(rows, descending)
 
 
+@pytest.mark.parametrize("literal, sample, sent", [(3, 200, 10**6), (16, 10**5, 0)])
+def test_split_points_beyond_those_of_the_plan(spark, monkeypatch, literal, sample, sent):
+    monkeypatch.setattr(ordering, "LITERAL_SPLITS", literal)
+    monkeypatch.setattr(ordering, "SENT_SPLITS", sent)
+    monkeypatch.setattr(ordering, "SAMPLE_ROWS", sample)
+    monkeypatch.setattr(ordering, "SAMPLE_PER_SPLIT", 4)
+    rows = make_rows()
+    df = spark.createDataFrame(rows, "k int, g string, v double, gain long").repartition(5)
+    placed = ranked(df, ["g"], ["-v", "k"], running={"total": F.col("gain")}, group_rows="n", ties=("first", "last"), rows_per_task=60)
+    got = {r["k"]: (r["position"], r["total"], r["n"], r["first"], r["last"]) for r in placed.collect()}
+    assert got == expected_positions(rows, True)
+
+
+def test_the_input_is_computed_twice(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v")).mapInArrow(count, "k long, v long")
+    placed = ranked(df, ["v"], ["-k"], ties=("first", "last"), rows_per_task=200)
+    assert placed.where(F.col("position") != F.floor((4999 - F.col("k")) / 7) + 1).isEmpty()
+    assert read.value <= 2 * 5000
+
+
 def test_one_value_everywhere(spark):
     df = spark.range(900).select(F.col("id").alias("k"), F.lit(1.0).alias("v"))
     placed = ranked(df, [], ["-v", "k"], ties=("first", "last"), rows_per_task=100)

@@ -3,13 +3,18 @@
 A plain window sends each group to one task. A month of a large panel, or the whole score table, does not fit
 there. ``ranked`` therefore works in two levels once the largest group is above ``rows_per_task`` (it is counted):
 
-1. the order keys of a repeatable sample give split points over (group, order), so a large group gets many
+1. the rows are stored once, and all later steps read the columns that they need from there;
+2. the order keys of a repeatable sample give split points over (group, order), so a large group gets many
    buckets and one hot value is cut by the tie-break columns;
-2. counts and sums per (group, bucket) are added up over the few buckets, which gives the offset of each bucket;
-3. a window inside (group, bucket) gives the local position, and the offset makes it global.
+3. counts and sums per (group, bucket) are added up over the few buckets, which gives the offset of each bucket;
+4. a window inside (group, bucket) gives the local position, and the offset makes it global.
 
-The rows are shuffled once, by (group, bucket). The bucket depends only on the row's values, so a lost executor or a
-second evaluation cannot change it.
+The input is computed twice, for the sizes and for the stored rows, and the rows are shuffled once, by (group, bucket).
+The bucket depends only on the row's values, so a lost executor or a second evaluation cannot change it.
+
+The number of split points follows the number of rows, so buckets stay as small however large the input is. The sample is
+ranked by the same operator. Up to ``LITERAL_SPLITS`` split points are part of the plan; of more, every n-th is, and the
+ones between are joined to the rows by the number of the gap.
 """
 
 from __future__ import annotations
@@ -29,8 +34,12 @@ from tidemark.operators.sizes import ROWS_PER_TASK, SMALL_ROWS, GroupSizes, grou
 from tidemark.session import cut_lineage
 
 SAMPLE_PER_SPLIT = 30
-#: Split points from a sample, at most. Beyond that many, buckets grow with the input and their sorts spill.
-MAX_SPLITS = 20_000
+#: Split points that are written into the plan and searched there; the ones between them are joined.
+LITERAL_SPLITS = 4_096
+#: So many split points are sent to all tasks at most; the gaps of more are joined by a shuffle, all of like size.
+SENT_SPLITS = 500_000
+#: A sample with at most so many rows is ranked by one task.
+SAMPLE_ROWS = 100_000
 
 
 def _name(key: str) -> str:
@@ -66,25 +75,51 @@ def _plain(value: object) -> object:
     return value
 
 
-def _split_points(df: DataFrame, order: Sequence[str], total: int, n_splits: int) -> tuple[Column, int]:
-    """Sorted split points as one array literal. The sample only places the cuts; no row is left out of the result."""
+def _split_points(df: DataFrame, order: Sequence[str], total: int, n_splits: int, rows_per_task: int) -> tuple[DataFrame, int]:
+    """Stored split points (_place from 1, _cut) and their number. The sample only places the cuts; every row is in the result."""
     names = [_name(key) for key in order]
-    keys = df.select(*names)
     every = max(1, total // (SAMPLE_PER_SPLIT * n_splits))
-    sample = (
-        keys.where(F.pmod(F.xxhash64(*names), F.lit(every)) == 0)
-        .distinct()  # rows with equal keys share a hash, and a cut can't part them anyway
-        .orderBy(*sort_columns(order))
-        .collect()
-    )
-    step = max(1, len(sample) // (n_splits + 1))
-    points = [{n: _plain(row[n]) for n in names} for row in sample[step::step]]
-    schema = T.ArrayType(T.StructType([T.StructField(n, keys.schema[n].dataType) for n in names]))
+    sample = df.select(*names).where(F.pmod(F.xxhash64(*names), F.lit(every)) == 0)
+    sample = cut_lineage(sample.distinct())  # rows with equal keys share a hash, and a cut can't part them anyway
+    rows = sample.count()
+    step = max(1, rows // (n_splits + 1))
+    placed = ranked(sample, [], order, position="_place", sizes=GroupSizes(rows, 1, rows), rows_per_task=max(rows_per_task, SAMPLE_ROWS))
+    cuts = placed.where((F.col("_place") - 1) % step == 0).where(F.col("_place") > 1)
+    cuts = cuts.select(F.floor((F.col("_place") - 1) / step).alias("_place"), F.struct(*names).alias("_cut"))
+    return cut_lineage(cuts), max(0, (rows - 1) // step)
+
+
+def _literal(cuts: DataFrame) -> tuple[Column, int]:
+    """A bounded number of split points, in order, as an array in the plan."""
+    kind = cuts.schema["_cut"].dataType
+    points = [{n: _plain(row["_cut"][n]) for n in kind.names} for row in cuts.orderBy("_place").collect()]
+    schema = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in kind.fields]))
     return F.from_json(F.lit(json.dumps(points)), schema), len(points)
 
 
-def _bucket(splits: Column, n_splits: int, order: Sequence[str]) -> Column:
-    """Number of split points not after the row, found by halving."""
+def _cut_by(df: DataFrame, order: Sequence[str], cuts: DataFrame, n_cuts: int) -> DataFrame:
+    """Adds ``_b``, the number of split points not after the row, and the split points next to it, ``_below`` and ``_above``."""
+    if n_cuts <= LITERAL_SPLITS:
+        splits, n = _literal(cuts)
+        df = df.withColumn("_b", _bucket(splits, n, order))
+        return df.withColumns({"_below": F.when(F.col("_b") > 0, F.get(splits, F.col("_b") - 1)), "_above": F.get(splits, F.col("_b"))})
+    gap = -(-n_cuts // LITERAL_SPLITS)
+    splits, n = _literal(cuts.where(F.col("_place") % gap == 0))
+    place = F.col("_place")
+    # A cut at the edge of two gaps belongs to both, so each row finds its neighbours in its own gap.
+    gaps = F.when(place % gap == 0, F.array(place / gap - 1, place / gap)).otherwise(F.array(F.floor(place / gap).cast("double")))
+    fine = cuts.withColumn("_gap", F.explode(gaps.cast("array<int>")))
+    fine = fine.groupBy("_gap").agg(F.sort_array(F.collect_list(F.struct("_place", "_cut"))).alias("_fine"))  # gap + 1 at most
+    fine = fine.select(F.col("_gap").alias("_own"), (F.col("_fine")[0]["_place"] - 1).alias("_first"), F.transform("_fine", lambda x: x["_cut"]).alias("_fine"))
+    df = df.withColumn("_gap", _bucket(splits, n, order))
+    df = df.join(F.broadcast(fine) if n_cuts <= SENT_SPLITS else fine, F.col("_gap") == F.col("_own"))
+    df = df.withColumn("_at", _bucket(F.col("_fine"), gap + 1, order, F.size("_fine")))
+    df = df.withColumns({"_b": F.col("_first") + F.col("_at"), "_below": F.when(F.col("_at") > 0, F.get("_fine", F.col("_at") - 1)), "_above": F.get("_fine", F.col("_at"))})
+    return df.drop("_gap", "_own", "_first", "_fine", "_at")
+
+
+def _bucket(splits: Column, n_splits: int, order: Sequence[str], size: Column | None = None) -> Column:
+    """Number of split points not after the row, found by halving; ``size`` of them, ``n_splits`` at most."""
     if n_splits == 0:
         return F.lit(0)
 
@@ -97,7 +132,7 @@ def _bucket(splits: Column, n_splits: int, order: Sequence[str]) -> Column:
         )
 
     steps = math.ceil(math.log2(n_splits + 1))
-    start = F.struct(F.lit(0).alias("lo"), F.lit(n_splits).alias("hi"))
+    start = F.struct(F.lit(0).alias("lo"), (F.lit(n_splits) if size is None else size).alias("hi"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda state: state["lo"])
 
 
@@ -152,23 +187,20 @@ def _ranked_split(df, by, order, position, running, group_rows, ties, sizes, uni
     full_order = [*by, *order]
     value = _name(order[0])
     n_splits = math.ceil(2 * sizes.total / rows_per_task)
+    kept = cut_lineage(df.select("*", *[F.coalesce(expr, F.lit(0)).alias(f"_x_{name}") for name, expr in running.items()]))
     if uniform and not ties:
-        bucket, n_buckets = F.floor(F.col(value) * n_splits).cast("int"), n_splits * sizes.groups
+        keyed, n_buckets = kept.withColumn("_b", F.floor(F.col(value) * n_splits).cast("int")), n_splits * sizes.groups
     else:
-        splits, n_splits = _split_points(df, full_order, sizes.total, min(MAX_SPLITS, n_splits))
-        bucket, n_buckets = _bucket(splits, n_splits, full_order), n_splits + sizes.groups
-    keyed = df.select(
-        "*",
-        bucket.alias("_b"),
-        *[F.coalesce(expr, F.lit(0)).alias(f"_x_{name}") for name, expr in running.items()],
-    )
+        cuts, n_splits = _split_points(kept, full_order, sizes.total, n_splits, rows_per_task)
+        keyed, n_buckets = _cut_by(kept, full_order, cuts, n_splits), n_splits + sizes.groups
     if ties:
-        keyed = keyed.withColumns({"_lo": _on_split(splits, -1, by, value), "_hi": _on_split(splits, 0, by, value)})
+        keyed = keyed.withColumns({"_lo": _equals_cut("_below", by, value), "_hi": _equals_cut("_above", by, value)})
 
     measures = [F.count(F.lit(1)).alias("_n")]
     measures += [F.sum(f"_x_{name}").alias(f"_s_{name}") for name in running]
     if ties:
         measures += [F.count_if("_lo").alias("_n_lo"), F.count_if("_hi").alias("_n_hi")]
+        measures += [F.any_value(F.col(c)[value]).alias(n) for c, n in (("_below", "_v_lo"), ("_above", "_v_hi"))]  # one in a bucket
     parts = keyed.groupBy(*by, "_b").agg(*measures)
 
     earlier = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -176,13 +208,13 @@ def _ranked_split(df, by, order, position, running, group_rows, ties, sizes, uni
         *by,
         "_b",
         "_n",
-        *(["_n_lo", "_n_hi"] if ties else []),
+        *(["_n_lo", "_n_hi", "_v_lo", "_v_hi"] if ties else []),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_n").over(Window.partitionBy(*by)).alias("_rows"),
         *[F.coalesce(F.sum(f"_s_{name}").over(earlier), F.lit(0)).alias(f"_o_{name}") for name in running],
     )
     if ties:
-        offsets = _with_runs(offsets, splits, by, value)
+        offsets = _with_runs(offsets, by)
     offsets = offsets.drop("_n").withColumnsRenamed({**{c: f"_g_{c}" for c in by}, "_b": "_g__b"})
     side = small_side(offsets) if n_buckets <= SMALL_ROWS else offsets
     joined = keyed.join(side, _same([*by, "_b"], "_g_"))
@@ -207,21 +239,14 @@ def _ranked_split(df, by, order, position, running, group_rows, ties, sizes, uni
     return joined.select(*[F.col(c) for c in df.columns], *new)
 
 
-def _on_split(splits: Column, shift: int, by: Sequence[str], value: str) -> Column:
-    """Whether the row equals the split point below (-1) or above (0) its bucket in group and value.
-
-    Only such rows can have equal rows in another bucket.
-    """
-    split = F.when(F.col("_b") + shift >= 0, F.get(splits, F.col("_b") + shift))
-    same = [split[c].eqNullSafe(F.col(c)) for c in [*by, value]]
-    return split.isNotNull() & reduce(lambda a, b: a & b, same)
+def _equals_cut(cut: str, by: Sequence[str], value: str) -> Column:
+    """Whether the row equals the split point in group and value. Only such rows can have equal rows in another bucket."""
+    same = [F.col(cut)[c].eqNullSafe(F.col(c)) for c in [*by, value]]
+    return F.col(cut).isNotNull() & reduce(lambda a, b: a & b, same)
 
 
-def _with_runs(offsets: DataFrame, splits: Column, by: Sequence[str], value: str) -> DataFrame:
+def _with_runs(marked: DataFrame, by: Sequence[str]) -> DataFrame:
     """First and last position of each run of equal values that touches a split point."""
-    low = F.when(F.col("_b") >= 1, F.get(splits, F.col("_b") - 1))[value]
-    high = F.get(splits, F.col("_b"))[value]
-    marked = offsets.withColumns({"_v_lo": low, "_v_hi": high})
     whole_bucket = (F.col("_n_lo") == F.col("_n")) & (F.col("_n_hi") == F.col("_n"))
     pieces = marked.where("_n_lo > 0").select(
         *by, F.col("_v_lo").alias("_v"), (F.col("_offset") + 1).alias("_start"), F.col("_n_lo").alias("_len")
