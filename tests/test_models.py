@@ -101,6 +101,26 @@ def test_group_proximity_against_all_pairs(leaves):
             assert got.get((cust, label), 0.0) == pytest.approx(sum(others) / len(others))
 
 
+@pytest.mark.parametrize("sent, block", [(2_000_000, 8_192), (30, 16)])
+def test_nearest_by_proximity_against_all_pairs(leaves, monkeypatch, sent, block):
+    from tidemark.operators import neighbours
+
+    monkeypatch.setattr(neighbours, "SENT_LEAVES", sent)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", block)
+    rows = [(tuple(r[c] for c in KEYS), r["leaves"]) for r in leaves.collect()]
+    near = neighbours.nearest_by_proximity(leaves.repartition(3), F.col("cust") % 7 == 0, KEYS, 4)
+    got = {}
+    for r in near.orderBy("rank").collect():
+        got.setdefault(tuple(r[c] for c in KEYS), []).append((r["proximity"], tuple(r[f"near_{c}"] for c in KEYS)))
+    expected = {}
+    for key, mine in rows:
+        if key[KEYS.index("cust")] % 7 == 0:
+            shares = [(sum(a == b for a, b in zip(mine, other)) / 6, k) for k, other in rows if k != key]
+            expected[key] = sorted([s for s in shares if s[0]], key=lambda s: (-s[0], s[1]))[:4]
+    assert got == {k: v for k, v in expected.items() if v} and got
+    assert neighbours.nearest_by_proximity(leaves, F.lit(False), KEYS, 4).isEmpty()
+
+
 def test_canaries_lose(spark, table):
     marked = sampling.add_canaries(table, 3, KEYS, seed=1)
     names = ["canarito_1", "canarito_2", "canarito_3", *COLUMNS]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import md5_draw
 from tidemark.operators import labels, models, packed, profit, sampling
+from tidemark.operators.neighbours import nearest_by_proximity
 from tidemark.operators.trials import grid_summary
 from tidemark.plans import panels as p
 from tidemark.plans.model_queries import KEYS, TEST_DAYS, TRAIN_DAYS, VALID_DAYS
@@ -326,6 +327,28 @@ def stump_proximity(spark, folder):
     return rounded(models.group_proximity(cut_lineage(leaves), KEYS, "label"), ["proximity"], 9)
 
 
+@query(
+    ONE + ", views AS (SELECT 1 AS g, z AS x, y FROM known WHERE " + BEFORE_TEST + "), " + stump_sql("views", "other") + f""", leaves AS (
+        SELECT cust, period, CASE WHEN k.x <= s.thr THEN 0 ELSE 1 END AS a, CASE WHEN k.z <= o.thr THEN 0 ELSE 1 END AS b
+        FROM known k CROSS JOIN stump s CROSS JOIN other o WHERE {TEST_DAYS}
+    ), pairs AS (
+        SELECT q.cust, q.period, l.cust AS near_cust, l.period AS near_period, (q.a = l.a)::INT + (q.b = l.b)::INT AS shared
+        FROM leaves q JOIN leaves l ON (q.a = l.a OR q.b = l.b) AND NOT (q.cust = l.cust AND q.period = l.period) WHERE q.cust % 100 = 0
+    )
+    SELECT cust, period, (row_number() OVER w)::INT AS rank, near_cust, near_period, shared / 2.0::DOUBLE AS proximity
+    FROM pairs WINDOW w AS (PARTITION BY cust, period ORDER BY shared DESC, near_cust, near_period) QUALIFY row_number() OVER w <= 5"""
+)
+def stump_nearest_rows(spark, folder):
+    """The five rows nearest to each row of every hundredth customer, in a forest of one tree over each of two columns."""
+    known = known_rows(spark, folder)
+    leaves = known.where(TEST_DAYS)
+    for column, name in (("tenure", "_a"), ("views", "_b")):
+        forest = models.train_forest(known.where(BEFORE_TEST), [column], numTrees=1, bootstrap=False, featureSubsetStrategy="all", **STUMP)
+        leaves = models.with_leaves(forest, leaves, [column], name)
+    leaves = leaves.select(*KEYS, F.concat("_a", "_b").alias("leaves"))
+    return nearest_by_proximity(leaves, F.col("cust") % 100 == 0, KEYS, 5)
+
+
 @query(
     ONE + f""", leaves AS (SELECT period, CASE WHEN k.x <= s.thr THEN 0 ELSE 1 END AS leaf FROM known k CROSS JOIN stump s)
     SELECT period, 'rf_00' || t.tree || '_00' || leaf AS leaf, count(*) AS n FROM leaves, range(1, 3) t(tree) GROUP BY ALL"""
