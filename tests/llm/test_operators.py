@@ -20,6 +20,7 @@ from tidemark.llm import (
     language_mixture,
     onebit_codes,
     queries,
+    shared,
     signature_tree,
     token_cache,
 )
@@ -254,6 +255,44 @@ def test_nearest_vectors(spark):
         assert np.allclose([f[2] for f in sorted(found)], [-s for s, _ in exact], rtol=0, atol=0)
 
 
+def test_long_lists_of_keys_leave_texts_in_place(spark, monkeypatch):
+    monkeypatch.setattr(shared, "BROADCAST_KEYS", 10)
+    rows = [(None if i % 50 == 0 else i % 900, "t%d" % (i % 700), i) for i in range(2000)]
+    docs = table(spark, rows, "doc_id long, text string, _may int")
+    keys = shared.stored(table(spark, [(None,), *[(i,) for i in range(0, 1200, 40)]], "doc_id long"), "keys")
+    among = lambda d: d is None or d % 40 == 0
+    assert collections.Counter(tuple(r) for r in shared.matching(docs, keys, "doc_id").collect()) == collections.Counter(r for r in rows if among(r[0]))
+    assert collections.Counter(tuple(r) for r in shared.without(docs, keys, "doc_id").collect()) == collections.Counter(r for r in rows if not among(r[0]))
+    maybe = shared._marked(docs, keys, ["doc_id"], "m").where("m")
+    assert maybe.count() <= sum(among(r[0]) for r in rows) + 20
+    plan = maybe._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan and "hashpartitioning" not in plan.split("BroadcastExchange")[0]
+
+
+def test_operators_with_long_lists_of_keys(spark, monkeypatch):
+    draw = random.Random(8)
+    words = ["w%d" % i for i in range(60)]
+    texts = [" ".join(draw.choices(words, k=30)) for _ in range(80)]
+    rows = [(i, texts[i % 80] + (" w1" if i % 9 == 0 else "")) for i in range(200)] + [(3, texts[1]), (None, texts[2]), (None, None), (201, "")]
+    docs = table(spark, rows, "doc_id long, text string")
+
+    def results():
+        return [
+            collections.Counter(tuple(r) for r in df.collect())
+            for df in (
+                fingerprint_exchange.exact_groups(docs),
+                fingerprint_exchange.without_copies(docs),
+                token_cache.count_tokens(docs),
+                signature_tree.link_components(docs),
+                signature_tree.one_of_each_component(docs),
+            )
+        ]
+
+    short = results()
+    monkeypatch.setattr(shared, "BROADCAST_KEYS", 10)
+    assert results() == short
+
+
 def test_estimates_come_from_packed_bits():
     draw = np.random.default_rng(5)
     for dim in (1, 24, 64, 130):

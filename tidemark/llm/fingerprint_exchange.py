@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import few, free_names, same, stored
+from .shared import free_names, matching, stored, without
 
 #: A task sends what it has after so many documents: bounds its memory.
 PACKET_ROWS = 500_000
+#: Fingerprints of an owner, on average: 32 MB.
+OWNER_ROWS = 4_000_000
 
 HEADER = struct.Struct("<IBQI")
 
@@ -125,11 +127,12 @@ def exact_groups(docs: DataFrame, owners: int | None = None, bits: int = 64) ->
     Of equal texts (the same bytes) the row with the largest doc_id stays. A null text counts as empty, so null and empty
     texts are one group. A null doc_id is smaller than all others. Of rows repeated with the same doc_id and text one
     stays; each has its own row here. An empty table gives an empty result; other columns aren't read.
-    ``owners``: into how many ranges the fingerprints are cut, by default as many as there are shuffle partitions.
+    ``owners``: into how many ranges the fingerprints are cut, by default as many as there are shuffle partitions, or more, so
+    that a range has some OWNER_ROWS fingerprints.
     ``bits``: leading bits of the fingerprint in use (fewer only to test that clashes do no harm).
     """
     spark = docs.sparkSession
-    owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    owners = owners or max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // OWNER_ROWS)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     packets = stored(docs.mapInArrow(_send(owners, bits), PACKETS), "packets")
     codes = packets.select("packet", "owner", "code")
@@ -138,8 +141,7 @@ def exact_groups(docs: DataFrame, owners: int | None = None, bits: int = 64) ->
     rows = stored(rows.mapInArrow(_mark, "row string, doc_id bigint, digest binary, suspect boolean"), "marked")
 
     suspects = rows.where("suspect")
-    ids = few(stored(suspects.select("doc_id").distinct(), "suspects"))
-    texts = docs.join(ids, same(docs, ids, "doc_id"), "left_semi")
+    texts = matching(docs, stored(suspects.select("doc_id").distinct(), "suspects"), "doc_id")
     texts = texts.select(F.unhex(F.sha2("text", 256)).alias("digest"), "text").distinct()
     clash = texts.groupBy("digest").count().where("count > 1").take(1)
     if clash:
@@ -166,14 +168,13 @@ def without_copies(docs: DataFrame) -> DataFrame:
     """
     groups = stored(exact_groups(docs), "groups")
     repeated = stored(groups.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id"), "repeated")
-    dropped = few(stored(groups.where("not kept").select("doc_id").distinct(), "dropped"))
+    dropped = stored(groups.where("not kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "dropped")
     if repeated.isEmpty():
-        return docs.join(dropped, "doc_id", "left_anti")
-    again = few(repeated)
-    once = docs.join(again, same(docs, again, "doc_id"), "left_anti").join(dropped, "doc_id", "left_anti")
+        return without(docs, dropped, "doc_id")
+    once = without(docs, stored(repeated.unionByName(dropped).distinct(), "repeated-or-dropped"), "doc_id")
     sha, kept_id, kept_sha = free_names(docs, "sha", "kept_id", "kept_sha")
     digest = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256))
     kept = groups.where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
-    more = digest.join(again, same(digest, again, "doc_id"), "left_semi")
+    more = matching(digest, repeated, "doc_id")
     more = more.join(kept, more["doc_id"].eqNullSafe(kept[kept_id]) & (more[sha] == kept[kept_sha]), "left_semi")
     return once.unionByName(more.dropDuplicates(["doc_id", sha]).drop(sha))

@@ -12,8 +12,11 @@ from pyspark.sql.window import Window
 
 from tidemark.session import shared_folder
 
-#: Up to so many keys (a long and a digest each, some 20 MB) are broadcast; more are joined by a shuffle.
+#: Up to so many keys (a long and a digest each, some 20 MB) are broadcast; of more, only hashed bits are.
 BROADCAST_KEYS = 200_000
+#: Sets of bits for longer lists of keys, of so many longs each: 32 MB in all, however long the list is. Each key sets
+#: three bits. With 13 million keys some 2 % of the other rows are taken for possible ones, with 50 million a third.
+BIT_SETS, LONGS = 1 << 17, 32
 #: Bytes of a batch that Spark hands to Python. A batch is held some times over: by the JVM, on its way, and in Python.
 BATCH_BYTES = 8 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -77,9 +80,65 @@ def running_total(df: DataFrame, order: Sequence[Column], measure: str, name: st
     return ranged.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + local).drop("_range", "_before")
 
 
-def few(keys: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
+def few(keys: DataFrame, limit: int | None = None) -> DataFrame:
     """``keys``, a stored table, marked for broadcast if it has at most ``limit`` rows; the join's result is the same."""
-    return F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else keys
+    return F.broadcast(keys) if _short(keys, limit) else keys
+
+
+def _short(keys: DataFrame, limit: int | None = None) -> bool:
+    limit = BROADCAST_KEYS if limit is None else limit
+    return keys.limit(limit + 1).count() <= limit
+
+
+def _bits(columns: Sequence[Column]) -> tuple[Column, list[Column]]:
+    """(set, bits in it) of a key."""
+    h = F.xxhash64(*columns)
+    bits = [F.call_function("shiftrightunsigned", h, F.lit(s)).bitwiseAND(F.lit(64 * LONGS - 1)).cast("int") for s in (20, 32, 44)]
+    return F.pmod(h, F.lit(BIT_SETS)), bits
+
+
+def _marked(rows: DataFrame, keys: DataFrame, columns: Sequence[str], mark: str) -> DataFrame:
+    """``rows`` with ``mark``: false where no row of ``keys`` can be equal in ``columns``. The rows stay where they lie."""
+    own, bits = _bits([F.col(c) for c in columns])
+    set_name, words = free_names(rows, "_set", "_words")
+    long = keys.select(own.alias("set"), F.explode(F.array(*bits)).alias("bit"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(63))
+    longs = long.groupBy("set", F.shiftright("bit", 6).alias("at")).agg(F.bit_or(bit).alias("word"))
+    sets = longs.groupBy("set").agg(F.map_from_entries(F.collect_list(F.struct("at", "word"))).alias("at"))  # LONGS entries at most
+    whole = F.transform(F.sequence(F.lit(0), F.lit(LONGS - 1)), lambda i: F.coalesce(F.col("at")[i], F.lit(0).cast("long")))
+    sets = stored(sets.select(F.col("set").alias(set_name), whole.alias(words)), "bits")
+    own, bits = _bits([rows[c] for c in columns])
+    joined = rows.join(F.broadcast(sets), own == sets[set_name], "left")  # BIT_SETS rows of 8 * LONGS bytes at most
+    found = F.lit(True)
+    for b in bits:
+        word = F.get(words, F.shiftright(b, 6))
+        found = found & (F.call_function("shiftrightunsigned", word, b.bitwiseAND(63)).bitwiseAND(1) == 1)
+    return joined.select(*[rows[c] for c in rows.columns], F.coalesce(found, F.lit(False)).alias(mark))
+
+
+def matching(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """The rows that equal a row of ``keys``, a stored table, in ``columns``, null with null.
+
+    A short list of keys is broadcast. Of a long one, hashed bits are: rows that can't match are left out where they lie, and
+    only the others, with what they carry, are shuffled and compared with the keys.
+    """
+    if _short(keys):
+        keys = F.broadcast(keys)
+        return rows.join(keys, same(rows, keys, *columns), "left_semi")
+    (mark,) = free_names(rows, "_may")
+    maybe = _marked(rows, keys, columns, mark).where(mark).drop(mark)
+    return maybe.join(keys, same(maybe, keys, *columns), "left_semi")
+
+
+def without(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """The rows that equal no row of ``keys`` in ``columns``; as in ``matching``, only rows that may equal one are shuffled."""
+    if _short(keys):
+        keys = F.broadcast(keys)
+        return rows.join(keys, same(rows, keys, *columns), "left_anti")
+    (mark,) = free_names(rows, "_may")
+    marked = _marked(rows, keys, columns, mark)
+    maybe = marked.where(mark).drop(mark)
+    return marked.where(~F.col(mark)).drop(mark).unionByName(maybe.join(keys, same(maybe, keys, *columns), "left_anti"))
 
 
 def same(left: DataFrame, right: DataFrame, *columns: str) -> Column:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fingerprint_exchange import answer, golomb_encode
-from .shared import components, few, forget, free_names, same, stored
+from .shared import components, forget, matching, stored, without
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -488,8 +488,8 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     classes = some.groupBy("digest").agg(F.min("doc_id").alias("id"))
     known = stored(some.join(classes, "digest").select("doc_id", "id"), "classes")
     # Only a document that is the smallest of none of its texts is left out: the rows of the others may be all a text has.
-    copies = few(stored(known.groupBy("doc_id").agg(F.max("id").alias("id")).where("doc_id <> id").select("doc_id"), "copies"))
-    first = docs.where("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
+    copies = stored(known.groupBy("doc_id").agg(F.max("id").alias("id")).where("doc_id <> id").select("doc_id"), "copies")
+    first = without(docs.where("doc_id IS NOT NULL"), copies, "doc_id")
 
     grams = rows.agg(F.sum("n")).first()[0] or 0
     bits = min(63, max(16, int(grams).bit_length() + SPARE_BITS))
@@ -501,8 +501,7 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     staying = packets.where("owner = -1").drop("owner", "code").join(bitmaps, "packet", "left")
     accompanied = stored(staying.mapInArrow(_accompanied, "id bigint").distinct(), "accompanied")
     forget(packets)
-    wanted = few(accompanied)
-    texts = first.join(wanted, first["doc_id"] == wanted["id"], "left_semi")
+    texts = matching(first, accompanied.withColumnRenamed("id", "doc_id"), "doc_id")
     sets = stored(texts.mapInArrow(_sets(n), "id bigint, n bigint, grams binary"), "sets")
 
     keys = stored(sets.select("id", "grams").mapInArrow(_keys(percent), "key bigint, id bigint, n bigint"), "keys")
@@ -567,8 +566,6 @@ def one_of_each_component(docs: DataFrame, n: int = 5, percent: int = 80) -> Dat
     Documents without words are no one's copies and stay, as do rows without a doc_id.
     """
     linked = link_components(docs, n, percent).where("n_shingles > 0 AND doc_id <> component_id")
-    gone = few(stored(linked.select("doc_id").distinct(), "gone"))
+    gone = stored(linked.select("doc_id").distinct(), "gone")
     wordless = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) == 0
-    (mark,) = free_names(docs, "gone")
-    marked = gone.withColumn(mark, F.lit(True))
-    return docs.join(marked, same(docs, marked, "doc_id"), "left").where(F.col(mark).isNull() | wordless).select(*[docs[c] for c in docs.columns])
+    return without(docs.where(~wordless), gone, "doc_id").unionByName(docs.where(wordless))

@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import few, new_path, same, stored
+from .shared import new_path, stored, without
 from .tokens import encoder, tokenizer_version
 
 CACHE = "digest binary, version string, n_tokens bigint"
@@ -54,7 +54,7 @@ def count_tokens(docs: DataFrame, cache: str | None = None, tokenizer: str | Non
     ``tokenizer``: a file of the ``tokenizers`` library; the counts of another file or version are never used.
 
     Which texts stay out of the encoding (copies of an earlier document, texts with a stored count) is decided on digests
-    alone. Texts leave their place only if that list is too long for a broadcast.
+    alone. Texts leave their place only if that list is too long for a broadcast, and then only those that may be on it.
     """
     spark = docs.sparkSession
     cache, version = cache or new_path(spark, "token-cache"), tokenizer_version(tokenizer)
@@ -65,8 +65,7 @@ def count_tokens(docs: DataFrame, cache: str | None = None, tokenizer: str | Non
     first = keyed.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("times"))
     first = first.join(known.withColumn("known", F.lit(True)), "digest", "left")
     skipped = keyed.join(first.where("times > 1 or known"), "digest").where("known or not (doc_id <=> first)")
-    skipped = few(stored(skipped.select("doc_id", "digest").distinct(), "skipped"))
-    missing = docs.join(skipped, same(docs, skipped, "doc_id", "digest"), "left_anti")
+    missing = without(docs, stored(skipped.select("doc_id", "digest").distinct(), "skipped"), "doc_id", "digest")
     counted = missing.select("digest", "text").mapInArrow(_counts(version, tokenizer), CACHE)
     counted.distinct().write.mode("append").parquet(cache)  # rows repeated with doc_id and text may be in several tasks
     counts = read_cache(spark, cache).where(F.col("version") == version)
