@@ -122,6 +122,38 @@ def test_jaccard_components(docs, monkeypatch, n, percent, blocks, clusters):
             assert (r["n_shingles"], r["component_id"]) == expected[r["doc_id"]]
 
 
+@pytest.mark.parametrize("prints", [1_000_000, 20])
+def test_relays_give_the_answers_of_owners(spark, docs, monkeypatch, prints):
+    def results():
+        groups = rows_of(fingerprint_exchange.exact_groups(docs, owners=50))
+        links = rows_of(signature_tree.link_components(docs))
+        return [sorted(map(str, x)) for x in (groups, links)]
+
+    direct = results()
+    monkeypatch.setattr(fingerprint_exchange, "DIRECT", 3)
+    monkeypatch.setattr(fingerprint_exchange, "RELAY_PRINTS", prints)
+    monkeypatch.setattr(fingerprint_exchange, "PACKET_ROWS", 7)
+    monkeypatch.setattr(signature_tree, "PACKET_GRAMS", 300)
+    assert results() == direct
+
+
+@pytest.mark.parametrize("regions,per,prints", [(40, 1, 9), (7, 6, 10**6), (7, 6, 300), (1, 40, 300)])
+def test_bitmaps_are_those_of_brute_force(spark, monkeypatch, regions, per, prints):
+    monkeypatch.setattr(fingerprint_exchange, "RELAY_PRINTS", 30)
+    draw = np.random.default_rng(3)
+    total, pool = regions * per, np.unique(draw.integers(0, 2**64, 400, dtype=np.uint64))
+    packets = {f"p{i}": np.sort(draw.choice(pool, int(draw.integers(1, 60)), replace=False)) for i in range(25)}
+    range_of = fingerprint_exchange._range_of
+    sent = [(name, int(o), x[range_of(regions)(x) == o]) for name, x in packets.items() for o in np.unique(range_of(regions)(x))]
+    codes = spark.createDataFrame([(p, o, fingerprint_exchange.golomb_encode(x)) for p, o, x in sent], "packet string, owner int, code binary")
+    got = fingerprint_exchange.answers(codes, range_of(total), regions, per, prints).collect()
+    times = collections.Counter(v for x in packets.values() for v in x.tolist())
+    assert len(got) == len(sent)
+    bitmaps = {(r.packet, r.owner): bytes(r.bitmap) for r in got}
+    for name, owner, x in sent:
+        assert np.unpackbits(np.frombuffer(bitmaps[name, owner], np.uint8), count=len(x)).tolist() == [times[v] > 1 for v in x.tolist()]
+
+
 def test_repeated_ids_with_different_texts_lose_no_link(spark):
     draw = random.Random(9)
     a, b, c, d = ([draw.choice("abcdefgh") + str(draw.randrange(1000)) for _ in range(100)] for _ in range(4))

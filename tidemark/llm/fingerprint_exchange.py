@@ -8,14 +8,18 @@
    once by each task.
 
 A document that shares its fingerprint with none never leaves its place but for some bits.
+
+With very many owners a sender would have a row for each of them, and rows would grow with the square of the documents. Then
+senders send to regions of owners, and in a region relays put the codes of many senders together before they ask its owners.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,6 +33,10 @@ from .shared import free_names, matching, stored, without
 PACKET_ROWS = 500_000
 #: Fingerprints of an owner, on average: 32 MB.
 OWNER_ROWS = 4_000_000
+#: More owners than this are put together to regions, about as many as each has owners.
+DIRECT = 1024
+#: Fingerprints of a relay, on average.
+RELAY_PRINTS = 1_000_000
 
 HEADER = struct.Struct("<IBQI")
 
@@ -66,6 +74,11 @@ def golomb_decode(code: bytes) -> np.ndarray:
 PACKETS = "packet string, owner int, code binary, doc_ids array<bigint>, slots array<int>, digests array<binary>"
 
 
+def _range_of(owners: int) -> Callable[[np.ndarray], np.ndarray]:
+    """Which of that many equal ranges fingerprints are in."""
+    return lambda prints: ((prints >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).astype(np.int64)
+
+
 def _send(owners: int, bits: int):
     """Rows of PACKETS, one for each owner and packet; slots: where in the code each document's fingerprint is."""
 
@@ -73,13 +86,12 @@ def _send(owners: int, bits: int):
         prints = np.frombuffer(b"".join(d[:8] for d in digests), ">u8").astype(np.uint64) >> np.uint64(64 - bits)
         prints <<= np.uint64(64 - bits)
         order = np.argsort(prints, kind="stable")
-        owner = ((prints[order] >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).astype(np.int64)
-        cuts = np.flatnonzero(np.diff(owner)) + 1
+        cuts = np.flatnonzero(np.diff(_range_of(owners)(prints[order]))) + 1
         rows, name = [], uuid.uuid4().hex
         for part in np.split(order, cuts):
             own = prints[part]
             distinct, slots = np.unique(own, return_inverse=True)
-            to = int(distinct[0] >> np.uint64(32)) * owners >> 32
+            to = int(_range_of(owners)(distinct[:1])[0])
             rows.append((name, to, golomb_encode(distinct), [ids[i] for i in part], slots.tolist(), [digests[i] for i in part]))
         kinds = (pa.string(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.binary()))
         names = ("packet", "owner", "code", "doc_ids", "slots", "digests")
@@ -108,6 +120,69 @@ def answer(codes: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"packet": codes["packet"], "owner": codes["owner"], "bitmap": bitmaps})
 
 
+ANSWERS = "packet string, owner int, bitmap binary"
+RELAYS = "packet string, owner int, region int, code binary, packets array<string>, codes array<binary>"
+
+
+def regions_and_owners(owners: int) -> tuple[int, int]:
+    """Into how many regions at least ``owners`` owners are put, and how many each has."""
+    per = 1 if owners <= DIRECT else math.ceil(math.sqrt(owners))
+    return -(-owners // per), per
+
+
+def _relay(owner_of: Callable[[np.ndarray], np.ndarray]):
+    """Of a batch of codes of a region: a row that stays, with the codes, and one for each owner, with what all have."""
+
+    def task(key: tuple, codes: pd.DataFrame) -> pd.DataFrame:
+        name, region = f"{key[0]}-{key[1]}", int(key[0])
+        distinct = np.unique(np.concatenate([golomb_decode(c) for c in codes["code"]]))
+        owners = owner_of(distinct)
+        rows = [(name, -1, region, None, list(codes["packet"]), list(codes["code"]))]
+        for part in np.split(np.arange(len(distinct)), np.flatnonzero(np.diff(owners)) + 1):
+            rows.append((name, int(owners[part[0]]), region, golomb_encode(distinct[part]), None, None))
+        return pd.DataFrame(rows, columns=["packet", "owner", "region", "code", "packets", "codes"])
+
+    return task
+
+
+def _passed_on(owner_of: Callable[[np.ndarray], np.ndarray]):
+    """The owners' answers to a relay, and what its senders share among them, as answers to its senders."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
+                lists = [golomb_decode(c) for c in row["codes"]]
+                seen, times = np.unique(np.concatenate(lists), return_counts=True)
+                counts = np.unique(owner_of(seen), return_counts=True)[1].tolist()
+                maps = sorted(row["bitmaps"], key=lambda m: m["owner"])
+                others = [np.unpackbits(np.frombuffer(m["bitmap"], np.uint8), count=n) for m, n in zip(maps, counts, strict=True)]
+                common = (np.concatenate(others) == 1) | (times > 1)
+                bitmaps = [np.packbits(common[np.searchsorted(seen, x)]).tobytes() for x in lists]
+                regions = pa.array([row["region"]] * len(lists), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(row["packets"]), regions, pa.array(bitmaps, pa.binary())], ["packet", "owner", "bitmap"])
+
+    return task
+
+
+def answers(codes: DataFrame, owner_of: Callable[[np.ndarray], np.ndarray], regions: int, per: int, prints: int) -> DataFrame:
+    """To each packet and region the bitmap of the fingerprints that another packet has too: rows of ANSWERS.
+
+    codes: (packet, owner, code), where owner is one of ``regions`` regions. With one owner each (``per``) it gets the codes
+    itself. Else a region's packets are dealt to relays, by the number of all fingerprints ``prints``; a relay sends each of
+    the region's owners, which ``owner_of`` tells, one code for all its packets. A packet then makes a row for each region
+    and a relay one for each owner of its region, so rows grow with the fingerprints times their square root over some
+    millions, and not with their square.
+    """
+    if per == 1:
+        return codes.groupBy("owner").applyInPandas(answer, ANSWERS)
+    batch = F.pmod(F.xxhash64("packet"), F.lit(-(-prints // (regions * RELAY_PRINTS)) or 1))
+    relays = stored(codes.withColumn("batch", batch).groupBy("owner", "batch").applyInPandas(_relay(owner_of), RELAYS), "relays")
+    asked = relays.where("owner >= 0").select("packet", "owner", "code").groupBy("owner").applyInPandas(answer, ANSWERS)
+    asked = asked.groupBy("packet").agg(F.collect_list(F.struct("owner", "bitmap")).alias("bitmaps"))  # ``per`` at most
+    return relays.where("owner = -1").join(asked, "packet").mapInArrow(_passed_on(owner_of), ANSWERS)
+
+
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
@@ -132,11 +207,12 @@ def exact_groups(docs: DataFrame, owners: int | None = None, bits: int = 64) ->
     ``bits``: leading bits of the fingerprint in use (fewer only to test that clashes do no harm).
     """
     spark = docs.sparkSession
-    owners = owners or max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // OWNER_ROWS)
+    prints = docs.count()
+    owners = owners or max(int(spark.conf.get("spark.sql.shuffle.partitions")), prints // OWNER_ROWS)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    packets = stored(docs.mapInArrow(_send(owners, bits), PACKETS), "packets")
-    codes = packets.select("packet", "owner", "code")
-    bitmaps = codes.groupBy("owner").applyInPandas(answer, "packet string, owner int, bitmap binary")
+    regions, per = regions_and_owners(owners)
+    packets = stored(docs.mapInArrow(_send(regions, bits), PACKETS), "packets")
+    bitmaps = answers(packets.select("packet", "owner", "code"), _range_of(regions * per), regions, per, prints)
     rows = packets.select("packet", "owner", "doc_ids", "slots", "digests").join(bitmaps, ["packet", "owner"])
     rows = stored(rows.mapInArrow(_mark, "row string, doc_id bigint, digest binary, suspect boolean"), "marked")
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fingerprint_exchange import answer, golomb_encode
+from .fingerprint_exchange import answers, golomb_encode, regions_and_owners
 from .shared import components, forget, matching, stored, without
 
 SPACE = np.zeros(256, bool)
@@ -308,14 +308,13 @@ def _digests(n: int):
 PACKETS = "packet string, owner int, code binary, ids array<bigint>, missing array<int>, of binary, starts binary, sent array<int>"
 
 
-def _send(n: int, percent: int, bits: int, owners: int):
+def _send(n: int, percent: int, bits: int, owners: int, width: int):
     """Rows for the owners (code: sorted distinct fingerprints), and for each packet one with owner -1 that stays.
 
     That one has its documents, how many n-grams each may miss, the document of each n-gram in order of fingerprints, which
-    of these begin a new fingerprint, and how many fingerprints each owner was sent.
+    of these begin a new fingerprint, and how many fingerprints each owner was sent. ``width``: the range of an owner.
     """
     similarity = Similarity(percent)
-    width = (similarity.tested >> (64 - bits)) // owners + 1
 
     def packet(ids: list[int], missing: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
         prints = np.concatenate(sets) >> U(64 - bits)
@@ -494,10 +493,12 @@ def link_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     grams = rows.agg(F.sum("n")).first()[0] or 0
     bits = min(63, max(16, int(grams).bit_length() + SPARE_BITS))
     owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(grams) // OWNER_GRAMS)
-    packets = stored(first.mapInArrow(_send(n, percent, bits, owners), PACKETS), "packets")
+    regions, per = regions_and_owners(owners)
+    width = (Similarity(percent).tested >> (64 - bits)) // (regions * per) + 1
+    packets = stored(first.mapInArrow(_send(n, percent, bits, regions, width * per), PACKETS), "packets")
     codes = packets.where("owner >= 0").select("packet", "owner", "code")
-    bitmaps = codes.groupBy("owner").applyInPandas(answer, "packet string, owner int, bitmap binary")
-    bitmaps = bitmaps.groupBy("packet").agg(F.collect_list(F.struct("owner", "bitmap")).alias("bitmaps"))  # one for each owner
+    bitmaps = answers(codes, lambda prints: (prints // U(width)).astype(np.int64), regions, per, int(grams))
+    bitmaps = bitmaps.groupBy("packet").agg(F.collect_list(F.struct("owner", "bitmap")).alias("bitmaps"))  # one for each region
     staying = packets.where("owner = -1").drop("owner", "code").join(bitmaps, "packet", "left")
     accompanied = stored(staying.mapInArrow(_accompanied, "id bigint").distinct(), "accompanied")
     forget(packets)
