@@ -122,6 +122,24 @@ def test_jaccard_components(docs, monkeypatch, n, percent, blocks, clusters):
             assert (r["n_shingles"], r["component_id"]) == expected[r["doc_id"]]
 
 
+@pytest.mark.parametrize("kind", ["none", "stars", "chain", "random"])
+def test_components(spark, kind):
+    draw = random.Random(4)
+    links = {
+        "none": [],
+        "stars": [(10 * i + j, 10 * i) for i in range(5) for j in range(4)],  # a link of a node to itself among them
+        "chain": [(i, i + 1) for i in range(60)] + [(100, 99), (99, 98)],
+        "random": [(draw.randrange(150), draw.randrange(150)) for _ in range(100)],
+    }[kind]
+    reach = {i: i for x in links for i in x if x[0] != x[1]}
+    for _ in reach:
+        for a, b in links:
+            if a != b:
+                reach[a] = reach[b] = min(reach[a], reach[b])
+    got = rows_of(shared.components(spark.createDataFrame(links, "a long, b long")))
+    assert len(got) == len(reach) and {r["id"]: r["component"] for r in got} == reach
+
+
 @pytest.mark.parametrize("prints", [1_000_000, 20])
 def test_relays_give_the_answers_of_owners(spark, docs, monkeypatch, prints):
     def results():

@@ -152,21 +152,27 @@ def same(left: DataFrame, right: DataFrame, *columns: str) -> Column:
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of the links (a, b): rows (id, component), component being the smallest id reached.
 
-    Alternates two steps until nothing changes: each node links its larger neighbours to its smallest neighbour, then its
-    smaller ones. The links become stars in a number of rounds that grows with the logarithm of the largest component.
+    Alternates two steps until all links are stars: each node links its larger neighbours to its smallest neighbour, then
+    its smaller ones. The number of rounds grows with the logarithm of the largest component.
     Sets of neighbours are never gathered: both steps are a minimum by key and a join.
     """
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         after = stored(small.select("e.*").where("a <> b").distinct(), name)
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
-            forget(edges)
-            stars = after.select(F.col("a").alias("id"), F.col("b").alias("component"))
-            return stars.unionByName(after.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
         forget(edges)
         edges = after
+    stars = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    return stars.unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node with a smaller neighbour (links: a > b) has one only, and no larger ones."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("smaller"), F.lit(0).alias("larger"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("smaller"), F.lit(1).alias("larger")))
+    nodes = ends.groupBy("node").agg(F.sum("smaller").alias("smaller"), F.sum("larger").alias("larger"))
+    return nodes.where("smaller > 1 or smaller > 0 and larger > 0").isEmpty()
