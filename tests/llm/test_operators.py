@@ -386,6 +386,87 @@ def test_url_filter(spark):
     assert np.isclose(ranks["trust", "s"], x / (x + y)) and np.isclose(ranks["trust", "t"], y / (x + y))
 
 
+def test_spread_of_trust_and_distrust(spark):
+    """A made-up graph of 30 hosts: ranks, threshold and verdicts against a plain PageRank."""
+    draw = random.Random(12)
+    hosts = ["h%d.com" % i for i in range(30)]
+    rules = (("allow", "h0.com/"), ("allow", "h7.com/a"), ("block", "h3.com/"), ("block", "h11.com/"), ("block", "h12.com/b"))
+    rows = []
+    for i in range(200):
+        host = hosts[min(29, int(draw.expovariate(0.12)))]
+        links = draw.choices(hosts, k=draw.randrange(4))
+        rows.append((i, f"http://{host}/{draw.choice('ab')}", "".join(f'<a href="https://{h}/">' for h in links) or None))
+    got = {r["page_id"]: r for r in rows_of(host_graph.judge(table(spark, rows, "page_id long, url string, html string"), rules, 0.5))}
+
+    ruled, pages, edges = {}, collections.Counter(), collections.Counter()
+    seeds = {"trust": collections.Counter(), "distrust": collections.Counter()}
+    for i, url, html in rows:
+        host, path = url[7:].split("/")
+        pages[host] += 1
+        fits = [v for v, r in rules if r.startswith(host + "/") and path.startswith(r[len(host) + 1 :])]
+        ruled[i] = fits[0] if fits else None
+        if fits:
+            seeds["trust" if fits[0] == "allow" else "distrust"][host] += 1
+        for target in re.findall("https://(.*?)/", html or ""):
+            if target != host:
+                edges[host, target] += 1
+    ranks = {}
+    for kind, seed in seeds.items():
+        ways = collections.Counter({(a, b) if kind == "trust" else (b, a): n for (a, b), n in edges.items()})
+        outgoing = collections.Counter()
+        for (a, _), n in ways.items():
+            outgoing[a] += n
+        begin = {h: n / sum(seed.values()) for h, n in seed.items()}
+        value = dict(begin)
+        for _ in range(host_graph.STEPS):
+            after = collections.Counter({h: 0.15 * x for h, x in begin.items()})
+            for (a, b), n in ways.items():
+                after[b] += 0.85 * value.get(a, 0.0) * n / outgoing[a]
+            value = after
+        ranks[kind] = {h: x / sum(value.values()) for h, x in value.items()}
+    spread = set()
+    for i, url, _ in rows:
+        host = url[7:].split("/")[0]
+        trust, distrust = (ranks[k].get(host, 0.0) for k in ("trust", "distrust"))
+        assert abs(got[i]["trust"] - trust) < 1e-9 and abs(got[i]["distrust"] - distrust) < 1e-9
+        verdict = ruled[i] or ("block" if distrust > trust + 0.5 * pages[host] / len(rows) else "allow")
+        assert got[i]["verdict"] == verdict
+        if not ruled[i] and not any(seeds[k][host] for k in seeds):
+            spread.add(verdict)
+    assert spread == {"allow", "block"}  # both come to hosts without a seed
+
+
+@pytest.mark.parametrize("components", [2, 5, 9])
+def test_sets_of_languages_are_those_of_plain_em(components):
+    """Every size of set is tried here; the operator leaves out those that a bound excludes."""
+    draw = np.random.default_rng(components)
+    lengths = draw.integers(1, 120, 40)
+    starts = np.cumsum(lengths) - lengths
+    logs = draw.normal(-9, 2, (lengths.sum(), components))
+    for at, n in zip(starts, lengths):  # the words of a document favour one to three components
+        for k, language in zip(range(n), np.resize(draw.choice(components, min(components, int(draw.integers(1, 4))), replace=False), n)):
+            logs[at + k, language] += draw.normal(6, 1)
+
+    def em(words, shares, rounds):
+        for _ in range(rounds):
+            joint = words * shares
+            shares = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+        return shares, np.log((words * shares).sum(axis=1)).sum()
+
+    best, full = language_mixture.choose(logs.astype(np.float32), starts)
+    for i, (at, n) in enumerate(zip(starts, lengths)):
+        words = np.exp(logs[at : at + n] - logs[at : at + n].max(axis=1, keepdims=True))
+        every, _ = em(words, np.full(components, 1 / components), language_mixture.ROUNDS)
+        assert np.allclose(full[i], every, atol=1e-3)
+        order, scores = np.argsort(-every, kind="stable"), []
+        for size in range(1, components + 1):
+            begin = np.zeros(components)
+            begin[order[:size]] = 1 / size
+            shares, likelihood = em(words, begin, language_mixture.ROUNDS_OF_SET if size > 1 else 0)
+            scores.append((likelihood - (size - 1) / 2 * np.log(n), shares))
+        assert np.allclose(best[i], max(scores, key=lambda x: x[0])[1], atol=2e-3)
+
+
 def labelled(spark):
     draw = random.Random(3)
     words = ["w%d" % i for i in range(200)]
