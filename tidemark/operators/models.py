@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import row_mean
+from tidemark.operators import together
 from tidemark.operators.fits import THREADS, concurrently, study
 from tidemark.operators.ordering import ranked
 from tidemark.operators.packed import PackedTrees, mean_packed, pack, read_packed, score_packed, score_rows, staged_scores
@@ -229,9 +230,11 @@ def subspace_trees(
     threads: int = THREADS,
     **params,
 ) -> dict[int, tuple[list[str], Model]]:
-    """Trees that each see a random share of the columns, fitted some at a time.
+    """Trees that each see a random share of the columns.
 
-    Trees that drew the same columns are the same tree and are fitted once. ``train`` should be a stored table.
+    Trees that drew the same columns are the same tree and are fitted once. All are grown together, see
+    ``operators.together``; with other parameters than it knows, Spark's trees are fitted some at a time. ``train`` should be
+    a stored table.
     """
     import random
 
@@ -239,7 +242,10 @@ def subspace_trees(
     chosen = {i: random.Random(seed * 100_003 + i).sample(list(columns), size) for i in range(1, trees + 1)}
     distinct = {tuple(sorted(names, key=columns.index)) for names in chosen.values()}
     order = sorted(distinct)
-    fitted = concurrently([lambda names=names: train_tree(train, names, label, **params) for names in order], threads, train.sparkSession)
+    if set(params) <= set(together.DEFAULTS):
+        fitted = together.grow(train, list(columns), order, label, **params)
+    else:
+        fitted = concurrently([lambda names=names: train_tree(train, names, label, **params) for names in order], threads, train.sparkSession)
     by_names = dict(zip(order, fitted))
     out = {}
     for i, names in chosen.items():
@@ -256,7 +262,10 @@ def pack_subspace(
     for i, (_, model) in trees.items():
         first.setdefault(model.uid, i)
     kept = {i: trees[i] for i in first.values()}
-    packed = pack(spark, {i: m for i, (_, m) in kept.items()}, columns, own_columns={i: n for i, (n, _) in kept.items()}, folder=folder, threads=threads)
+    if all(isinstance(m, together.GrownTree) for _, m in kept.values()):
+        packed = together.joined({i: m.tree for i, (_, m) in sorted(kept.items())}, columns)
+    else:
+        packed = pack(spark, {i: m for i, (_, m) in kept.items()}, columns, own_columns={i: n for i, (n, _) in kept.items()}, folder=folder, threads=threads)
     root = dict(zip(packed.models.tolist(), packed.roots.tolist()))
     order = sorted(trees, key=lambda i: root[first[trees[i][1].uid]])
     roots = np.array([root[first[trees[i][1].uid]] for i in order])
