@@ -122,3 +122,29 @@ def test_smallest_draws_with_finer_bins(panel, bins, edge_rows):
     for members in groups.values():
         flags = [flag for _, flag in sorted(members)]
         assert flags == [i < int(0.4 * len(flags)) for i in range(len(flags))]
+
+
+def test_each_draw_is_taken_once(panel, monkeypatch):
+    """One draw in all stored tables and what reads them, in as many tasks as there are draws for."""
+    plans, store = [], sampling.cut_lineage
+
+    def stored(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(sampling, "cut_lineage", stored)
+    monkeypatch.setattr(sampling, "DRAWS_PER_TASK", panel.count() * 50 // 4, raising=False)
+    marked = sampling.repeated_bits(panel, 50, 0.3, ["label"], KEYS, seed=9, draw=md5_draw)
+    plans.append(marked._jdf.queryExecution().optimizedPlan().toString())
+    assert sum(plan.count("md5(") for plan in plans) == 1
+    assert any("Repartition 4, true" in plan for plan in plans)
+
+
+def test_bits_of_groups_without_a_name(spark):
+    rows = [(i, i % 2, None if i % 3 else "x") for i in range(400)]
+    df = spark.createDataFrame(rows, "cust int, period int, label string")
+    splits = sampling.repeated_splits(df, 3, 0.3, ["label"], KEYS, seed=4, draw=md5_draw)
+    got = {(r["repeat"], r["label"]): (r["p"], r["n"]) for r in splits.groupBy("repeat", "label").agg(F.count_if("is_public").alias("p"), F.count("*").alias("n")).collect()}
+    assert got == {(i, label): (n * 3 // 10, n) for i in (1, 2, 3) for label, n in ((None, 266), ("x", 134))}
+    assert sampling.repeated_bits(df.where("cust < 0"), 3, 0.3, [], KEYS, draw=md5_draw).count() == 0
+    assert {r["bits"][0] for r in sampling.repeated_bits(df, 3, 1.0, [], KEYS, draw=md5_draw).collect()} == {7}
