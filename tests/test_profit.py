@@ -153,3 +153,15 @@ def test_top_k_of_scores_that_are_no_numbers(spark, odd):
     df = spark.createDataFrame(rows, "cust int, prob double")
     got = {r["cust"] for r in profit.label_top_k(df, 5).where("Predicted = 1").collect()}
     assert got == ({11, 10, 8, 7, 5} if odd is None else {0, 3, 6, 9, 11})
+
+
+def test_repeated_leaderboard_reads_its_scores_once(spark, tmp_path):
+    """All but the first pass read the stored rows; a model that contacts nobody keeps its rows."""
+    rows = [(i, 1, "BAJA+2" if i % 4 else "CONTINUA", m, 0.9 if m == "a" else 0.1) for i in range(80) for m in "ab"]
+    spark.createDataFrame(rows, "cust int, period int, label string, model string, prob double").write.parquet(str(tmp_path / "scores"))
+    scored = spark.read.parquet(str(tmp_path / "scores"))
+    board = profit.repeated_leaderboard(scored, ["cust", "period"], F.col("prob") >= 0.6, repeats=4, share=0.25)
+    assert not [f for f in board.inputFiles() if "scores" in f]
+    got = {(r["repeat"], r["model"]): (r["public"], r["private"]) for r in board.collect()}
+    public, private = (15 * 780_000 - 5 * 20_000) / 0.25, (45 * 780_000 - 15 * 20_000) / 0.75
+    assert got == {(i, m): (public, private) if m == "a" else (0.0, 0.0) for i in range(1, 5) for m in "ab"}
