@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 
@@ -148,3 +149,31 @@ def test_bits_of_groups_without_a_name(spark):
     assert got == {(i, label): (n * 3 // 10, n) for i in (1, 2, 3) for label, n in ((None, 266), ("x", 134))}
     assert sampling.repeated_bits(df.where("cust < 0"), 3, 0.3, [], KEYS, draw=md5_draw).count() == 0
     assert {r["bits"][0] for r in sampling.repeated_bits(df, 3, 1.0, [], KEYS, draw=md5_draw).collect()} == {7}
+
+
+def test_hashes_are_compared_as_their_draws(spark):
+    rows = [(i if i % 7 else None, i % 5 if i % 3 else None) for i in range(120)]
+    taken = spark.createDataFrame(rows, "cust int, period int").select(
+        md5_draw(KEYS, F.lit("3|9")).alias("d"), md5_draw.hashed(md5_draw.text(KEYS), F.lit("3|9")).alias("h")
+    )
+    assert taken.where(md5_draw.number(F.col("h")) != F.col("d")).count() == 0
+    drawn = [r["d"] for r in taken.distinct().collect()]
+    around = [x for d in drawn[:20] for x in (math.nextafter(d, -1), d, math.nextafter(d, 2))]
+    ends = spark.createDataFrame([(x,) for x in [*around, -1e30, -0.1, 0.0, 2.0**-48, 0.3, 1 - 2.0**-48, math.nextafter(1, 0), 1.0, 1.5, 1e30]], "x double")
+    both = taken.crossJoin(ends.withColumn("b", md5_draw.bound(F.col("x"))))
+    assert both.where((F.col("h") < F.col("b")) != (F.col("d") < F.col("x"))).count() == 0
+
+
+def test_keys_are_written_once_for_all_draws_of_a_row(panel, monkeypatch):
+    """The text of the keys is made below the dealing of rows, and hashes are compared without becoming numbers first."""
+    plans, store = [], sampling.cut_lineage
+
+    def stored(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(sampling, "cut_lineage", stored)
+    sampling.repeated_bits(panel, 50, 0.3, ["label"], KEYS, seed=9, draw=md5_draw)
+    drawing = [line for plan in plans for line in plan.splitlines() if "md5(" in line]
+    assert len(drawing) == 1 and "concat_ws(" not in drawing[0]
+    assert drawing[0].index(" < _low") < drawing[0].index("conv(")
